@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def high_water_mark(df: DataFrame, column: str) -> Any:
@@ -16,7 +17,12 @@ def high_water_mark(df: DataFrame, column: str) -> Any:
 
 def since(df: DataFrame, column: str, mark: Any) -> DataFrame:
     """Rows at or after the mark, as a literal comparison that reaches the Parquet scan."""
-    return df if mark is None else df.where(F.col(column) >= F.lit(mark))
+    if mark is None:
+        return df
+    literal = F.lit(mark)
+    if df.schema[column].dataType == T.TimestampNTZType():
+        literal = F.lit(mark.isoformat()).cast("timestamp_ntz")
+    return df.where(F.col(column) >= literal)
 
 
 def keyed_replace(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -146,7 +146,7 @@ def freshness(
 
     An age equal to a limit has not passed it. A table without rows is an error.
     """
-    age = F.lit(as_of).cast("timestamp_ntz") - F.col("newest")
+    age = F.lit(as_of.isoformat()).cast("timestamp_ntz") - F.col("newest")
     seconds = age.cast("interval second").cast("decimal(18,6)")
     return (
         df.agg(F.max(F.col(column).cast("timestamp_ntz")).alias("newest"))
