@@ -1,6 +1,7 @@
 from layerwright.functions.columns import (
     as_utc_timestamp,
     clean_text,
+    round_scaled,
     surrogate_key,
     tier,
     total,
@@ -29,6 +30,7 @@ __all__ = [
     "parse",
     "payload_subset",
     "raw_elements",
+    "round_scaled",
     "surrogate_key",
     "tier",
     "total",

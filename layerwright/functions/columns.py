@@ -49,6 +49,15 @@ def total(columns: Iterable[str]) -> Column:
     return reduce(lambda left, right: left + right, [F.col(c) for c in columns])
 
 
+def round_scaled(value: Column | str, places: int = 2) -> Column:
+    """Round the value scaled up by ``places``, halves away from zero.
+
+    Unlike ``round(value, places)`` this takes 2.3 / 92, stored as just under 0.025, to 0.03.
+    """
+    scale = F.lit(float(10**places))
+    return F.round(_col(value) * scale) / scale
+
+
 def tier(percent_rank: Column | str) -> Column:
     """Tier label of an ascending percent rank."""
     rank = _col(percent_rank)

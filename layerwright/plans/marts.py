@@ -184,6 +184,30 @@ def strongest_starters(
     )
 
 
+class LiveMarts:
+    """Marts by name as a full rebuild would hold them, planned when asked for and never stored."""
+
+    def __init__(self, views: Views, starters: DataFrame | None = None):
+        self._views = views
+        self._starters = starters
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def _build(self, name: str) -> DataFrame:
+        if name == "mart_strongest_pokemons":
+            return strongest(self["mart_pokemons"], self["mart_stats"])
+        if name == "mart_strongest_starters":
+            return strongest_starters(self["mart_pokemons"], self["mart_stats"], self._starters)
+        return mart(self._views, name)
+
+    def some(self, *names: str) -> dict[str, DataFrame]:
+        return {name: self[name] for name in names}
+
+
 def load_marts(
     views: Views,
     database: str,

@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerwright.functions import round_scaled
 from layerwright.operators.serving import count_per_group, having_any, top_k, with_flag
 from layerwright.plans.marts import STATS, TOTAL
 
@@ -233,5 +234,5 @@ def size_ratio(stg_entities: DataFrame) -> DataFrame:
         "poke_name",
         "height",
         "weight",
-        F.round(F.col("height") / F.col("weight"), 2).alias("height_weight_ratio"),
+        round_scaled(F.col("height") / F.col("weight")).alias("height_weight_ratio"),
     ).orderBy("poke_name", "poke_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwright.functions import clean_text, last_match, matching, parse, url_segment, url_tail
+from layerwright.functions import clean_text, last_match, matching, parse, round_scaled, url_segment, url_tail
 from layerwright.operators.latest import latest_per_key
 from layerwright.operators.unnest import unnest
 from layerwright.sources.raw import PAYLOADS
@@ -66,8 +66,8 @@ def entities(raw: DataFrame, catalogue_view: DataFrame) -> DataFrame:
         "fetch_date",
         F.col("id").alias("poke_id"),
         F.col("p.name").alias("poke_name"),
-        F.round(_int("p.height") / 10, 2).alias("height"),
-        F.round(_int("p.weight") / 10, 2).alias("weight"),
+        round_scaled(_int("p.height") / 10).alias("height"),
+        round_scaled(_int("p.weight") / 10).alias("weight"),
     )
     joined = sized.join(catalogue_view.select("poke_id", "poke_gen"), "poke_id", "left")
     return joined.select("fetch_date", "poke_gen", "poke_id", "poke_name", "height", "weight")
