@@ -103,6 +103,7 @@ class Views:
         self._all_fetches = all_fetches
         self._history_rule = history_rule
         self._built: dict[str, DataFrame] = {}
+        self._cut: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -113,8 +114,11 @@ class Views:
         return list(self._BUILDERS)
 
     def _newest(self, table: str) -> DataFrame:
-        raw = self._raw[table]
-        return raw if self._all_fetches else stg.newest_fetch(raw)
+        if self._all_fetches:
+            return self._raw[table]
+        if table not in self._cut:
+            self._cut[table] = stg.newest_fetch(self._raw[table])
+        return self._cut[table]
 
     def _array(self, name: str) -> DataFrame:
         return stg.entity_array(self._newest("pokemons"), name)

@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", app: str = "layerwright", **conf: str)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="layerwright-wh-"))
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="layerwright-cp-"))

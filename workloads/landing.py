@@ -7,7 +7,7 @@ arrays, missing stats, texts in other languages only, two or no matching genera,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.plans.marts import LiveMarts, Views
@@ -30,91 +30,86 @@ STAT_FACTORS = {
 }
 
 
-def _url(kind: str, number: Column) -> Column:
-    return F.concat(F.lit(f"{API}/{kind}/"), number.cast("string"), F.lit("/"))
+def _url(kind: str, number: str) -> str:
+    return f"concat('{API}/{kind}/', {number}, '/')"
 
 
-def _named(name: Column) -> Column:
-    return F.struct(name.alias("name"))
+def _named(name: str) -> str:
+    return f"named_struct('name', {name})"
 
 
-def _stat(name: str, value: Column) -> Column:
-    return F.struct(value.cast("int").alias("base_stat"), _named(F.lit(name)).alias("stat"))
+def _stat(name: str, value: str) -> str:
+    return f"named_struct('base_stat', CAST({value} AS INT), 'stat', {_named(repr(name))})"
 
 
-def _typed(slot: int, name: Column) -> Column:
-    return F.struct(F.lit(slot).alias("slot"), _named(name).alias("type"))
+def _typed(slot: int, name: str) -> str:
+    return f"named_struct('slot', {slot}, 'type', {_named(name)})"
 
 
-def _said(field: str, text: Column, language: str) -> Column:
-    return F.struct(text.alias(field), _named(F.lit(language)).alias("language"))
+def _said(field: str, text: str, language: str) -> str:
+    return f"named_struct('{field}', {text}, 'language', {_named(repr(language))})"
 
 
-def _when(condition: Column, *elements: Column) -> Column:
+def _when(condition: str, *elements: str) -> str:
     """The elements as an array where the condition holds, else an empty array."""
-    full = F.array(*elements)
-    return F.when(condition, full).otherwise(F.filter(full, lambda _: F.lit(False)))
+    full = f"array({', '.join(elements)})"
+    return f"IF({condition}, {full}, filter({full}, x -> false))"
 
 
-def _land(rows: DataFrame, fetched: str, payload: dict[str, Column], key: Column | None = None) -> DataFrame:
-    document = F.struct(*[column.alias(name) for name, column in payload.items()])
-    return rows.select(
-        *([] if key is None else [key.cast("bigint").alias("id")]),
-        F.lit(fetched).cast("timestamp_ntz").alias("fetch_date"),
-        F.lit(f"batch-{fetched[:10]}").alias("batch_id"),
-        F.to_json(document, {"ignoreNullFields": "false"}).alias("payload"),
+def _land(rows: DataFrame, fetched: str, payload: dict[str, str], key: str | None = None) -> DataFrame:
+    fields = ", ".join(f"'{name}', {value}" for name, value in payload.items())
+    return rows.selectExpr(
+        *([] if key is None else [f"CAST({key} AS BIGINT) AS id"]),
+        f"TIMESTAMP_NTZ '{fetched}' AS fetch_date",
+        f"'batch-{fetched[:10]}' AS batch_id",
+        f"to_json(named_struct({fields}), map('ignoreNullFields', 'false')) AS payload",
     )
 
 
-def _entity_payload(height: Column, n_moves: int) -> dict[str, Column]:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    kind, brand = F.col("p_type"), F.col("p_brand")
-    early, late = (size + 3) % 9 + 1, size % 9 + 1
-    stats = {
-        name: _stat(name, key * factor % 256) for name, factor in STAT_FACTORS.items()
-    }
-    speed = stats.pop("speed")
-    change = lambda period, *types: F.struct(
-        F.struct(_url("generation", period).alias("url")).alias("generation"),
-        F.array(*types).alias("types"),
-    )
-    first_change = change(early + 1, _typed(1, F.concat(F.lit("OLD "), kind)))
-    both_changes = (
-        change(
-            early + 1,
-            _typed(1, F.concat(F.lit("OLD "), kind)),
-            _typed(2, F.concat(F.lit("OLD "), brand)),
-        ),
-        change(early + 3, _typed(1, F.concat(F.lit("MID "), kind))),
+EARLY = "(p_size + 3) % 9 + 1"
+LATE = "p_size % 9 + 1"
+
+
+def _change(period: str, *types: str) -> str:
+    generation = f"named_struct('url', {_url('generation', period)})"
+    return f"named_struct('generation', {generation}, 'types', array({', '.join(types)}))"
+
+
+def _entity_payload(height: str, n_moves: int) -> dict[str, str]:
+    stats = [
+        _stat(name, f"p_partkey * {factor} % 256")
+        for name, factor in STAT_FACTORS.items()
+        if name != "speed"
+    ]
+    speed = _stat("speed", f"p_partkey * {STAT_FACTORS['speed']} % 256")
+    old_type, old_brand = _typed(1, "'OLD ' || p_type"), _typed(2, "'OLD ' || p_brand")
+    once = _change(f"{EARLY} + 1", old_type)
+    twice = (
+        _change(f"{EARLY} + 1", old_type, old_brand),
+        _change(f"{EARLY} + 3", _typed(1, "'MID ' || p_type")),
     )
-    second_slot = change(late + 2, _typed(2, F.concat(F.lit("OLD "), brand)))
-    learned = F.transform(
-        # the first move is listed twice
-        F.concat(F.array(F.lit(0)), F.sequence(F.lit(0), size % 5)),
-        lambda j: F.struct(
-            F.struct(_url("move", (key * 7 + j * 13) % n_moves + 1).alias("url")).alias("move")
-        ),
+    second_slot = _change(f"{LATE} + 2", old_brand)
+    past_stat = (
+        f"named_struct('generation', named_struct('url', {_url('generation', LATE + ' + 2')}), "
+        f"'stats', array({_stat('attack', '10')}, {_stat('special', '20')}))"
     )
+    move = _url("move", f"(p_partkey * 7 + j * 13) % {n_moves} + 1")
     return {
-        "name": F.col("p_name"),
+        "name": "p_name",
         "height": height,
-        "weight": F.floor("p_retailprice").cast("int"),
-        "stats": F.concat(F.array(*stats.values()), _when(size != 1, speed)),
-        "types": F.concat(F.array(_typed(1, kind)), _when(size > 25, _typed(2, brand))),
-        "past_types": F.when(size <= 5, F.array(*both_changes))
-        .when(size <= 10, F.array(first_change))
-        .otherwise(_when(size > 45, second_slot)),
-        "past_stats": _when(
-            size.between(20, 23),
-            F.struct(
-                F.struct(_url("generation", late + 2).alias("url")).alias("generation"),
-                F.array(
-                    _stat("attack", F.lit(10)),
-                    _stat("special", F.lit(20)),
-                ).alias("stats"),
-            ),
+        "weight": "CAST(floor(p_retailprice) AS INT)",
+        "stats": f"concat(array({', '.join(stats)}), {_when('p_size != 1', speed)})",
+        "types": f"concat(array({_typed(1, 'p_type')}), {_when('p_size > 25', _typed(2, 'p_brand'))})",
+        "past_types": (
+            f"CASE WHEN p_size <= 5 THEN array({', '.join(twice)}) "
+            f"WHEN p_size <= 10 THEN array({once}) ELSE {_when('p_size > 45', second_slot)} END"
+        ),
+        "past_stats": _when("p_size BETWEEN 20 AND 23", past_stat),
+        # the first move is listed twice
+        "moves": (
+            "transform(concat(array(0), sequence(0, p_size % 5)), "
+            f"j -> named_struct('move', named_struct('url', {move})))"
         ),
-        "moves": learned,
     }
 
 
@@ -122,121 +117,108 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as entities; those larger than 25 are fetched a second time, then taller."""
     part = table(spark, folder, "part")
     n_moves = table(spark, folder, "supplier").count()
-    size = F.col("p_size")
-    key = F.col("p_partkey") + 1
-    first = _land(part, FIRST, _entity_payload(size, n_moves), key)
-    second = _land(part.where(size > 25), SECOND, _entity_payload(size + 10, n_moves), key)
+    first = _land(part, FIRST, _entity_payload("p_size", n_moves), "p_partkey + 1")
+    second = _land(
+        part.where("p_size > 25"), SECOND, _entity_payload("p_size + 10", n_moves), "p_partkey + 1"
+    )
     return first.unionByName(second)
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """One document per part; size 10 lists nothing, larger ones are listed again later."""
     part = table(spark, folder, "part")
-    size, key = F.col("p_size"), F.col("p_partkey") + 1
 
-    def listed(name: Column, number: Column) -> Column:
-        return F.struct(name.alias("name"), _url("species", number).alias("url"))
+    def listed(name: str, number: str) -> str:
+        return f"named_struct('name', {name}, 'url', {_url('species', number)})"
 
-    def document(generation: Column, name: Column, keep: Column) -> dict[str, Column]:
-        form = listed(F.concat(name, F.lit(" form")), key + 1_000_000_000_000)
-        return {"id": generation, "pokemon_species": _when(keep, listed(name, key), form)}
+    def document(generation: str, name: str, keep: str) -> dict[str, str]:
+        form = listed(f"{name} || ' form'", "p_partkey + 1000000000001")
+        return {
+            "id": generation,
+            "pokemon_species": _when(keep, listed(name, "p_partkey + 1"), form),
+        }
 
-    old_name = F.concat(F.lit("old "), F.col("p_name"))
-    first = _land(part, FIRST, document((size + 3) % 9 + 1, old_name, size != 10))
-    second = _land(
-        part.where(size > 10), SECOND, document(size % 9 + 1, F.col("p_name"), F.lit(True))
-    )
+    first = _land(part, FIRST, document(EARLY, "'old ' || p_name", "p_size != 10"))
+    second = _land(part.where("p_size > 10"), SECOND, document(LATE, "p_name", "true"))
     return first.unionByName(second)
 
 
 def species(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part")
-    size, name = F.col("p_size"), F.col("p_name")
-    french = _said("flavor_text", F.concat(F.lit("fr "), name), "fr")
-    texts = F.concat(
-        _when(size != 7, _said("flavor_text", F.concat(name, F.lit("\ffirst")), "en")),
-        F.array(french),
-        _when(
-            size != 7,
-            _said("flavor_text", F.concat(name, F.lit("\fis\n"), F.col("p_type")), "en"),
-        ),
-        F.array(french),
-    )
-    genera = F.concat(
-        F.array(_said("genus", F.lit("fr"), "fr")),
-        _when(size != 9, _said("genus", F.col("p_brand"), "en")),
-        _when(size == 8, _said("genus", F.lit("second"), "en")),
+    french = _said("flavor_text", "'fr ' || p_name", "fr")
+    first_text = _said("flavor_text", "p_name || chr(12) || 'first'", "en")
+    last_text = _said("flavor_text", "p_name || chr(12) || 'is' || chr(10) || p_type", "en")
+    said_in_english = "p_size != 7"
+    texts = ", ".join(
+        [
+            _when(said_in_english, first_text),
+            f"array({french})",
+            _when(said_in_english, last_text),
+            f"array({french})",
+        ]
     )
-    parent = F.struct(
-        F.concat(F.lit("parent of "), name).alias("name"),
-        _url("species", F.col("p_partkey")).alias("url"),
+    genera = ", ".join(
+        [
+            f"array({_said('genus', repr('fr'), 'fr')})",
+            _when("p_size != 9", _said("genus", "p_brand", "en")),
+            _when("p_size = 8", _said("genus", "'second'", "en")),
+        ]
     )
+    parent = f"named_struct('name', 'parent of ' || p_name, 'url', {_url('species', 'p_partkey')})"
 
-    def document(color: Column) -> dict[str, Column]:
+    def document(color: str) -> dict[str, str]:
         return {
-            "flavor_text_entries": texts,
-            "genera": genera,
-            "is_legendary": F.col("p_retailprice") > 1000,
-            "is_mythical": F.col("p_type") == "SMALL",
-            "is_baby": size < 3,
+            "flavor_text_entries": f"concat({texts})",
+            "genera": f"concat({genera})",
+            "is_legendary": "p_brand = 'Brand#9'",
+            "is_mythical": "p_type = 'SMALL'",
+            "is_baby": "p_size < 3",
             "color": _named(color),
-            "habitat": F.when(size <= 40, _named(F.col("p_brand"))),
-            "evolves_from_species": F.when(size > 20, parent),
+            "habitat": f"IF(p_size <= 40, {_named('p_brand')}, NULL)",
+            "evolves_from_species": f"IF(p_size > 20, {parent}, NULL)",
         }
 
-    key = F.col("p_partkey") + 1
-    first = _land(part, FIRST, document(F.lit("grey")), key)
-    return first.unionByName(_land(part, SECOND, document(F.col("p_type")), key))
+    first = _land(part, FIRST, document("'grey'"), "p_partkey + 1")
+    return first.unionByName(_land(part, SECOND, document("p_type"), "p_partkey + 1"))
 
 
 def moves(spark: SparkSession, folder: str) -> DataFrame:
-    supplier = table(spark, folder, "supplier")
-    nation = F.col("s_nationkey")
-    classes = F.when(nation % 3 == 0, "physical").when(nation % 3 == 1, "special")
     payload = {
-        "id": F.col("s_suppkey") + 1,
-        "name": F.lower("s_name"),
-        "power": F.when(nation >= 6, F.floor(F.abs("s_acctbal")).cast("int") % 150),
-        "accuracy": F.when(nation >= 3, nation + 50),
-        "pp": nation + 5,
-        "priority": nation % 3 - 1,
-        "type": _named(F.concat(F.lit("type-"), nation.cast("string"))),
-        "damage_class": _named(classes.otherwise("status")),
-        "generation": F.struct(_url("generation", nation % 9 + 1).alias("url")),
+        "id": "s_suppkey + 1",
+        "name": "lower(s_name)",
+        "power": "IF(s_nationkey >= 6, CAST(floor(abs(s_acctbal)) AS INT) % 150, NULL)",
+        "accuracy": "IF(s_nationkey >= 3, s_nationkey + 50, NULL)",
+        "pp": "s_nationkey + 5",
+        "priority": "s_nationkey % 3 - 1",
+        "type": _named("'type-' || s_nationkey"),
+        "damage_class": _named("elt(s_nationkey % 3 + 1, 'physical', 'special', 'status')"),
+        "generation": f"named_struct('url', {_url('generation', 's_nationkey % 9 + 1')})",
     }
-    return _land(supplier, FIRST, payload, F.col("s_suppkey") + 1)
+    return _land(table(spark, folder, "supplier"), FIRST, payload, "s_suppkey + 1")
 
 
 def generations(spark: SparkSession, folder: str) -> DataFrame:
-    nation = table(spark, folder, "nation")
+    names = [_said("name", "'Nation ' || n_name", "en"), _said("name", "'Pays ' || n_name", "fr")]
     payload = {
-        "id": F.col("n_nationkey") + 1,
-        "name": F.lower("n_name"),
-        "names": F.array(
-            _said("name", F.concat(F.lit("Nation "), F.col("n_name")), "en"),
-            _said("name", F.concat(F.lit("Pays "), F.col("n_name")), "fr"),
-        ),
+        "id": "n_nationkey + 1",
+        "name": "lower(n_name)",
+        "names": f"array({', '.join(names)})",
     }
-    return _land(nation, FIRST, payload)
+    return _land(table(spark, folder, "nation"), FIRST, payload)
 
 
 def version_groups(spark: SparkSession, folder: str) -> DataFrame:
-    nation = table(spark, folder, "nation")
-    key = F.col("n_nationkey")
-
-    def version(suffix: str, number: Column) -> Column:
-        return F.struct(
-            F.concat(F.lower("n_name"), F.lit(suffix)).alias("name"),
-            _url("version", number).alias("url"),
-        )
+    def version(suffix: str, number: str) -> str:
+        return f"named_struct('name', lower(n_name) || '{suffix}', 'url', {_url('version', number)})"
 
+    versions = [version("-red", "n_nationkey * 2 + 1"), version("-blue", "n_nationkey * 2 + 2")]
     payload = {
-        "id": key + 1,
-        "name": F.lower("n_name"),
-        "generation": F.struct(_url("generation", F.col("n_regionkey") + 1).alias("url")),
-        "versions": F.array(version("-red", key * 2 + 1), version("-blue", key * 2 + 2)),
+        "id": "n_nationkey + 1",
+        "name": "lower(n_name)",
+        "generation": f"named_struct('url', {_url('generation', 'n_regionkey + 1')})",
+        "versions": f"array({', '.join(versions)})",
     }
-    return _land(nation, FIRST, payload)
+    return _land(table(spark, folder, "nation"), FIRST, payload)
 
 
 BUILDERS = {
@@ -255,21 +237,24 @@ class RawTables:
     def __init__(self, spark: SparkSession, folder: str, until: str | None = None):
         self._source = (spark, folder)
         self._until = until
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        landed = BUILDERS[name](*self._source)
-        if self._until is not None:
-            landed = landed.where(F.col("fetch_date") <= F.lit(self._until).cast("timestamp_ntz"))
-        return landed
+        if name not in self._built:
+            landed = BUILDERS[name](*self._source)
+            if self._until is not None:
+                landed = landed.where(f"fetch_date <= TIMESTAMP_NTZ '{self._until}'")
+            self._built[name] = landed
+        return self._built[name]
 
 
 def starters(spark: SparkSession, folder: str) -> DataFrame:
     """The parts of one brand as a CSV seed, written and read back."""
     path = fresh_path(spark, "starters")
     seed = table(spark, folder, "part").where(F.col("p_brand") == "Brand#1")
-    seed.select(
-        (F.col("p_size") % 9 + 1).alias("generation"), (F.col("p_partkey") + 1).alias("poke_id")
-    ).write.csv(path, header=True)
+    seed.selectExpr(f"{LATE} AS generation", "p_partkey + 1 AS poke_id").write.csv(
+        path, header=True
+    )
     return read_seed(spark, path, STARTERS)
 
 

@@ -84,7 +84,7 @@ starters AS (
 species AS (
   SELECT TIMESTAMP '2024-06-01' AS fetch_date, poke_id,
          CASE WHEN p_size <> 7 THEN poke_name || ' is ' || p_type END AS description,
-         g.genus, p_retailprice > 1000 AS is_legendary, p_type = 'SMALL' AS is_mythical,
+         g.genus, p_brand = 'Brand#9' AS is_legendary, p_type = 'SMALL' AS is_mythical,
          p_size < 3 AS is_baby, p_type AS color,
          CASE WHEN p_size <= 40 THEN p_brand END AS habitat,
          CASE WHEN p_size > 20 THEN 'parent of ' || poke_name END AS evolves_from_name,
@@ -631,7 +631,7 @@ def explore_entities(spark: SparkSession, folder: str) -> DataFrame:
         SELECT e.poke_id, e.poke_name, g.gen_name, e.p_type AS primary_type,
                CASE WHEN e.p_size > 25 THEN e.p_brand END AS secondary_type,
                coalesce(CAST(r.rank AS VARCHAR), '—') AS rank, coalesce(r.tier, '—') AS tier,
-               e.p_brand = 'Brand#1' AS is_starter, e.p_retailprice > 1000 AS is_legendary
+               e.p_brand = 'Brand#1' AS is_starter, e.p_brand = 'Brand#9' AS is_legendary
         FROM entities e LEFT JOIN strongest r USING (poke_id) LEFT JOIN generations g
           ON g.poke_gen = e.poke_gen
         """
