@@ -1,0 +1,15 @@
+"""Even use of the cores for costly work on each row."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly when the scan has fewer partitions than there are cores.
+
+    For sources of a few unsplittable files before row-by-row work such as parsing. A source that
+    already has enough splits is left as it is, so on a large table there is no added shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

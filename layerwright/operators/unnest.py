@@ -6,10 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _elements(df: DataFrame, array: str | Column, element: str, keep: tuple[str, ...]) -> DataFrame:
+    """``keep``, the position from 0 and the element, one row per array element.
+
+    A plain explode makes Spark put a filter on the array's size below it, and with the array coming
+    from ``from_json`` the payload is then parsed once more for the filter. The outer form has no
+    such filter; a position is there exactly when there is an element, so the result is the same.
+    """
+    column = F.col(array) if isinstance(array, str) else array
+    rows = df.select(*keep, F.posexplode_outer(column).alias("__at", element))
+    return rows.where(F.col("__at").isNotNull())
+
+
 def unnest(df: DataFrame, array: str | Column, fields: dict[str, str], *keep: str) -> DataFrame:
     """One row per array element: the ``keep`` columns plus ``fields`` as {path: output name}."""
-    column = F.col(array) if isinstance(array, str) else array
-    rows = df.select(*keep, F.explode(column).alias("__element"))
+    rows = _elements(df, array, "__element", keep)
     picked = [F.col(f"__element.{path}").alias(name) for path, name in fields.items()]
     return rows.select(*keep, *picked)
 
@@ -27,9 +38,14 @@ def unnest_nested(
     return unnest(groups, "__inner", inner_fields, *keep, *outer_fields.values())
 
 
+def unnest_whole(df: DataFrame, array: str | Column, element: str, *keep: str) -> DataFrame:
+    """One row per array element, the element kept as it is."""
+    return _elements(df, array, element, keep).select(*keep, element)
+
+
 def unnest_with_position(df: DataFrame, array: str, element: str, *keep: str) -> DataFrame:
     """One row per element with its position counted from 1."""
-    rows = df.select(*keep, F.posexplode(array).alias("__at", element))
+    rows = _elements(df, array, element, keep)
     return rows.select(*keep, (F.col("__at") + 1).alias("position"), element)
 
 

@@ -121,7 +121,7 @@ class Views:
         return self._cut[table]
 
     def _array(self, name: str) -> DataFrame:
-        return stg.entity_array(self._newest("pokemons"), name)
+        return stg.entity_arrays(self._newest("pokemons"), name)
 
     _BUILDERS = {
         "stg_generations": lambda v: stg.generations(v._raw["generations"]),

@@ -6,18 +6,20 @@ A function takes its raw table as landed. Where a raw table may hold several fet
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.functions import clean_text, last_match, matching, parse, round_scaled, url_segment, url_tail
 from layerwright.operators.latest import latest_per_key
 from layerwright.operators.unnest import unnest
-from layerwright.sources.raw import PAYLOADS
+from layerwright.sources.raw import payload_schema
 
 # The language of names and texts kept by the models.
 LANGUAGE = "en"
 
-# The array columns handed on by ``entity_arrays``, one per view.
+# The array columns handed on by ``entity_arrays``, one per view.
 ENTITY_ARRAYS = ("stats", "types", "moves", "past_types", "past_stats")
 
 
@@ -26,8 +28,11 @@ def newest_fetch(raw: DataFrame, key: str = "id") -> DataFrame:
     return latest_per_key(raw, [key], ["fetch_date", "batch_id", "payload"])
 
 
-def _parsed(raw: DataFrame, name: str, *keep: str) -> DataFrame:
-    return raw.select(*keep, parse("payload", PAYLOADS[name]).alias("p"))
+def _parsed(
+    raw: DataFrame, name: str, *keep: str, fields: Sequence[str] = ()
+) -> DataFrame:
+    """The payload as struct ``p``; only the named fields, if any are named, are read from it."""
+    return raw.select(*keep, parse("payload", payload_schema(name, *fields)).alias("p"))
 
 
 def _int(column: Column | str) -> Column:
@@ -62,7 +67,8 @@ def catalogue(raw: DataFrame) -> DataFrame:
 
 def entities(raw: DataFrame, catalogue_view: DataFrame) -> DataFrame:
     """Name and size per entity, with the generation the catalogue gives, if any."""
-    sized = _parsed(raw, "pokemons", "fetch_date", "id").select(
+    fields = ("name", "height", "weight")
+    sized = _parsed(raw, "pokemons", "fetch_date", "id", fields=fields).select(
         "fetch_date",
         F.col("id").alias("poke_id"),
         F.col("p.name").alias("poke_name"),
@@ -73,21 +79,15 @@ def entities(raw: DataFrame, catalogue_view: DataFrame) -> DataFrame:
     return joined.select("fetch_date", "poke_gen", "poke_id", "poke_name", "height", "weight")
 
 
-def entity_arrays(raw: DataFrame) -> DataFrame:
-    """All array columns of the entity payload from a single parse."""
-    parsed = _parsed(raw, "pokemons", "fetch_date", "id")
+def entity_arrays(raw: DataFrame, *names: str) -> DataFrame:
+    """Array columns of the entity payload, all five by default, from a single parse."""
+    names = names or ENTITY_ARRAYS
+    parsed = _parsed(raw, "pokemons", "fetch_date", "id", fields=names)
     return parsed.select(
-        "fetch_date",
-        F.col("id").alias("poke_id"),
-        *[F.col(f"p.{name}").alias(name) for name in ENTITY_ARRAYS],
+        "fetch_date", F.col("id").alias("poke_id"), *[F.col(f"p.{n}").alias(n) for n in names]
     )
 
 
-def entity_array(raw: DataFrame, name: str) -> DataFrame:
-    """One array column of the entity payload; the other fields are not parsed."""
-    return entity_arrays(raw).select("fetch_date", "poke_id", name)
-
-
 def move_details(raw: DataFrame) -> DataFrame:
     return _parsed(raw, "moves", "fetch_date").select(
         "fetch_date",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.functions import array_of, as_utc_timestamp, payload_subset, url_tail
+from layerwright.functions import as_utc_timestamp, parse, payload_subset, url_tail
 from layerwright.operators.incremental import append_unseen
 from layerwright.operators.planning import split_malformed
 from layerwright.operators.unnest import unnest
@@ -31,29 +31,61 @@ _LINK = "struct<url:string>"
 _ENTRY_STATS = f"array<struct<base_stat:string, stat:{_NAMED}>>"
 _ENTRY_TYPES = f"array<struct<slot:string, type:{_NAMED}>>"
 PAYLOADS = {
-    "generations": f"id string, name string, names array<struct<name:string, language:{_NAMED}>>",
-    "pokemon_catalogue": "id string, pokemon_species array<struct<name:string, url:string>>",
-    "version_groups": (
-        f"id string, name string, generation {_LINK}, versions array<struct<name:string, url:string>>"
-    ),
-    "pokemons": (
-        f"name string, height string, weight string, stats {_ENTRY_STATS}, types {_ENTRY_TYPES}, "
-        f"past_types array<struct<generation:{_LINK}, types:{_ENTRY_TYPES}>>, "
-        f"past_stats array<struct<generation:{_LINK}, stats:{_ENTRY_STATS}>>, "
-        f"moves array<struct<move:{_LINK}>>"
-    ),
-    "moves": (
-        "id string, name string, power string, accuracy string, pp string, priority string, "
-        f"type {_NAMED}, damage_class {_NAMED}, generation {_LINK}"
-    ),
-    "pokemon_species": (
-        f"flavor_text_entries array<struct<flavor_text:string, language:{_NAMED}>>, "
-        f"genera array<struct<genus:string, language:{_NAMED}>>, "
-        "is_legendary string, is_mythical string, is_baby string, "
-        f"color {_NAMED}, habitat {_NAMED}, evolves_from_species struct<name:string, url:string>"
-    ),
+    "generations": {
+        "id": "string",
+        "name": "string",
+        "names": f"array<struct<name:string, language:{_NAMED}>>",
+    },
+    "pokemon_catalogue": {
+        "id": "string",
+        "pokemon_species": "array<struct<name:string, url:string>>",
+    },
+    "version_groups": {
+        "id": "string",
+        "name": "string",
+        "generation": _LINK,
+        "versions": "array<struct<name:string, url:string>>",
+    },
+    "pokemons": {
+        "name": "string",
+        "height": "string",
+        "weight": "string",
+        "stats": _ENTRY_STATS,
+        "types": _ENTRY_TYPES,
+        "past_types": f"array<struct<generation:{_LINK}, types:{_ENTRY_TYPES}>>",
+        "past_stats": f"array<struct<generation:{_LINK}, stats:{_ENTRY_STATS}>>",
+        "moves": f"array<struct<move:{_LINK}>>",
+    },
+    "moves": {
+        "id": "string",
+        "name": "string",
+        "power": "string",
+        "accuracy": "string",
+        "pp": "string",
+        "priority": "string",
+        "type": _NAMED,
+        "damage_class": _NAMED,
+        "generation": _LINK,
+    },
+    "pokemon_species": {
+        "flavor_text_entries": f"array<struct<flavor_text:string, language:{_NAMED}>>",
+        "genera": f"array<struct<genus:string, language:{_NAMED}>>",
+        "is_legendary": "string",
+        "is_mythical": "string",
+        "is_baby": "string",
+        "color": _NAMED,
+        "habitat": _NAMED,
+        "evolves_from_species": "struct<name:string, url:string>",
+    },
 }
 
+
+def payload_schema(table: str, *fields: str) -> str:
+    """Schema of the named payload fields of a raw table, or of all its fields."""
+    shape = PAYLOADS[table]
+    return ", ".join(f"{name} {shape[name]}" for name in (fields or shape))
+
+
 # Payloads cut to the fields needed before landing; the others land whole.
 LANDED_SUBSET = ("generations", "pokemon_catalogue", "version_groups")
 
@@ -85,7 +117,7 @@ def prepare(landed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     good, bad = split_malformed(landed)
     good = good.withColumn("fetch_date", as_utc_timestamp("fetch_date"))
     if name in LANDED_SUBSET:
-        good = good.withColumn("payload", payload_subset("payload", PAYLOADS[name]))
+        good = good.withColumn("payload", payload_subset("payload", payload_schema(name)))
     columns = [part.split()[0] for part in RAW_TABLES[name].split(", ")]
     return good.select(*columns), bad
 
@@ -120,14 +152,9 @@ def unseen_payloads(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 def id_lookup(catalogue: DataFrame) -> DataFrame:
     """Catalogue payloads flattened to (poke_id, poke_gen)."""
-    species = array_of(F.get_json_object("payload", "$.pokemon_species"), "url string")
-    rows = unnest(
-        catalogue.select(
-            F.get_json_object("payload", "$.id").cast("int").alias("poke_gen"),
-            species.alias("species"),
-        ),
-        "species",
-        {"url": "url"},
-        "poke_gen",
+    parsed = catalogue.select(parse("payload", payload_schema("pokemon_catalogue")).alias("p"))
+    documents = parsed.select(
+        F.col("p.id").cast("int").alias("poke_gen"), F.col("p.pokemon_species").alias("species")
     )
+    rows = unnest(documents, "species", {"url": "url"}, "poke_gen")
     return rows.select(url_tail("url").cast("bigint").alias("poke_id"), "poke_gen")

@@ -80,25 +80,26 @@ def load_mart(
     already loaded (kept in the table property ``loaded_until``), so batches that arrived between
     two runs are taken too.
     """
+    if mark_from not in ("source", "target"):
+        raise ValueError(f"unknown mark_from {mark_from!r}")
     spark = source.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    newest = high_water_mark(source, loaded_at)
     incremental = exists(spark, table) and not full_refresh
-
-    if not incremental:
-        batch = source
-    elif mark_from == "source":
-        batch = since(source, loaded_at, newest)
-    elif mark_from == "target":
-        batch = since(source, loaded_at, _loaded_until(spark, table, source.schema[loaded_at]))
-    else:
-        raise ValueError(f"unknown mark_from {mark_from!r}")
-
+    # the mark costs a pass over the source, so it is only taken where it is used
+    newest = high_water_mark(source, loaded_at) if incremental or mark_from == "target" else None
+
+    batch = source
+    if incremental:
+        mark = newest
+        if mark_from == "target":
+            mark = _loaded_until(spark, table, source.schema[loaded_at])
+        batch = since(source, loaded_at, mark)
     batch = batch.select(*columns)
     if distinct:
         batch = batch.distinct()
-    replace_table(keyed_replace(spark.table(table), batch, keys) if incremental else batch, table, root)
-    if newest is not None:
+    rows = keyed_replace(spark.table(table), batch, keys) if incremental else batch
+    replace_table(rows, table, root)
+    if mark_from == "target" and newest is not None:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('loaded_until' = '{newest}')")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerwright.operators.spread import spread_rows
 from layerwright.plans.marts import LiveMarts, Views
 from layerwright.session import fresh_path
 from layerwright.sources.seeds import STARTERS, read_seed
@@ -115,7 +116,7 @@ def _entity_payload(height: str, n_moves: int) -> dict[str, str]:
 
 def entities(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as entities; those larger than 25 are fetched a second time, then taller."""
-    part = table(spark, folder, "part")
+    part = spread_rows(table(spark, folder, "part"))
     n_moves = table(spark, folder, "supplier").count()
     first = _land(part, FIRST, _entity_payload("p_size", n_moves), "p_partkey + 1")
     second = _land(
@@ -126,7 +127,7 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """One document per part; size 10 lists nothing, larger ones are listed again later."""
-    part = table(spark, folder, "part")
+    part = spread_rows(table(spark, folder, "part"))
 
     def listed(name: str, number: str) -> str:
         return f"named_struct('name', {name}, 'url', {_url('species', number)})"
@@ -144,7 +145,7 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def species(spark: SparkSession, folder: str) -> DataFrame:
-    part = table(spark, folder, "part")
+    part = spread_rows(table(spark, folder, "part"))
     french = _said("flavor_text", "'fr ' || p_name", "fr")
     first_text = _said("flavor_text", "p_name || chr(12) || 'first'", "en")
     last_text = _said("flavor_text", "p_name || chr(12) || 'is' || chr(10) || p_type", "en")

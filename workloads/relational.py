@@ -30,7 +30,14 @@ from layerwright.operators.latest import distinct_values, latest_per_key
 from layerwright.operators.ordered import rank_table
 from layerwright.operators.profile import column_profile, sample_rows, table_columns
 from layerwright.operators.reshape import pivot_fixed, unpivot
-from layerwright.operators.unnest import unnest, unnest_nested, unnest_with_position, with_matching
+from layerwright.operators.spread import spread_rows
+from layerwright.operators.unnest import (
+    unnest,
+    unnest_nested,
+    unnest_whole,
+    unnest_with_position,
+    with_matching,
+)
 from layerwright.session import fresh_path
 from layerwright.sources import archive, tables
 from layerwright.sources.seeds import read_seed
@@ -150,7 +157,7 @@ def json_explode_items(spark: SparkSession, folder: str) -> DataFrame:
     items = [
         F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in _MEASURES
     ]
-    landed = table(spark, folder, "lineitem").select(
+    landed = spread_rows(table(spark, folder, "lineitem")).select(
         "l_orderkey", "l_linenumber", F.to_json(F.array(*items)).alias("payload")
     )
     rows = landed.select(
@@ -171,7 +178,7 @@ def json_explode_items(spark: SparkSession, folder: str) -> DataFrame:
 )
 def json_raw_elements(spark: SparkSession, folder: str) -> DataFrame:
     """Array elements of differing shapes, kept as JSON text and read one by one."""
-    landed = table(spark, folder, "orders").select(
+    landed = spread_rows(table(spark, folder, "orders")).select(
         "o_orderkey",
         F.concat(
             F.lit('[{"status":"'),
@@ -181,7 +188,7 @@ def json_raw_elements(spark: SparkSession, folder: str) -> DataFrame:
             F.lit('"}]'),
         ).alias("payload"),
     )
-    rows = landed.select("o_orderkey", F.explode(raw_elements("payload")).alias("element"))
+    rows = unnest_whole(landed, raw_elements("payload"), "element", "o_orderkey")
     status, priority = json_text("element", "$.status"), json_text("element", "$.priority")
     return rows.select(
         "o_orderkey",
@@ -209,7 +216,7 @@ def json_explode_nested(spark: SparkSession, folder: str) -> DataFrame:
         url = F.concat(F.lit("/period/"), (year + n).cast("string"), F.lit("/"))
         return F.struct(url.alias("url"), slots.alias("slots"))
 
-    landed = table(spark, folder, "orders").select(
+    landed = spread_rows(table(spark, folder, "orders")).select(
         "o_orderkey", F.to_json(F.array(period(0), period(1))).alias("payload")
     )
     shape = "url string, slots array<struct<slot:int, type:string>>"
