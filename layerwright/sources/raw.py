@@ -123,22 +123,25 @@ def prepare(landed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 def land(spark: SparkSession, database: str, name: str, landed: DataFrame) -> None:
-    """Append landed rows; those of keyed tables only where the id is not yet there.
+    """Append the landed rows whose id the raw table does not hold yet.
 
-    Unreadable payloads go to ``<name>_quarantine`` with everything they came with.
+    The id is the key column, or the payload's own id where the table has none. Unreadable payloads
+    go to ``<name>_quarantine`` with everything they came with. Landing the same rows again adds
+    nothing to the raw table.
     """
     good, bad = prepare(landed, name)
     target = f"{database}.{name}"
     if "id" in good.columns:
         good = append_unseen(spark.table(target), good, ["id"])
-    elif name == "pokemon_catalogue":
+    else:
         good = unseen_payloads(spark.table(target), good)
-    tables.append(good, target)
-    tables.create_like(bad, f"{target}_quarantine")
-    tables.append(bad, f"{target}_quarantine")
     if name == "pokemon_catalogue":
+        # before the payloads: once those are in, they no longer count as unseen
         lookup = f"{database}.pokemon_ids"
         tables.append(append_unseen(spark.table(lookup), id_lookup(good), ["poke_id"]), lookup)
+    tables.append(good, target)
+    tables.create_like(bad, f"{target}_quarantine")
+    tables.append(bad, f"{target}_quarantine")
 
 
 def unseen_payloads(target: DataFrame, batch: DataFrame) -> DataFrame:

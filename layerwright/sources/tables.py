@@ -40,7 +40,11 @@ def replace_table(
             spark.sql(f"MSCK REPAIR TABLE {table}")
         spark.catalog.refreshTable(table)
     else:
-        spark.catalog.createTable(table, path=folder, source="parquet")
+        # a partitioned layout is read off the folders; otherwise the columns are known
+        schema = None if partition_by else df.schema
+        spark.catalog.createTable(table, path=folder, source="parquet", schema=schema)
+        if partition_by:
+            spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
 def create_if_absent(spark: SparkSession, table: str, schema: T.StructType | str) -> None:
