@@ -37,54 +37,54 @@ def validity_windows(
     """
     if rule not in ("documented", "as_written"):
         raise ValueError(f"unknown rule {rule!r}")
-    intro_side = introduced.select(entity, F.col(intro).alias("__intro"))
-    past_side = introduced.select(entity, F.col(intro).alias("__intro"), *carry)
-
     changes = previous_in_group(
         past.select(entity, slot, value, period),
         [entity, slot],
         [period, value],
         period,
-        into="__previous",
+        into="__prior",
         has_previous="__follows",
-    ).join(past_side, entity, "left")
-    if rule == "documented":
-        changes = changes.withColumn("__prior", F.col("__previous")).withColumn(
-            "__until", F.col(period)
-        )
-    else:
-        changes = changes.withColumn(
-            "__prior", F.when(F.col("__follows"), F.col("__intro"))
-        ).withColumn("__until", F.col("__intro"))
+    )
     closed = changes.select(
-        *carry,
         entity,
         slot,
         value,
-        F.coalesce(F.col("__prior") + 1, F.col("__intro")).alias("valid_from"),
-        F.col("__until").alias("valid_to"),
+        "__prior",
+        "__follows",
+        F.col(period).alias("__until"),
+        F.lit(False).alias("__open"),
+        *[F.lit(None).cast(current.schema[c].dataType).alias(c) for c in carry],
+    )
+    # The last change per slot needs no ordering, so it is aggregated from the log itself.
+    last = past.groupBy(entity, slot).agg(
+        F.max(period).alias("__prior"), F.lit(True).alias("__follows")
+    )
+    open_ended = current.join(last, [entity, slot], "left").select(
+        entity,
+        slot,
+        value,
+        "__prior",
+        F.coalesce("__follows", F.lit(False)).alias("__follows"),
+        F.lit(None).cast(past.schema[period].dataType).alias("__until"),
+        F.lit(True).alias("__open"),
+        *carry,
     )
 
-    # The last closed window per slot needs no ordering, so it is aggregated from the log itself.
+    # One join to the introductions serves both sides.
+    intro_side = introduced.select(
+        entity, F.col(intro).alias("__intro"), *[F.col(c).alias(f"__{c}") for c in carry]
+    )
+    rows = closed.unionByName(open_ended).join(intro_side, entity, "left")
     if rule == "documented":
-        ends = past.groupBy(entity, slot).agg(F.max(period).alias("__end"))
+        prior, until = F.col("__prior"), F.col("__until")
     else:
-        ends = (
-            past.select(entity, slot)
-            .distinct()
-            .join(intro_side, entity, "left")
-            .select(entity, slot, F.col("__intro").alias("__end"))
-        )
-    open_ended = (
-        current.join(ends, [entity, slot], "left")
-        .join(intro_side, entity, "left")
-        .select(
-            *carry,
-            entity,
-            slot,
-            value,
-            F.coalesce(F.col("__end") + 1, F.col("__intro")).alias("valid_from"),
-            F.lit(None).cast(closed.schema["valid_to"].dataType).alias("valid_to"),
-        )
+        prior = F.when(F.col("__follows"), F.col("__intro"))
+        until = F.when(~F.col("__open"), F.col("__intro"))
+    return rows.select(
+        *[F.when(F.col("__open"), F.col(c)).otherwise(F.col(f"__{c}")).alias(c) for c in carry],
+        entity,
+        slot,
+        value,
+        F.coalesce(prior + 1, F.col("__intro")).alias("valid_from"),
+        until.alias("valid_to"),
     )
-    return closed.unionByName(open_ended)

@@ -49,9 +49,6 @@ def unnest_with_position(df: DataFrame, array: str, element: str, *keep: str) ->
     return rows.select(*keep, (F.col("__at") + 1).alias("position"), element)
 
 
-def with_matching(
-    df: DataFrame, key: str, candidates: DataFrame, value: str, small: bool = False
-) -> DataFrame:
+def with_matching(df: DataFrame, key: str, candidates: DataFrame, value: str) -> DataFrame:
     """``value`` of the candidates joined back by key; no match gives NULL, two give two rows."""
-    side = candidates.select(key, value)
-    return df.join(F.broadcast(side) if small else side, key, "left")
+    return df.join(candidates.select(key, value), key, "left")

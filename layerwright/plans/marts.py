@@ -219,10 +219,12 @@ def load_marts(
     names: list[str] | None = None,
     mark_from: str = "source",
     full_refresh: bool = False,
+    buckets: int | None = None,
 ) -> None:
     """Load the named marts (all by default) into ``database``, then the ranked ones.
 
-    The starter ranks cover all starters of the marts, not only those of the newest batch.
+    ``buckets`` lays the marts out by key, so that a load rewrites only what its batch touches. The
+    starter ranks cover all starters of the marts, not only those of the newest batch.
     """
     wanted = list(MARTS) if names is None else names
     spark = views[MARTS[wanted[0]].view].sparkSession
@@ -237,11 +239,12 @@ def load_marts(
             mark_from=mark_from,
             full_refresh=full_refresh,
             distinct=spec.distinct,
+            buckets=buckets,
         )
     if starters is not None:
         ranked = strongest_starters(
-            spark.table(f"{database}.mart_pokemons"),
-            spark.table(f"{database}.mart_stats"),
+            spark.table(f"{database}.mart_pokemons").drop(tables.BUCKET),
+            spark.table(f"{database}.mart_stats").drop(tables.BUCKET),
             starters,
         )
         tables.replace_table(ranked, f"{database}.mart_strongest_starters")
@@ -250,7 +253,11 @@ def load_marts(
 def loaded_marts(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """The mart tables of a database, and the ranking over them, by name."""
     names = [*MARTS, "mart_strongest_starters"]
-    found = {n: spark.table(f"{database}.{n}") for n in names if tables.exists(spark, f"{database}.{n}")}
+    found = {
+        name: spark.table(f"{database}.{name}").drop(tables.BUCKET)
+        for name in names
+        if tables.exists(spark, f"{database}.{name}")
+    }
     if {"mart_pokemons", "mart_stats"} <= set(found):
         found["mart_strongest_pokemons"] = strongest(found["mart_pokemons"], found["mart_stats"])
     return found

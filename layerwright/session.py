@@ -52,6 +52,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Rows fixed in the shared folder, so a lost executor cannot make them come out differently."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Rows fixed in the shared folder, so a lost executor cannot make them come out differently.
+
+    Written as Parquet rather than by ``checkpoint()``: smaller, and each later pass reads only the
+    columns it needs.
+    """
+    path = fresh_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ job lost midway leaves the old table in place.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +18,12 @@ from layerwright.operators.incremental import high_water_mark, keyed_replace, si
 from layerwright.session import shared_folder
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+BUCKET = "key_bucket"
+
+
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
 
 
 def exists(spark: SparkSession, table: str) -> bool:
@@ -27,24 +31,63 @@ def exists(spark: SparkSession, table: str) -> bool:
 
 
 def replace_table(
-    df: DataFrame, table: str, root: str | None = None, partition_by: Sequence[str] = ()
+    df: DataFrame, table: str, root: str | None = None, bucketed: bool = False
 ) -> None:
     """Write ``df`` as the whole content of ``table``."""
     spark = df.sparkSession
-    base = (root or shared_folder(spark)).rstrip("/")
-    folder = f"{base}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(folder)
-    if exists(spark, table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-        if partition_by:
+    folder = _write(df, table, root, bucketed)
+    if not exists(spark, table):
+        layout = f"PARTITIONED BY ({BUCKET}) " if bucketed else ""
+        spark.sql(
+            f"CREATE TABLE {table} ({df.schema.toDDL()}) USING parquet {layout}LOCATION '{folder}'"
+        )
+        if bucketed:
             spark.sql(f"MSCK REPAIR TABLE {table}")
-        spark.catalog.refreshTable(table)
+    elif bucketed:
+        written = spark.read.schema(df.schema).parquet(folder).select(BUCKET).distinct()
+        kept = {row[0] for row in written.collect()}
+        _point_buckets(spark, table, folder, kept)
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            bucket = int(row[0].split("=")[1])
+            if bucket not in kept:
+                spark.sql(f"ALTER TABLE {table} DROP PARTITION ({BUCKET} = {bucket})")
     else:
-        # a partitioned layout is read off the folders; otherwise the columns are known
-        schema = None if partition_by else df.schema
-        spark.catalog.createTable(table, path=folder, source="parquet", schema=schema)
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+
+
+def replace_buckets(
+    df: DataFrame, table: str, buckets: Sequence[int], root: str | None = None
+) -> None:
+    """Write ``df`` as the whole content of some buckets of ``table``; the others stay untouched.
+
+    All rows are written first; then each bucket is pointed at its new folder.
+    """
+    _point_buckets(df.sparkSession, table, _write(df, table, root, bucketed=True), buckets)
+    df.sparkSession.catalog.refreshTable(table)
+
+
+def _write(df: DataFrame, table: str, root: str | None, bucketed: bool) -> str:
+    base = (root or shared_folder(df.sparkSession)).rstrip("/")
+    folder = f"{base}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+    if bucketed:
+        # few files per bucket, and a bucket with a hot key still split over several tasks
+        df.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(folder)
+    else:
+        df.write.parquet(folder)
+    return folder
+
+
+def _point_buckets(spark: SparkSession, table: str, folder: str, buckets: Iterable[int]) -> None:
+    for bucket in buckets:
+        part = f"PARTITION ({BUCKET} = {bucket})"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part}")
+        spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{folder}/{BUCKET}={bucket}'")
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The bucket a row's key belongs to."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
 def create_if_absent(spark: SparkSession, table: str, schema: T.StructType | str) -> None:
@@ -75,6 +118,7 @@ def load_mart(
     full_refresh: bool = False,
     distinct: bool = False,
     root: str | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Bring a mart up to date from its source model.
 
@@ -83,6 +127,9 @@ def load_mart(
     source, so only the newest batch is taken; with ``mark_from="target"`` it is the newest time
     already loaded (kept in the table property ``loaded_until``), so batches that arrived between
     two runs are taken too.
+
+    With ``buckets`` the table is laid out by a hash of the key (column ``key_bucket``), and a later
+    load reads and rewrites only the buckets its batch touches. Give it from the first load on.
     """
     if mark_from not in ("source", "target"):
         raise ValueError(f"unknown mark_from {mark_from!r}")
@@ -101,8 +148,17 @@ def load_mart(
     batch = batch.select(*columns)
     if distinct:
         batch = batch.distinct()
-    rows = keyed_replace(spark.table(table), batch, keys) if incremental else batch
-    replace_table(rows, table, root)
+    if buckets is not None:
+        batch = with_bucket(batch, keys, buckets)
+    if not incremental:
+        replace_table(batch, table, root, bucketed=buckets is not None)
+    elif buckets is None:
+        replace_table(keyed_replace(spark.table(table), batch, keys), table, root)
+    else:
+        # at most ``buckets`` numbers
+        touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
+        target = spark.table(table).where(F.col(BUCKET).isin(touched))
+        replace_buckets(keyed_replace(target, batch, keys), table, touched, root)
     if mark_from == "target" and newest is not None:
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('loaded_until' = '{newest}')")
 

@@ -277,12 +277,43 @@ def test_mark_from_source_skips_a_batch_in_between(spark, database):
         tables.load_mart(later, f"{database}.other", "k", ["k", "v"], mark_from="x")
 
 
-def test_replace_table_reads_itself_and_keeps_partitions(spark, database):
+def test_bucketed_load_rewrites_only_touched_buckets(spark, database):
+    """Files of a bucket the batch does not touch stay where they are."""
+
+    def source(*found):
+        return spark.createDataFrame(
+            [(datetime(2024, 1, d), k, v) for d, k, v in found], "fetch_date timestamp_ntz, k int, v string"
+        )
+
+    name = f"{database}.bucketed"
+    first = [(1, k, "old") for k in range(200)]
+    tables.load_mart(source(*first), name, "k", ["k", "v"], buckets=8)
+    files = spark.table(name).select("key_bucket", F.input_file_name().alias("f")).distinct()
+    before = {r.f for r in files.collect()}
+    tables.load_mart(source(*first, (2, 5, "new"), (2, 5, "newer"), (2, 999, "x")), name, "k", ["k", "v"], buckets=8)
+    expected = [(k, "old") for k in range(200) if k != 5] + [(5, "new"), (5, "newer"), (999, "x")]
+    assert rows(spark.table(name).select("k", "v")) == sorted(expected, key=str)
+    after = spark.table(name).select("key_bucket", F.input_file_name().alias("f")).distinct()
+    touched = {r.key_bucket for r in spark.table(name).where("k IN (5, 999)").collect()}
+    kept = {r.f for r in after.collect() if r.key_bucket not in touched}
+    assert kept <= before and 0 < len(touched) <= 2
+
+
+    # a full refresh drops what the source no longer holds, whole buckets included
+    tables.load_mart(source((1, 5, "z")), name, "k", ["k", "v"], buckets=8, full_refresh=True)
+    assert rows(spark.table(name).select("k", "v")) == [(5, "z")]
+    tables.load_mart(source(), name, "k", ["k", "v"], buckets=8)
+    assert rows(spark.table(name).select("k", "v")) == [(5, "z")]
+    tables.load_mart(source(), f"{name}_empty", "k", ["k", "v"], buckets=8)
+    tables.load_mart(source((1, 1, "a")), f"{name}_empty", "k", ["k", "v"], buckets=8)
+    assert rows(spark.table(f"{name}_empty").select("k", "v")) == [(1, "a")]
+
+
+def test_replace_table_may_read_itself(spark, database):
     name = f"{database}.t"
-    tables.replace_table(spark.range(4).selectExpr("id", "id % 2 AS part"), name, partition_by=["part"])
-    assert spark.table(name).where("part = 1").count() == 2
-    tables.replace_table(spark.table(name).where("id > 0"), name, partition_by=["part"])
-    assert rows(spark.table(name).select("id")) == [(1,), (2,), (3,)]
+    tables.replace_table(spark.range(4), name)
+    tables.replace_table(spark.table(name).where("id > 0"), name)
+    assert rows(spark.table(name)) == [(1,), (2,), (3,)]
 
 
 def test_contract_report(spark, standing):

@@ -536,8 +536,8 @@ def batch_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
     landed = events.select("event_id", "user_id", "value", day)
     path = fresh_path(spark, "batches")
-    # rows of a batch stay spread over the tasks that read them; no shuffle by batch
-    landed.write.partitionBy("batch_id").parquet(path)
+    # few files per batch, and a large batch is still split over several tasks
+    landed.hint("rebalance", F.col("batch_id")).write.partitionBy("batch_id").parquet(path)
     again = landed.where("batch_id = '2024-01-05'").withColumn("value", F.col("value") + 1)
     again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "batch_id"
