@@ -72,53 +72,69 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     return _repeated(df, check)
 
 
-def _repeated(df: DataFrame, check: Check) -> DataFrame:
-    rows = df.select(*check.columns)
-    if check.name == "unique":
-        rows = rows.where(F.col(check.columns[0]).isNotNull())
-    return rows.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+def _is_repeated(check: Check) -> Column:
+    """Of a key with its row count ``n``: is it a failure of the uniqueness check?"""
+    again = F.col("n") > 1
+    return again & F.col(check.columns[0]).isNotNull() if check.name == "unique" else again
 
 
-def _keyed_failures(df: DataFrame, check: Check) -> DataFrame:
-    if check.name == "relationships":
-        # counted per value before the join, so a frequent value is one row in the shuffle
-        column = check.columns[0]
-        values = df.where(F.col(column).isNotNull()).groupBy(column)
-        per_value = values.agg(F.count(F.lit(1)).alias("n"))
-        parent = check.parent.select(F.col(check.parent_column).alias(column)).distinct()
-        orphans = per_value.join(parent, column, "left_anti")
-        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-    return _repeated(df, check).agg(F.count(F.lit(1)).alias("failures"))
+def _repeated(df: DataFrame, check: Check) -> DataFrame:
+    counted = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(_is_repeated(check))
+
+
+def _orphans(df: DataFrame, check: Check) -> DataFrame:
+    # counted per value before the join, so a frequent value is one row in the shuffle
+    column = check.columns[0]
+    values = df.where(F.col(column).isNotNull()).groupBy(column)
+    per_value = values.agg(F.count(F.lit(1)).alias("n"))
+    parent = check.parent.select(F.col(check.parent_column).alias(column)).distinct()
+    orphans = per_value.join(parent, column, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f0"))
+
+
+def _lines(counted: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """A one-row frame of failure counts f0, f1, ... as one line per check."""
+    lines = [
+        F.struct(
+            F.lit(check.name).alias("check"),
+            F.lit(",".join(check.columns)).alias("columns"),
+            F.col(f"f{i}").alias("failures"),
+        )
+        for i, check in enumerate(checks)
+    ]
+    return counted.select(F.inline(F.array(*lines)))
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check: its name, its columns and the number of failures.
 
-    All row checks of the table share one aggregate pass; every uniqueness or foreign-key check
-    takes one shuffle of its (pre-aggregated) key.
+    All row checks share one aggregate pass. If the table has a uniqueness check, they are counted
+    in the same pass, per key and before the shuffle; so a table with one of each is read once.
+    Every further uniqueness or foreign-key check takes one shuffle of its pre-aggregated key.
     """
     per_row = [c for c in checks if c.bad is not None]
+    keyed = [c for c in checks if c.name.startswith("unique")]
     parts: list[DataFrame] = []
-    if per_row:
-        counted = df.agg(*[F.count_if(c.bad).alias(f"c{i}") for i, c in enumerate(per_row)])
-        lines = [
-            F.struct(
-                F.lit(c.name).alias("check"),
-                F.lit(",".join(c.columns)).alias("columns"),
-                F.col(f"c{i}").alias("failures"),
-            )
-            for i, c in enumerate(per_row)
-        ]
-        parts.append(counted.select(F.inline(F.array(*lines))))
+    bad = [F.count_if(c.bad) for c in per_row]
+    if keyed:
+        first, *keyed = keyed
+        named = [column.alias(f"b{i}") for i, column in enumerate(bad)]
+        per_key = df.groupBy(*first.columns).agg(F.count(F.lit(1)).alias("n"), *named)
+        counted = per_key.agg(
+            F.count_if(_is_repeated(first)).alias("f0"),
+            *[F.coalesce(F.sum(f"b{i}"), F.lit(0)).alias(f"f{i + 1}") for i in range(len(bad))],
+        )
+        parts.append(_lines(counted, [first, *per_row]))
+    elif per_row:
+        counted = df.agg(*[column.alias(f"f{i}") for i, column in enumerate(bad)])
+        parts.append(_lines(counted, per_row))
+    for check in keyed:
+        counted = _repeated(df, check).agg(F.count(F.lit(1)).alias("f0"))
+        parts.append(_lines(counted, [check]))
     for check in checks:
-        if check.bad is None:
-            parts.append(
-                _keyed_failures(df, check).select(
-                    F.lit(check.name).alias("check"),
-                    F.lit(",".join(check.columns)).alias("columns"),
-                    "failures",
-                )
-            )
+        if check.name == "relationships":
+            parts.append(_lines(_orphans(df, check), [check]))
     return reduce(DataFrame.unionByName, parts)
 
 

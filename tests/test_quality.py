@@ -70,6 +70,13 @@ def test_row_checks_share_one_pass(spark, df):
     assert plan.count("Aggregate") == 1
 
 
+def test_row_checks_ride_on_the_first_uniqueness_check(spark, df):
+    together = [c for c in checks(spark) if c.bad is not None or c.name == "unique"]
+    plan = q.run_checks(df, together)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    assert {r.failures for r in q.run_checks(df.limit(0), together).collect()} == {0}
+
+
 def test_group_without_and_rank_gaps(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "k int, slot int")
     assert [r.k for r in q.group_without(df, "k", F.col("slot") == 1).collect()] == [2]
