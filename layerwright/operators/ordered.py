@@ -5,7 +5,7 @@ key sends that key's rows to one task. Both operators here split the *order* ins
 range-partitioned on the full sort key, each range is numbered on its own, and the few facts needed
 from the neighbouring ranges (one row per range) are added back by a broadcast join.
 
-The ranges depend on Spark's sample of the data, so the numbered rows are checkpointed before the
+The ranges depend on Spark's sample of the data, so the numbered rows are written out before the
 summary of the ranges is read: both then describe the same split, also after an executor is lost.
 """
 
