@@ -12,7 +12,7 @@ from layerwright.session import fresh_path
 from layerwright.sources import raw as raw_tables
 from layerwright.sources import tables
 from workloads import landing
-from workloads.registry import query, table
+from workloads.registry import query
 
 # ---- the landed entities as SQL ------------------------------------------------------------------
 
@@ -344,7 +344,7 @@ def model_stats_history(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def changelog_window(spark: SparkSession, folder: str) -> DataFrame:
-    """The change log as the draft states it, written with a join to the aggregated log."""
+    """The change log as the draft states it: the current side takes the last change of its slot."""
     v = landing.views(spark, folder)
     history = v["int_type_history"]
     return history.select(
