@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from workloads.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -11,17 +12,17 @@ def con(folder):
     return oracle.connection(folder)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, folder, con, name):
     result = entry.queries()[name](spark, folder).toArrow()
     assert result.num_rows > 0
-    if name in entry.oracle_sql():
-        expected = con.sql(entry.oracle_sql()[name]).to_arrow_table()
+    if name in ORACLES:
+        expected = con.sql(ORACLES[name]).to_arrow_table()
         assert oracle.differences(result, expected) == []
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
