@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layerwright.llm import exact_dedup
+from layerwright.llm import bpe, exact_dedup, langid, licenses, secrets, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,3 +44,46 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 )
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decide(table(spark, folder, "documents")).drop("row_key")
+
+
+@query()
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest_spans(secrets.scan(table(spark, folder, "documents")))
+
+
+@query()
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+@query()
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query(
+    """
+    WITH found AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+               sha1(coalesce(html, '')) AS payload_digest
+        FROM pages),
+    newest AS (
+        SELECT *, CASE WHEN payload_bytes >= 1000
+                       THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes >= 1000)
+                       ELSE page_id END AS original
+        FROM found)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> original THEN original END AS refers_to
+    FROM newest
+    """
+)
+def op9_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
+@query()
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
