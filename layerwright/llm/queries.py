@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layerwright.llm import bpe, exact_dedup, langid, licenses, secrets, warc
+from layerwright.llm import bpe, decontaminate, exact_dedup, langid, licenses, secrets, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,63 @@ def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+@query()
+def op6_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.components(table(spark, folder, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+#: Overlaps from every alignment with four equal words in a row, which each of them has.
+LEAKS_SQL = """
+    WITH d AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'),
+                                   lambda x: x <> '') AS w
+        FROM documents),
+    b AS (
+        SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'),
+                                    lambda x: x <> '') AS w
+        FROM benchmark),
+    items AS (SELECT item_id, w, least(13, len(w)) AS size FROM b WHERE len(w) >= 8),
+    doc_runs AS (
+        SELECT doc_id, i AS at, array_to_string(w[i:i + 3], ' ') AS run
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
+    item_runs AS (
+        SELECT item_id, i AS at, array_to_string(w[i:i + 3], ' ') AS run
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS i FROM items)),
+    shifts AS (
+        SELECT DISTINCT doc_id, item_id, doc_runs.at - item_runs.at AS shift
+        FROM doc_runs JOIN item_runs USING (run)),
+    aligned AS (
+        SELECT doc_id, item_id, size, len(items.w) AS item_size,
+               [CASE WHEN d.w[j + shift] = items.w[j] THEN 1 ELSE 0 END
+                FOR j IN range(greatest(1, 1 - shift), least(len(items.w), len(d.w) - shift) + 1)] AS e
+        FROM shifts JOIN d USING (doc_id) JOIN items USING (item_id)),
+    verified AS (
+        SELECT doc_id, item_id, max(list_sum(e) / item_size) AS share
+        FROM aligned
+        WHERE len(e) >= size
+          AND list_max([list_sum(e[s:s + size - 1]) FOR s IN range(1, len(e) - size + 2)])
+              >= size - CASE WHEN size = 13 THEN 2 ELSE 0 END
+        GROUP BY doc_id, item_id),
+    found AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS item_ids,
+               max(share) AS best_share
+        FROM verified GROUP BY doc_id)
+"""
+
+
+@query(
+    LEAKS_SQL
+    + """
+    SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items,
+           coalesce(item_ids, '') AS item_ids, coalesce(best_share, 0.0)::DOUBLE AS best_share
+    FROM documents LEFT JOIN found USING (doc_id)
+    """
+)
+def op8_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query(
     """
     WITH found AS (
