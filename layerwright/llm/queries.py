@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layerwright.llm import bpe, decontaminate, exact_dedup, langid, licenses, secrets, simhash, warc
+from layerwright.llm import bpe, decontaminate, exact_dedup, langid, licenses, secrets, simhash, suffixes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,11 @@ def op6_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+@query()
+def op7_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.report(table(spark, folder, "documents"))
+
+
 #: Overlaps from every alignment with four equal words in a row, which each of them has.
 LEAKS_SQL = """
     WITH d AS (
