@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layerwright.llm import bpe, decontaminate, exact_dedup, langid, licenses, secrets, simhash, suffixes, warc
+from layerwright.llm import bpe, decontaminate, exact_dedup, langid, licenses, quality, secrets, simhash, suffixes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query()
+def op3_quality_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+
+
 @query(
     """
     WITH normalised AS (
