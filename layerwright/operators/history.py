@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.operators.ordered import previous_in_group
+from layerwright.session import cut_lineage
 
 
 def validity_windows(
@@ -37,8 +38,10 @@ def validity_windows(
     """
     if rule not in ("documented", "as_written"):
         raise ValueError(f"unknown rule {rule!r}")
+    # read three times below: for the split into ranges, for the rows, and for the last change
+    past = cut_lineage(past.select(entity, slot, value, period))
     changes = previous_in_group(
-        past.select(entity, slot, value, period),
+        past,
         [entity, slot],
         [period, value],
         period,

@@ -9,16 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """A broadcast hint, but only once the side is known to be small; else the join shuffles.
-
-    The check reads at most ``max_rows`` + 1 rows.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def with_flag(df: DataFrame, members: DataFrame, key: str, flag: str, member_key: str | None = None) -> DataFrame:
     """A boolean column: is the row's key among the members? No row is added or lost."""
     ids = members.select(F.col(member_key or key).alias(key)).distinct()

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from layerwright.functions import tier, total
+from layerwright.operators.incremental import since
 from layerwright.operators.ordered import rank_table
-from layerwright.operators.serving import broadcast_if_small
 from layerwright.plans import intermediate as inter
 from layerwright.plans import staging as stg
+from layerwright.session import cut_lineage
 from layerwright.sources import tables
 
 TOTAL = "total_stat_points"
@@ -26,6 +28,19 @@ class Mart:
     columns: tuple[str, ...]
     distinct: bool = False
 
+    @property
+    def landed_in(self) -> str:
+        """The raw table whose fetch times the rows of the view carry."""
+        return LANDED_IN.get(self.view, "pokemons")
+
+
+# Views whose rows carry the fetch times of another raw table than the entities'.
+LANDED_IN = {
+    "stg_generations": "generations",
+    "stg_move_details": "moves",
+    "stg_pokemon_species": "pokemon_species",
+    "stg_version_groups": "version_groups",
+}
 
 # Key and columns of every incrementally loaded mart.
 MARTS = {
@@ -90,7 +105,8 @@ class Views:
     """The staging and intermediate views over a set of raw tables, each built when asked for.
 
     ``raw`` maps raw table names to DataFrames. Entities and moves are cut to their newest fetch
-    unless ``all_fetches`` is set.
+    unless ``all_fetches`` is set. With ``stored`` the entity payloads are parsed once, for all views,
+    and the typed rows are written to the shared folder.
     """
 
     def __init__(
@@ -98,12 +114,31 @@ class Views:
         raw: dict[str, DataFrame],
         all_fetches: bool = False,
         history_rule: str = "documented",
+        stored: bool = False,
     ):
         self._raw = raw
         self._all_fetches = all_fetches
         self._history_rule = history_rule
+        self._stored = stored
         self._built: dict[str, DataFrame] = {}
         self._cut: dict[str, DataFrame] = {}
+        self._typed: DataFrame | None = None
+
+    def stored(self) -> Views:
+        """The same views over entity payloads that are parsed and written once."""
+        return Views(self._raw, self._all_fetches, self._history_rule, stored=True)
+
+    def since(self, table: str, mark: Any) -> Views:
+        """The views over the rows of one raw table landed at or after a mark.
+
+        The newest row of an id among those is its newest row of all, so each view gives the rows that
+        it would give for those ids over the whole table, and the filter reaches the scan.
+        """
+        raw = _Replaced(self._raw, table, since(self._raw[table], "fetch_date", mark))
+        return Views(raw, self._all_fetches, self._history_rule, stored=True)
+
+    def raw(self, table: str) -> DataFrame:
+        return self._raw[table]
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -120,13 +155,21 @@ class Views:
             self._cut[table] = stg.newest_fetch(self._raw[table])
         return self._cut[table]
 
+    def _entities(self) -> DataFrame:
+        """Entity rows with their payload, or with the typed fields where those are stored."""
+        if not self._stored:
+            return self._newest("pokemons")
+        if self._typed is None:
+            self._typed = cut_lineage(stg.typed_entities(self._newest("pokemons")))
+        return self._typed
+
     def _array(self, name: str) -> DataFrame:
-        return stg.entity_arrays(self._newest("pokemons"), name)
+        return stg.entity_arrays(self._entities(), name)
 
     _BUILDERS = {
         "stg_generations": lambda v: stg.generations(v._raw["generations"]),
         "stg_pokemon_catalogue": lambda v: stg.catalogue(v._raw["pokemon_catalogue"]),
-        "stg_pokemons": lambda v: stg.entities(v._newest("pokemons"), v["stg_pokemon_catalogue"]),
+        "stg_pokemons": lambda v: stg.entities(v._entities(), v["stg_pokemon_catalogue"]),
         "stg_stats": lambda v: v._array("stats"),
         "stg_types": lambda v: v._array("types"),
         "stg_pokemon_moves": lambda v: v._array("moves"),
@@ -150,6 +193,16 @@ class Views:
     }
 
 
+class _Replaced:
+    """Raw tables by name with one of them replaced; the others are still built when asked for."""
+
+    def __init__(self, raw: dict[str, DataFrame], name: str, rows: DataFrame):
+        self._raw, self._name, self._rows = raw, name, rows
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._rows if name == self._name else self._raw[name]
+
+
 def with_total(int_stats: DataFrame) -> DataFrame:
     return int_stats.withColumn(TOTAL, total(STATS))
 
@@ -174,7 +227,7 @@ def strongest_starters(
     mart_entities: DataFrame, mart_stats: DataFrame, starters: DataFrame
 ) -> DataFrame:
     """The seeded entities ranked among themselves."""
-    seed = broadcast_if_small(starters.select("poke_id"))
+    seed = starters.select("poke_id")
     rows = (
         mart_entities.select("poke_gen", "poke_id", "poke_name")
         .join(seed, "poke_id")
@@ -223,16 +276,27 @@ def load_marts(
 ) -> None:
     """Load the named marts (all by default) into ``database``, then the ranked ones.
 
-    ``buckets`` lays the marts out by key, so that a load rewrites only what its batch touches. The
-    starter ranks cover all starters of the marts, not only those of the newest batch.
+    ``buckets`` lays the marts out by key, so that a load rewrites only what its batch touches. Marks
+    come from the fetch times of the raw tables, and a later load reads only raw rows at or after them.
+    Entity payloads are parsed once for all marts. The ranks over the whole marts are stored as well;
+    the starters' cover all starters of the marts, not only those of the newest batch.
     """
     wanted = list(MARTS) if names is None else names
-    spark = views[MARTS[wanted[0]].view].sparkSession
+    spark = views.raw(MARTS[wanted[0]].landed_in).sparkSession
     tables.create_database(spark, database)
+    whole = views.stored()
+    narrowed: dict[tuple[str, Any], Views] = {}
     for name in wanted:
         spec = MARTS[name]
+
+        def rows_since(mark: Any, spec: Mart = spec) -> DataFrame:
+            at = spec.landed_in, mark
+            if at not in narrowed:
+                narrowed[at] = views.since(*at)
+            return narrowed[at][spec.view]
+
         tables.load_mart(
-            views[spec.view],
+            lambda spec=spec: whole[spec.view],
             f"{database}.{name}",
             spec.key,
             spec.columns,
@@ -240,24 +304,32 @@ def load_marts(
             full_refresh=full_refresh,
             distinct=spec.distinct,
             buckets=buckets,
+            dated=views.raw(spec.landed_in).select("fetch_date"),
+            rows_since=rows_since,
         )
+    if {"mart_pokemons", "mart_stats"} & set(wanted) and all(
+        tables.exists(spark, f"{database}.{name}") for name in ("mart_pokemons", "mart_stats")
+    ):
+        ranked = strongest(_loaded(spark, database, "mart_pokemons"), _loaded(spark, database, "mart_stats"))
+        tables.replace_table(ranked, f"{database}.mart_strongest_pokemons")
     if starters is not None:
         ranked = strongest_starters(
-            spark.table(f"{database}.mart_pokemons").drop(tables.BUCKET),
-            spark.table(f"{database}.mart_stats").drop(tables.BUCKET),
+            _loaded(spark, database, "mart_pokemons"),
+            _loaded(spark, database, "mart_stats"),
             starters,
         )
         tables.replace_table(ranked, f"{database}.mart_strongest_starters")
 
 
+def _loaded(spark: SparkSession, database: str, name: str) -> DataFrame:
+    return spark.table(f"{database}.{name}").drop(tables.BUCKET)
+
+
 def loaded_marts(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    """The mart tables of a database, and the ranking over them, by name."""
-    names = [*MARTS, "mart_strongest_starters"]
-    found = {
-        name: spark.table(f"{database}.{name}").drop(tables.BUCKET)
+    """The mart tables of a database by name, the stored ranks among them."""
+    names = [*MARTS, "mart_strongest_pokemons", "mart_strongest_starters"]
+    return {
+        name: _loaded(spark, database, name)
         for name in names
         if tables.exists(spark, f"{database}.{name}")
     }
-    if {"mart_pokemons", "mart_stats"} <= set(found):
-        found["mart_strongest_pokemons"] = strongest(found["mart_pokemons"], found["mart_stats"])
-    return found

@@ -6,7 +6,8 @@ a plan until the caller collects it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,15 +21,33 @@ Marts = dict[str, DataFrame]
 MISSING = "—"
 
 
-def register_views(marts: Marts) -> None:
-    """Temp views of the marts, so that any SQL over their names runs."""
+@contextmanager
+def registered(marts: Marts) -> Iterator[None]:
+    """Temp views of the marts while the block runs; views that had their names come back after it."""
+    spark = next(iter(marts.values())).sparkSession
+    hidden = {name: spark.table(name) for name in marts if _is_temporary(spark, name)}
     for name, df in marts.items():
         df.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        for name in marts:
+            spark.catalog.dropTempView(name)
+        for name, df in hidden.items():
+            df.createOrReplaceTempView(name)
 
 
-def run_sql(spark: SparkSession, query: str, **args: Any) -> DataFrame:
-    """A read query over the registered marts; ``:name`` parameters come from ``args``."""
-    return spark.sql(query, args=args)
+def _is_temporary(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+
+
+def run_sql(marts: Marts, query: str, **args: Any) -> DataFrame:
+    """A read query over mart names; ``:name`` parameters come from ``args``.
+
+    The query is planned at once, so the names need not stay registered for the result to be read.
+    """
+    with registered(marts):
+        return next(iter(marts.values())).sparkSession.sql(query, args=args)
 
 
 # ---- lists ---------------------------------------------------------------------------------
@@ -120,7 +139,7 @@ def cards(marts: Marts) -> DataFrame:
 
 
 def card(marts: Marts, poke_id: int) -> DataFrame:
-    """One entity's card. The key filter reaches every table behind it."""
+    """One entity's card. Read from stored marts, the key filter reaches the scan of each of them."""
     return cards(marts).where(F.col("poke_id") == poke_id)
 
 

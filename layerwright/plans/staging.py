@@ -25,7 +25,7 @@ ENTITY_ARRAYS = ("stats", "types", "moves", "past_types", "past_stats")
 
 def newest_fetch(raw: DataFrame, key: str = "id") -> DataFrame:
     """The newest landed row per id. Runs before the parse, on unparsed payloads."""
-    return latest_per_key(raw, [key], ["fetch_date", "batch_id", "payload"])
+    return latest_per_key(raw, [key], ["fetch_date", "batch_id", F.xxhash64("payload").desc()])
 
 
 def _parsed(
@@ -65,10 +65,21 @@ def catalogue(raw: DataFrame) -> DataFrame:
     return latest_per_key(listed, ["poke_id"], ["fetch_date", "poke_gen", "poke_name"])
 
 
+def typed_entities(raw: DataFrame) -> DataFrame:
+    """Every field of the entity payload that some view reads, as columns, from a single parse."""
+    return _parsed(raw, "pokemons", "fetch_date", "id").select("fetch_date", "id", "p")
+
+
+def _entity_fields(rows: DataFrame, *fields: str) -> DataFrame:
+    """Struct ``p`` of the named fields, from payloads or from typed rows."""
+    if "p" in rows.columns:
+        return rows.select("fetch_date", "id", F.struct(*[F.col(f"p.{f}") for f in fields]).alias("p"))
+    return _parsed(rows, "pokemons", "fetch_date", "id", fields=fields)
+
+
 def entities(raw: DataFrame, catalogue_view: DataFrame) -> DataFrame:
     """Name and size per entity, with the generation the catalogue gives, if any."""
-    fields = ("name", "height", "weight")
-    sized = _parsed(raw, "pokemons", "fetch_date", "id", fields=fields).select(
+    sized = _entity_fields(raw, "name", "height", "weight").select(
         "fetch_date",
         F.col("id").alias("poke_id"),
         F.col("p.name").alias("poke_name"),
@@ -82,7 +93,7 @@ def entities(raw: DataFrame, catalogue_view: DataFrame) -> DataFrame:
 def entity_arrays(raw: DataFrame, *names: str) -> DataFrame:
     """Array columns of the entity payload, all five by default, from a single parse."""
     names = names or ENTITY_ARRAYS
-    parsed = _parsed(raw, "pokemons", "fetch_date", "id", fields=names)
+    parsed = _entity_fields(raw, *names)
     return parsed.select(
         "fetch_date", F.col("id").alias("poke_id"), *[F.col(f"p.{n}").alias(n) for n in names]
     )

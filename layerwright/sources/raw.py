@@ -1,4 +1,8 @@
-"""Raw landing tables: append-only rows of (id, fetch_date, batch_id, payload)."""
+"""Raw landing tables: append-only rows of (id, fetch_date, batch_id, payload).
+
+Where the payload carries its own id, that id is a column too, so that a landing never parses what
+earlier ones stored.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +11,21 @@ from pyspark.sql import functions as F
 
 from layerwright.functions import as_utc_timestamp, parse, payload_subset, url_tail
 from layerwright.operators.incremental import append_unseen
+from layerwright.operators.latest import latest_per_key
 from layerwright.operators.planning import split_malformed
 from layerwright.operators.unnest import unnest
 from layerwright.sources import tables
 
-_LANDING = "fetch_date timestamp_ntz, batch_id string, payload string"
-_KEYED_LANDING = f"id bigint, {_LANDING}"
+_LANDING = "id bigint, fetch_date timestamp_ntz, batch_id string, payload string"
 
 # The raw tables and their columns. Ids are 64 bit so that they do not overflow.
 RAW_TABLES = {
     "generations": _LANDING,
     "pokemon_catalogue": _LANDING,
     "version_groups": _LANDING,
-    "pokemons": _KEYED_LANDING,
-    "moves": _KEYED_LANDING,
-    "pokemon_species": _KEYED_LANDING,
+    "pokemons": _LANDING,
+    "moves": _LANDING,
+    "pokemon_species": _LANDING,
     "pokemon_ids": "poke_id bigint, poke_gen int",
 }
 
@@ -86,7 +90,8 @@ def payload_schema(table: str, *fields: str) -> str:
     return ", ".join(f"{name} {shape[name]}" for name in (fields or shape))
 
 
-# Payloads cut to the fields needed before landing; the others land whole.
+# Payloads cut to the fields needed before landing; the others land whole. Their landed
+# rows have no id of their own; it is the payload's.
 LANDED_SUBSET = ("generations", "pokemon_catalogue", "version_groups")
 
 
@@ -112,45 +117,63 @@ def prepare(landed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """(rows for raw table ``name``, rows for quarantine) from landed rows.
 
     The fetch time becomes a timestamp, and the payload is cut to the needed fields where the raw
-    table keeps only those.
+    table keeps only those. Unreadable payloads and rows without an id are for quarantine.
     """
     good, bad = split_malformed(landed)
-    good = good.withColumn("fetch_date", as_utc_timestamp("fetch_date"))
+    if name in LANDED_SUBSET:
+        own_id = F.get_json_object("payload", "$.id").cast("bigint")
+        good = good.withColumn("id", F.coalesce("id", own_id))
+    bad = bad.unionByName(good.where("id IS NULL"))
+    good = good.where("id IS NOT NULL").withColumn("fetch_date", as_utc_timestamp("fetch_date"))
     if name in LANDED_SUBSET:
         good = good.withColumn("payload", payload_subset("payload", payload_schema(name)))
     columns = [part.split()[0] for part in RAW_TABLES[name].split(", ")]
     return good.select(*columns), bad
 
 
-def land(spark: SparkSession, database: str, name: str, landed: DataFrame) -> None:
-    """Append the landed rows whose id the raw table does not hold yet.
+# What tells a row apart from those the raw table holds already.
+GUARDS = {"id": ["id"], "fetch": ["id", "batch_id"]}
+
 
-    The id is the key column, or the payload's own id where the table has none. Unreadable payloads
-    go to ``<name>_quarantine`` with everything they came with. Landing the same rows again adds
-    nothing to the raw table.
+def land(
+    spark: SparkSession, database: str, name: str, landed: DataFrame, guard: str = "id"
+) -> None:
+    """Append the landed rows that the raw table does not hold yet.
+
+    ``guard="id"`` lands an id once. ``guard="fetch"`` lands it once per batch, so that a later batch
+    may bring a newer payload of a known id. Of rows that are alike under the guard within one landing
+    the newest lands. Unreadable payloads and rows without an id go to ``<name>_quarantine`` with
+    everything they came with, each once. Landing the same rows again adds nothing to either table.
     """
-    good, bad = prepare(landed, name)
+    if guard not in GUARDS:
+        raise ValueError(f"unknown guard {guard!r}")
+    keys = GUARDS[guard]
     target = f"{database}.{name}"
-    if "id" in good.columns:
-        good = append_unseen(spark.table(target), good, ["id"])
-    else:
-        good = unseen_payloads(spark.table(target), good)
+    good, bad = prepare(landed, name)
+    if "batch_id" in keys:
+        good = good.withColumn("batch_id", F.coalesce("batch_id", F.lit("")))
+    good = latest_per_key(good, keys, ["fetch_date", "payload"])
+    good = append_unseen(spark.table(target), good, keys)
     if name == "pokemon_catalogue":
         # before the payloads: once those are in, they no longer count as unseen
         lookup = f"{database}.pokemon_ids"
-        tables.append(append_unseen(spark.table(lookup), id_lookup(good), ["poke_id"]), lookup)
+        found = latest_per_key(id_lookup(good), ["poke_id"], [F.col("poke_gen").asc()])
+        tables.append(append_unseen(spark.table(lookup), found, ["poke_id"]), lookup)
     tables.append(good, target)
-    tables.create_like(bad, f"{target}_quarantine")
-    tables.append(bad, f"{target}_quarantine")
+    quarantine = f"{target}_quarantine"
+    tables.create_like(bad, quarantine)
+    tables.append(_unseen_rows(spark.table(quarantine), bad), quarantine)
 
 
-def unseen_payloads(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Batch rows whose payload id no target payload has."""
-    own_id = F.get_json_object("payload", "$.id").cast("bigint")
-    fresh = append_unseen(
-        target.select(own_id.alias("__id")), batch.withColumn("__id", own_id), ["__id"]
-    )
-    return fresh.drop("__id")
+def _unseen_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Batch rows, each once, of which the target holds no equal one; NULLs are equal to each other."""
+
+    def marked(df: DataFrame) -> DataFrame:
+        values = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in batch.columns]
+        return df.withColumn("__row", F.sha2(F.concat_ws("\1", *values), 256))
+
+    fresh = marked(batch).dropDuplicates(["__row"])
+    return fresh.join(marked(target).select("__row"), "__row", "left_anti").drop("__row")
 
 
 def id_lookup(catalogue: DataFrame) -> DataFrame:

@@ -2,13 +2,22 @@
 
 A rebuilt table is written in full to a new folder; then the table's location is pointed there. The
 plan that builds the new rows may read the old table, readers never see a half-written one, and a
-job lost midway leaves the old table in place.
+job lost midway leaves the old table in place. Where the columns or the layout change, a new catalog
+entry takes the place of the old one instead.
+
+A load of a bucketed table points the buckets it touched at their new folders one after another: each
+bucket is old or new as a whole, but a job lost midway leaves some of each. Running the load again
+brings all of them up to date.
+
+Keys and bucket count of a mart are stored with it and checked by every load. Folders that no longer
+belong to a table stay until ``vacuum`` removes them.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,16 +42,13 @@ def exists(spark: SparkSession, table: str) -> bool:
 def replace_table(
     df: DataFrame, table: str, root: str | None = None, bucketed: bool = False
 ) -> None:
-    """Write ``df`` as the whole content of ``table``."""
+    """Write ``df`` as the whole content of ``table``, its columns included."""
     spark = df.sparkSession
     folder = _write(df, table, root, bucketed)
     if not exists(spark, table):
-        layout = f"PARTITIONED BY ({BUCKET}) " if bucketed else ""
-        spark.sql(
-            f"CREATE TABLE {table} ({df.schema.toDDL()}) USING parquet {layout}LOCATION '{folder}'"
-        )
-        if bucketed:
-            spark.sql(f"MSCK REPAIR TABLE {table}")
+        _create(df, table, folder, bucketed)
+    elif _shape(spark.table(table)) != _shape(df) or is_bucketed(spark, table) != bucketed:
+        _swap(df, table, folder, bucketed)
     elif bucketed:
         written = spark.read.schema(df.schema).parquet(folder).select(BUCKET).distinct()
         kept = {row[0] for row in written.collect()}
@@ -56,6 +62,69 @@ def replace_table(
     spark.catalog.refreshTable(table)
 
 
+def _shape(df: DataFrame) -> list[tuple[str, str]]:
+    """Names and types, in order but for the bucket column, which a catalog table keeps last."""
+    return [(f.name, f.dataType.simpleString()) for f in df.schema if f.name != BUCKET]
+
+
+def is_bucketed(spark: SparkSession, table: str) -> bool:
+    return any(c.name == BUCKET and c.isPartition for c in spark.catalog.listColumns(table))
+
+
+def _create(df: DataFrame, table: str, folder: str, bucketed: bool) -> None:
+    spark = df.sparkSession
+    layout = f"PARTITIONED BY ({BUCKET}) " if bucketed else ""
+    spark.sql(
+        f"CREATE TABLE {table} ({df.schema.toDDL()}) USING parquet {layout}LOCATION '{folder}'"
+    )
+    if bucketed:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
+def _swap(df: DataFrame, table: str, folder: str, bucketed: bool) -> None:
+    """A new catalog entry in place of the old one; the old rows' files stay."""
+    spark = df.sparkSession
+    fresh, old = (f"{table}_{word}_{uuid.uuid4().hex[:8]}" for word in ("new", "old"))
+    _create(df, fresh, folder, bucketed)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
+
+
+def vacuum(spark: SparkSession, table: str, root: str | None = None) -> list[str]:
+    """Delete the folders of earlier versions of a table; the paths that were deleted.
+
+    No reader may still be using an earlier version.
+    """
+    base = f"{(root or shared_folder(spark)).rstrip('/')}/{table.replace('.', '/')}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    used = set()
+    if is_bucketed(spark, table):
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            used.add(_location(spark, f"{table} PARTITION ({row[0]})").rpartition("/")[0])
+    else:
+        used.add(_location(spark, table))
+    names = {place.rstrip("/").rpartition("/")[2] for place in used}
+    removed = []
+    if not all(system.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")) for name in names):
+        raise ValueError(f"{table} does not lie in {base}")
+    for status in system.listStatus(path):
+        folder = status.getPath()
+        if status.isDirectory() and folder.getName() not in names:
+            system.delete(folder, True)
+            removed.append(folder.toString())
+    return removed
+
+
+def _location(spark: SparkSession, what: str) -> str:
+    found = spark.sql(f"DESCRIBE FORMATTED {what}").where("col_name = 'Location'").collect()
+    return found[0]["data_type"]  # of a partition before that of its table
+
+
 def replace_buckets(
     df: DataFrame, table: str, buckets: Sequence[int], root: str | None = None
 ) -> None:
@@ -109,7 +178,7 @@ def append(df: DataFrame, table: str) -> None:
 
 
 def load_mart(
-    source: DataFrame,
+    source: DataFrame | Callable[[], DataFrame],
     table: str,
     key: str | Sequence[str],
     columns: Sequence[str],
@@ -119,6 +188,8 @@ def load_mart(
     distinct: bool = False,
     root: str | None = None,
     buckets: int | None = None,
+    dated: DataFrame | None = None,
+    rows_since: Callable[[Any], DataFrame] | None = None,
 ) -> None:
     """Bring a mart up to date from its source model.
 
@@ -128,44 +199,71 @@ def load_mart(
     already loaded (kept in the table property ``loaded_until``), so batches that arrived between
     two runs are taken too.
 
+    ``dated`` is a narrower frame with the same newest time, from which the mark is read instead of
+    from the source; ``rows_since`` gives the source rows at or after a mark where filtering the
+    source would not reach its scan. With both of them ``source`` may be a function, which is called
+    only where all rows are needed.
+
     With ``buckets`` the table is laid out by a hash of the key (column ``key_bucket``), and a later
-    load reads and rewrites only the buckets its batch touches. Give it from the first load on.
+    load reads and rewrites only the buckets its batch touches. None keeps the layout the table has, 0
+    asks for none; another count than the stored one rebuilds the table. A load whose keys or columns
+    differ from those of the table needs ``full_refresh``.
     """
     if mark_from not in ("source", "target"):
         raise ValueError(f"unknown mark_from {mark_from!r}")
-    spark = source.sparkSession
+    whole = source if callable(source) else lambda: source
+    dated = whole() if dated is None else dated
+    spark = dated.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
+    stored = _properties(spark, table) if exists(spark, table) else {}
+    have = int(stored.get("key_buckets", 0))
+    want = have if buckets is None else buckets
     incremental = exists(spark, table) and not full_refresh
-    # the mark costs a pass over the source, so it is only taken where it is used
-    newest = high_water_mark(source, loaded_at) if incremental or mark_from == "target" else None
+    # the mark costs a pass, so it is only taken where it is used
+    newest = None
+    if incremental or mark_from == "target":
+        newest = high_water_mark(dated, loaded_at)
 
-    batch = source
     if incremental:
+        if stored.get("keys", ",".join(keys)) != ",".join(keys):
+            raise ValueError(f"{table} is keyed by {stored['keys']}: full_refresh is needed")
         mark = newest
         if mark_from == "target":
-            mark = _loaded_until(spark, table, source.schema[loaded_at])
-        batch = since(source, loaded_at, mark)
+            mark = _loaded_until(spark, stored, dated.schema[loaded_at])
+        rows = whole() if rows_since is None or mark is None else rows_since(mark)
+        batch = since(rows, loaded_at, mark)
+    else:
+        batch = whole()
     batch = batch.select(*columns)
     if distinct:
         batch = batch.distinct()
-    if buckets is not None:
-        batch = with_bucket(batch, keys, buckets)
-    if not incremental:
-        replace_table(batch, table, root, bucketed=buckets is not None)
-    elif buckets is None:
-        replace_table(keyed_replace(spark.table(table), batch, keys), table, root)
-    else:
+    if incremental and _shape(spark.table(table)) != _shape(batch):
+        raise ValueError(f"{table} has other columns: full_refresh is needed")
+    if incremental and want == have and want:
+        batch = with_bucket(batch, keys, want)
         # at most ``buckets`` numbers
         touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
         target = spark.table(table).where(F.col(BUCKET).isin(touched))
         replace_buckets(keyed_replace(target, batch, keys), table, touched, root)
+    else:
+        if incremental:
+            batch = keyed_replace(spark.table(table).drop(BUCKET), batch, keys)
+        if want:
+            batch = with_bucket(batch, keys, want)
+        replace_table(batch, table, root, bucketed=bool(want))
+    properties = {"keys": ",".join(keys), "key_buckets": want}
     if mark_from == "target" and newest is not None:
-        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('loaded_until' = '{newest}')")
+        properties["loaded_until"] = newest
+    listed = ", ".join(f"'{name}' = '{value}'" for name, value in properties.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def _loaded_until(spark: SparkSession, table: str, field: T.StructField):
-    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where("key = 'loaded_until'").collect()
-    if not found:
+def _loaded_until(spark: SparkSession, stored: dict[str, str], field: T.StructField):
+    if "loaded_until" not in stored:
         return None
-    text = F.lit(found[0]["value"]).cast(field.dataType)
+    text = F.lit(stored["loaded_until"]).cast(field.dataType)
     return spark.range(1).select(text).first()[0]

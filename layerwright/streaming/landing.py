@@ -25,18 +25,19 @@ def follow_landing(
     after_batch: Callable[[], None] | None = None,
     once: bool = True,
     files_per_batch: int | None = None,
+    guard: str = "id",
 ) -> StreamingQuery:
     """Append new JSON files of ``folder`` to raw table ``name``.
 
     ``progress`` is the checkpoint folder that remembers which files are done. A batch repeated after
-    a failure adds no row twice, since landing leaves out ids the raw table holds. With ``once`` the
-    query stops when all files present are done.
+    a failure adds no row twice: landing leaves out what the raw table and the quarantine hold under
+    ``guard`` (see ``raw.land``). With ``once`` the query stops when all files present are done.
     """
     options = {} if files_per_batch is None else {"maxFilesPerTrigger": str(files_per_batch)}
     files = spark.readStream.schema(LANDED).options(**options).json(folder)
 
     def take(batch: DataFrame, _: int) -> None:
-        raw.land(batch.sparkSession, database, name, batch)
+        raw.land(batch.sparkSession, database, name, batch, guard)
         # the batch ran in a session of its own; this one must not keep an older list of files
         for table in (name, f"{name}_quarantine"):
             spark.catalog.refreshTable(f"{database}.{table}")

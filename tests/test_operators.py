@@ -302,12 +302,6 @@ def test_top_k_nulls_last(spark):
     assert [r.k for r in serving.top_k(df, 4, "m", "k").collect()][-1] == 1
 
 
-def test_broadcast_only_when_small(spark):
-    df = spark.range(100)
-    assert "hint" in serving.broadcast_if_small(df, 100)._jdf.queryExecution().logical().toString().lower()
-    assert serving.broadcast_if_small(df, 99) is df
-
-
 def test_bounds_and_counts(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", None)], "g string, v int")
     assert tuple(serving.value_bounds(df, "v").first()) == (1, 3)

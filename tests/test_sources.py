@@ -164,7 +164,8 @@ def views(spark, database, **options):
 
 def test_raw_tables_are_created_once(spark, database):
     raw.create_raw_tables(spark, database)
-    assert {t.name for t in spark.catalog.listTables(database)} == set(raw.RAW_TABLES)
+    created = {t.name for t in spark.catalog.listTables(database) if not t.isTemporary}
+    assert created == set(raw.RAW_TABLES)
     assert spark.table(f"{database}.moves").dtypes[1] == ("fetch_date", "timestamp_ntz")
 
 
@@ -348,9 +349,14 @@ def test_freshness_report(spark, standing):
 
 def test_sql_over_registered_marts(spark, standing):
     live = m.LiveMarts(views(spark, standing))
-    serving.register_views(live.some("mart_types"))
-    found = serving.run_sql(spark, "SELECT poke_id FROM mart_types WHERE type = :t", t="fire")
+    spark.range(3).createOrReplaceTempView("mart_types")
+    found = serving.run_sql(live.some("mart_types"), "SELECT poke_id FROM mart_types WHERE type = :t", t="fire")
     assert rows(found) == [(4,)]
+    assert spark.table("mart_types").count() == 3  # a view of that name is as it was
+    spark.catalog.dropTempView("mart_types")
+    with pytest.raises(Exception):
+        serving.run_sql(live.some("mart_types"), "SELECT nothing FROM mart_types")
+    assert not any(t.isTemporary for t in spark.catalog.listTables())
 
 
 def test_card_and_lists(spark, standing):
@@ -418,3 +424,137 @@ def test_follow_landing_reads_each_file_once(spark, database, tmp_path):
     assert run() == [(1,), (2,), (3,)]
     assert len(refreshed) == 2
     assert rows(spark.table(f"{database}.moves_quarantine").select("id")) == [(4,)]
+
+
+# ---- layout, schema, superseded folders ----------------------------------------------------------
+
+
+def keyed(spark, *found):
+    rows = [(datetime(2024, 1, d), k, v) for d, k, v in found]
+    return spark.createDataFrame(rows, "fetch_date timestamp_ntz, k int, v string")
+
+
+def test_another_bucket_count_keeps_one_row_per_key(spark, database):
+    name = f"{database}.rebucketed"
+    tables.load_mart(keyed(spark, *[(1, k, "old") for k in range(100)]), name, "k", ["k", "v"], buckets=8)
+    tables.load_mart(keyed(spark, *[(2, k, "new") for k in (1, 2, 3)]), name, "k", ["k", "v"], buckets=16)
+    found = spark.table(name)
+    assert found.count() == found.select("k").distinct().count() == 100
+    assert rows(found.where("v = 'new'").select("k")) == [(1,), (2,), (3,)]
+    assert found.agg(F.max(tables.BUCKET)).first()[0] > 7
+    # without a count the stored one holds
+    tables.load_mart(keyed(spark, (3, 50, "newer")), name, "k", ["k", "v"])
+    assert spark.table(name).count() == 100 and tables.is_bucketed(spark, name)
+
+
+def test_full_refresh_across_layouts_and_columns(spark, database):
+    name = f"{database}.refreshed"
+    tables.load_mart(keyed(spark, *[(1, k, "old") for k in range(100)]), name, "k", ["k", "v"], buckets=8)
+    tables.load_mart(keyed(spark, (2, 1, "new")), name, "k", ["k", "v"], full_refresh=True)
+    assert rows(spark.table(name).select("k", "v")) == [(1, "new")] and tables.is_bucketed(spark, name)
+    tables.load_mart(keyed(spark, (2, 2, "new")), name, "k", ["k", "v"], full_refresh=True, buckets=0)
+    assert rows(spark.table(name)) == [(2, "new")] and not tables.is_bucketed(spark, name)
+    tables.load_mart(keyed(spark, (3, 3, "b")), name, "k", ["k", "v"], buckets=4)
+    assert rows(spark.table(name).select("k")) == [(2,), (3,)] and tables.is_bucketed(spark, name)
+
+
+def test_other_keys_or_columns_need_a_full_refresh(spark, database):
+    name = f"{database}.checked"
+    tables.load_mart(keyed(spark, (1, 1, "a")), name, "k", ["k", "v"])
+    with pytest.raises(ValueError, match="keyed"):
+        tables.load_mart(keyed(spark, (2, 1, "b")), name, "v", ["k", "v"])
+    renamed = keyed(spark, (2, 1, "b")).withColumnRenamed("v", "w")
+    with pytest.raises(ValueError, match="columns"):
+        tables.load_mart(renamed, name, "k", ["k", "w"])
+    tables.load_mart(renamed, name, "k", ["k", "w"], full_refresh=True)
+    assert spark.table(name).columns == ["k", "w"] and rows(spark.table(name)) == [(1, "b")]
+
+
+def test_replace_table_takes_new_columns(spark, database, tmp_path):
+    name = f"{database}.shaped"
+    tables.replace_table(spark.range(3), name)
+    tables.replace_table(spark.range(3).selectExpr("id AS renamed", "'x' AS added"), name)
+    assert rows(spark.table(name)) == [(0, "x"), (1, "x"), (2, "x")]
+    spark.range(2).selectExpr("id AS other").write.parquet(str(tmp_path / "a.parquet"))
+    report = archive.seed_from_archive(spark, database, {"shaped": str(tmp_path / "a.parquet")})
+    assert rows(report) == [("shaped", 2, 2, "OK")] and spark.table(name).columns == ["other"]
+
+
+def test_vacuum_removes_only_earlier_versions(spark, database):
+    plain, split = f"{database}.plain", f"{database}.split"
+    for _ in range(3):
+        tables.replace_table(spark.range(5), plain)
+    assert len(tables.vacuum(spark, plain)) == 2
+    assert tables.vacuum(spark, plain) == [] and spark.table(plain).count() == 5
+    tables.load_mart(keyed(spark, *[(1, k, "old") for k in range(50)]), split, "k", ["k", "v"], buckets=4)
+    tables.load_mart(keyed(spark, (2, 1, "new")), split, "k", ["k", "v"])
+    tables.vacuum(spark, split)
+    assert spark.table(split).count() == 50
+    assert rows(spark.table(split).where("v = 'new'").select("k")) == [(1,)]
+
+
+# ---- landing again -------------------------------------------------------------------------------
+
+
+def test_landing_again_adds_nothing(spark, filled):
+    doc = entity("leaf", 7, ["grass"], FULL)
+    batch = landed(spark, (50, doc), (50, doc), (None, doc), (51, "{"), (51, "{"), batch="b7")
+    for _ in range(2):
+        raw.land(spark, filled, "pokemons", batch)
+    table = spark.table(f"{filled}.pokemons")
+    assert table.where("id = 50").count() == 1
+    bad = spark.table(f"{filled}.pokemons_quarantine").where("batch_id = 'b7'")
+    assert rows(bad.select("id")) == [(51,), (None,)]
+
+
+def test_refetches_land_where_asked_for(spark, filled):
+    later = landed(spark, (1, entity("leaf2", 8, ["grass"], FULL)), date="2024-03-01T00:00:00", batch="b2")
+    raw.land(spark, filled, "pokemons", later)
+    assert views(spark, filled)["stg_pokemons"].where("poke_id = 1").first().poke_name == "leaf"
+    for _ in range(2):
+        raw.land(spark, filled, "pokemons", later, guard="fetch")
+    assert views(spark, filled)["stg_pokemons"].where("poke_id = 1").first().poke_name == "leaf2"
+    assert spark.table(f"{filled}.pokemons").where("id = 1").count() == 2
+    with pytest.raises(ValueError):
+        raw.land(spark, filled, "pokemons", later, guard="x")
+
+
+def test_payload_id_is_a_column(spark, filled):
+    assert rows(spark.table(f"{filled}.pokemon_catalogue").select("id")) == [(1,), (2,)]
+    raw.land(spark, filled, "generations", landed(spark, (None, {"name": "no id"})))
+    assert spark.table(f"{filled}.generations").count() == 1
+    assert spark.table(f"{filled}.generations_quarantine").count() == 1
+
+
+# ---- incremental loads read only what is new -----------------------------------------------------
+
+
+def test_second_load_pushes_the_mark_to_the_scan(spark, filled, monkeypatch):
+    target = f"{filled}_pushed"
+    m.load_marts(views(spark, filled), target)
+    later = landed(spark, (1, entity("leaf", 9, ["grass"], {**FULL, "hp": 50})), date="2024-03-01T00:00:00", batch="b2")
+    raw.land(spark, filled, "pokemons", later, guard="fetch")
+    plans = []
+    narrowed = m.Views.since
+
+    def kept(self, table, mark):
+        found = narrowed(self, table, mark)
+        plans.append((table, found._raw[table]._jdf.queryExecution().executedPlan().toString()))
+        return found
+
+    monkeypatch.setattr(m.Views, "since", kept)
+    m.load_marts(views(spark, filled), target)
+    assert {table for table, _ in plans} == {"generations", "moves", "pokemons", "pokemon_species", "version_groups"}
+    assert all("GreaterThanOrEqual(fetch_date" in plan for _, plan in plans)
+    stats = {r.poke_id: r.total_stat_points for r in spark.table(f"{target}.mart_stats").collect()}
+    assert stats[1] == 70 and len(stats) == 3
+    assert rows(spark.table(f"{target}.mart_types").where("poke_id = 1").select("slot")) == [(1,)]
+
+
+def test_marts_parse_the_entities_once(spark, filled):
+    stored = views(spark, filled).stored()
+    for name in ("stg_pokemons", "int_stats_total", "int_types", "int_pokemon_moves", "int_past_types"):
+        plan = stored[name]._jdf.queryExecution().analyzed().toString()
+        if name != "stg_pokemons":  # whose catalogue is another payload
+            assert "from_json" not in plan
+    assert stored._typed is not None

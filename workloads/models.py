@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerwright.operators import planning
 from layerwright.plans import contracts, serving
 from layerwright.plans import marts as m
 from layerwright.plans import staging as stg
-from layerwright.session import fresh_path
-from layerwright.sources import raw as raw_tables
+from layerwright.session import cut_lineage, fresh_path
+from layerwright.sources import raw
 from layerwright.sources import tables
 from workloads import landing
-from workloads.registry import query
+from workloads.registry import query, table
 
 # ---- the landed entities as SQL ------------------------------------------------------------------
 
@@ -219,7 +220,7 @@ def model_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def id_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    return raw_tables.id_lookup(landing.catalogue(spark, folder))
+    return raw.id_lookup(landing.catalogue(spark, folder))
 
 
 @query(sql("SELECT fetch_date, poke_gen, poke_id, poke_name, height, weight FROM entities"))
@@ -512,6 +513,191 @@ def incremental_bucketed_mart(spark: SparkSession, folder: str) -> DataFrame:
     return m.loaded_marts(spark, database)["mart_pokemons"]
 
 
+def _event_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Events as a keyed source: all of them at first, then those of three users once more."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "value", F.lit(landing.FIRST).alias("at"))
+    again = events.where("user_id IN (1, 2, 3)").withColumn("value", F.col("value") + 1)
+    return events, again.withColumn("at", F.lit(landing.SECOND))
+
+
+_VERSIONED = (
+    "SELECT event_id, user_id, CASE WHEN user_id IN (1, 2, 3) THEN value + 1 ELSE value END AS value FROM events"
+)
+_VERSIONS = {"key": "event_id", "columns": ["event_id", "user_id", "value"], "loaded_at": "at"}
+
+
+@query(_VERSIONED)
+def mart_rebucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """A load that asks for another number of buckets than the table has: no row is lost or doubled."""
+    name = f"{_database(spark)}.events"
+    first, again = _event_versions(spark, folder)
+    tables.load_mart(first, name, buckets=8, **_VERSIONS)
+    tables.load_mart(again, name, buckets=16, **_VERSIONS)
+    return spark.table(name).drop(tables.BUCKET)
+
+
+@query("SELECT event_id, value AS measured FROM events WHERE user_id IN (1, 2, 3)")
+def mart_refresh_changes_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """Full refreshes of a bucketed table: in its layout, then without buckets and with other columns."""
+    name = f"{_database(spark)}.events"
+    first, again = _event_versions(spark, folder)
+    tables.load_mart(first, name, buckets=8, **_VERSIONS)
+    tables.load_mart(again, name, full_refresh=True, **_VERSIONS)
+    some = first.where("user_id IN (1, 2, 3)").withColumnRenamed("value", "measured")
+    options = {**_VERSIONS, "columns": ["event_id", "measured"]}
+    tables.load_mart(some, name, full_refresh=True, buckets=0, **options)
+    return spark.table(name)
+
+
+@query(
+    """
+    SELECT event_id, user_id, CASE WHEN event_id = 7 THEN value + 1 ELSE value END AS value,
+           event_id = 7 AS rewritten
+    FROM events
+    """
+)
+def mart_partial_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch of one key: of 64 buckets only the one it is in gets new files."""
+    name = f"{_database(spark)}.events"
+    first, _ = _event_versions(spark, folder)
+    tables.load_mart(first, name, buckets=64, **_VERSIONS)
+    before = cut_lineage(_bucket_files(spark, name))
+    again = first.where("event_id = 7").withColumn("value", F.col("value") + 1)
+    tables.load_mart(again.withColumn("at", F.lit(landing.SECOND)), name, buckets=64, **_VERSIONS)
+    fresh = _bucket_files(spark, name).join(before, [tables.BUCKET, "file"], "left_anti")
+    touched = spark.table(name).join(fresh.select(tables.BUCKET).distinct(), tables.BUCKET, "left_semi")
+    # rows beside key 7 in the rewritten bucket keep their values; a second bucket would show as rewritten
+    others = touched.where("event_id <> 7").select(tables.BUCKET).distinct()
+    own = spark.table(name).where("event_id = 7").select(tables.BUCKET)
+    strays = others.join(own, tables.BUCKET, "left_anti").withColumn("stray", F.lit(True))
+    return (
+        spark.table(name)
+        .join(strays, tables.BUCKET, "left")
+        .select("event_id", "user_id", "value", ((F.col("event_id") == 7) | F.col("stray").isNotNull()).alias("rewritten"))
+    )
+
+
+def _bucket_files(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name).select(tables.BUCKET, F.input_file_name().alias("file")).distinct()
+
+
+# ---- landing -------------------------------------------------------------------------------------
+
+
+def _landed_parts(spark: SparkSession, folder: str, batch: str = "b1", shift: int = 0) -> DataFrame:
+    """Parts as landed rows: some twice, some without an id, some with a payload that is no JSON."""
+    part = table(spark, folder, "part")
+    payload = "to_json(named_struct('name', p_name, 'height', p_size + {shift}))".replace("{shift}", str(shift))
+    rows = part.selectExpr(
+        "CASE WHEN p_partkey % 10 = 3 THEN NULL ELSE CAST(p_partkey AS BIGINT) END AS id",
+        "'2024-01-01T00:00:00+00:00' AS fetch_date",
+        f"'{batch}' AS batch_id",
+        f"CASE WHEN p_partkey % 10 = 4 THEN '{{\"name\": ' ELSE {payload} END AS payload",
+    )
+    return rows.unionByName(rows.where("id % 10 = 5"))
+
+
+def _landed_report(spark: SparkSession, database: str) -> DataFrame:
+    kept = spark.table(f"{database}.pokemons").selectExpr("'raw' AS kind", "id", "batch_id")
+    bad = spark.table(f"{database}.pokemons_quarantine").selectExpr("'quarantine' AS kind", "id", "batch_id")
+    return kept.unionByName(bad).groupBy("kind", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("id").alias("n_ids"),
+        F.coalesce(F.sum("id"), F.lit(0)).alias("id_sum"),
+    )
+
+
+_LAND = """
+SELECT 'raw' AS kind, 'b1' AS batch_id, count(*) AS n_rows, count(*) AS n_ids, CAST(sum(p_partkey) AS BIGINT) AS id_sum
+FROM part WHERE p_partkey % 10 NOT IN (3, 4)
+UNION ALL
+SELECT 'quarantine', 'b1', (SELECT count(DISTINCT (p_name, p_size)) FROM part WHERE p_partkey % 10 = 3) + count(*),
+       count(*), CAST(coalesce(sum(p_partkey), 0) AS BIGINT)
+FROM part WHERE p_partkey % 10 = 4
+"""
+
+
+@query(_LAND)
+def land_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows landed twice: neither the raw table nor the quarantine grows."""
+    database = _database(spark)
+    raw.create_raw_tables(spark, database)
+    for _ in range(2):
+        raw.land(spark, database, "pokemons", _landed_parts(spark, folder))
+    return _landed_report(spark, database)
+
+
+@query(
+    """
+    SELECT CAST(p_partkey AS BIGINT) AS poke_id, p_name AS poke_name, round((p_size + 5) / 10, 2) AS height
+    FROM part WHERE p_partkey % 10 NOT IN (3, 4)
+    """
+)
+def land_refetch(spark: SparkSession, folder: str) -> DataFrame:
+    """A newer fetch of known ids lands as a fetch of its own, and the views read the newest."""
+    database = _database(spark)
+    raw.create_raw_tables(spark, database)
+    raw.land(spark, database, "pokemons", _landed_parts(spark, folder), guard="fetch")
+    later = _landed_parts(spark, folder, "b2", 5).withColumn("fetch_date", F.lit("2024-06-01T00:00:00+00:00"))
+    for _ in range(2):
+        raw.land(spark, database, "pokemons", later, guard="fetch")
+    views = m.Views({name: spark.table(f"{database}.{name}") for name in raw.RAW_TABLES})
+    return views["stg_pokemons"].select("poke_id", "poke_name", "height")
+
+
+@query(
+    """
+    SELECT 'generations' AS "table", 4 AS n_columns, 0 AS n_rows
+    UNION ALL SELECT 'pokemon_catalogue', 4, 0 UNION ALL SELECT 'version_groups', 4, 0
+    UNION ALL SELECT 'pokemons', 4, (SELECT count(*) FROM part WHERE p_partkey % 10 NOT IN (3, 4))
+    UNION ALL SELECT 'moves', 4, 0 UNION ALL SELECT 'pokemon_species', 4, 0
+    UNION ALL SELECT 'pokemon_ids', 2, 0
+    """
+)
+def raw_tables_created(spark: SparkSession, folder: str) -> DataFrame:
+    """All raw tables; creating them again leaves landed rows alone."""
+    database = _database(spark)
+    raw.create_raw_tables(spark, database)
+    raw.land(spark, database, "pokemons", _landed_parts(spark, folder))
+    raw.create_raw_tables(spark, database)
+    found = None
+    for name in raw.RAW_TABLES:
+        rows = spark.table(f"{database}.{name}")
+        counted = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table"), F.lit(len(rows.columns)).alias("n_columns"), "n_rows"
+        )
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
+@query(
+    """
+    SELECT 'before' AS step, count(*) > 0 AS to_do, count(*) AS n_missing FROM part
+    UNION ALL
+    SELECT 'after', count(*) FILTER (WHERE p_partkey % 10 IN (3, 4)) > 0,
+           count(*) FILTER (WHERE p_partkey % 10 IN (3, 4)) FROM part
+    """
+)
+def landing_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Is there anything to fetch: before a landing, and after it, when only bad rows are missing."""
+    database = _database(spark)
+    raw.create_raw_tables(spark, database)
+    wanted = table(spark, folder, "part").select(F.col("p_partkey").cast("bigint").alias("id"))
+
+    def step(name: str) -> DataFrame:
+        missing = planning.missing_ids(wanted, spark.table(f"{database}.pokemons"), "id")
+        gate = planning.anything_to_do(missing)
+        return cut_lineage(
+            missing.agg(F.count(F.lit(1)).alias("n_missing")).select(
+                F.lit(name).alias("step"), F.lit(gate).alias("to_do"), "n_missing"
+            )
+        )
+
+    before = step("before")
+    raw.land(spark, database, "pokemons", _landed_parts(spark, folder))
+    return before.unionByName(step("after"))
+
+
 # ---- checks --------------------------------------------------------------------------------------
 
 _KINDS = ["ECONOMY", "SMALL", "STANDARD"]
@@ -777,10 +963,9 @@ def question_average_by_generation(spark: SparkSession, folder: str) -> DataFram
     )
 )
 def ad_hoc_sql(spark: SparkSession, folder: str) -> DataFrame:
-    """Free SQL over the registered marts."""
-    serving.register_views(landing.live_marts(spark, folder).some("mart_types", "mart_stats"))
+    """Free SQL over mart names."""
     return serving.run_sql(
-        spark,
+        landing.live_marts(spark, folder).some("mart_types", "mart_stats"),
         "SELECT t.type, count(*) AS n, max(s.total_stat_points) AS best FROM mart_types t "
         "JOIN mart_stats s ON s.poke_id = t.poke_id WHERE t.slot = :slot GROUP BY t.type",
         slot=1,

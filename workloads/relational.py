@@ -30,7 +30,6 @@ from layerwright.operators.latest import distinct_values, latest_per_key
 from layerwright.operators.ordered import rank_table
 from layerwright.operators.profile import column_profile, sample_rows, table_columns
 from layerwright.operators.reshape import pivot_fixed, unpivot
-from layerwright.operators.spread import spread_rows
 from layerwright.operators.unnest import (
     unnest,
     unnest_nested,
@@ -58,7 +57,7 @@ _LADDER = """CASE WHEN pct_rank >= 0.95 THEN 'S' WHEN pct_rank >= 0.80 THEN 'A'
 
 
 def _tiered(spark: SparkSession, folder: str) -> DataFrame:
-    nation = serving.broadcast_if_small(table(spark, folder, "nation").select("n_nationkey", "n_name"))
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
     customer = table(spark, folder, "customer")
     rows = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     ranked = rank_table(
@@ -104,7 +103,7 @@ def rank_subset(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "nations")
     nation = table(spark, folder, "nation")
     nation.where("n_regionkey = 2").select("n_nationkey").write.csv(path, header=True)
-    seed = serving.broadcast_if_small(read_seed(spark, path, "s_nationkey int"))
+    seed = read_seed(spark, path, "s_nationkey int")
     chosen = table(spark, folder, "supplier").join(seed, "s_nationkey")
     return rank_table(
         chosen.select("s_suppkey", "s_name", "s_acctbal"),
@@ -157,7 +156,7 @@ def json_explode_items(spark: SparkSession, folder: str) -> DataFrame:
     items = [
         F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in _MEASURES
     ]
-    landed = spread_rows(table(spark, folder, "lineitem")).select(
+    landed = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", F.to_json(F.array(*items)).alias("payload")
     )
     rows = landed.select(
@@ -178,7 +177,7 @@ def json_explode_items(spark: SparkSession, folder: str) -> DataFrame:
 )
 def json_raw_elements(spark: SparkSession, folder: str) -> DataFrame:
     """Array elements of differing shapes, kept as JSON text and read one by one."""
-    landed = spread_rows(table(spark, folder, "orders")).select(
+    landed = table(spark, folder, "orders").select(
         "o_orderkey",
         F.concat(
             F.lit('[{"status":"'),
@@ -216,7 +215,7 @@ def json_explode_nested(spark: SparkSession, folder: str) -> DataFrame:
         url = F.concat(F.lit("/period/"), (year + n).cast("string"), F.lit("/"))
         return F.struct(url.alias("url"), slots.alias("slots"))
 
-    landed = spread_rows(table(spark, folder, "orders")).select(
+    landed = table(spark, folder, "orders").select(
         "o_orderkey", F.to_json(F.array(period(0), period(1))).alias("payload")
     )
     shape = "url string, slots array<struct<slot:int, type:string>>"
@@ -285,15 +284,17 @@ def array_positions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     """
-    SELECT c.conv_id, a.text AS answer
+    SELECT c.conv_id, a.answer
     FROM (SELECT DISTINCT conv_id FROM conversations) c
-    LEFT JOIN conversations a ON a.conv_id = c.conv_id AND a.role = 'assistant' AND a.turn = 1
+    LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS answer FROM conversations
+               WHERE role = 'assistant' GROUP BY conv_id) a USING (conv_id)
     """
 )
 def first_matching_left(spark: SparkSession, folder: str) -> DataFrame:
     """The first answer joined back; conversations without one keep their row."""
     turns = table(spark, folder, "conversations")
-    answers = turns.where("role = 'assistant' AND turn = 1").withColumnRenamed("text", "answer")
+    spoken = turns.where("role = 'assistant'").withColumnRenamed("text", "answer")
+    answers = latest_per_key(spoken, ["conv_id"], [F.col("turn").asc(), F.col("answer").asc()])
     return with_matching(turns.select("conv_id").distinct(), "conv_id", answers, "answer")
 
 
@@ -350,7 +351,7 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
 )
 def distinct_bridge(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey").distinct()
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
     pairs = (
         lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         .select("o_custkey", "l_partkey")
@@ -416,8 +417,8 @@ def _customer_history(spark: SparkSession, folder: str, rule: str) -> DataFrame:
         newest.alias("priority")
     )
     yearly = yearly.withColumn("slot", F.lit(1))
-    bounds = orders.groupBy("o_custkey").agg(
-        F.year(F.min("o_orderdate")).alias("intro"), F.year(F.max("o_orderdate")).alias("newest")
+    bounds = yearly.groupBy("o_custkey").agg(
+        F.min("period").alias("intro"), F.max("period").alias("newest")
     )
     dated = yearly.join(bounds, "o_custkey")
     return validity_windows(
@@ -501,9 +502,11 @@ def incremental_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT max(ts) AS newest, min(ts) AS oldest, count(*) AS n FROM events")
 def high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
+    """The mark as the incremental loads take it."""
     events = table(spark, folder, "events")
-    return events.agg(
-        F.max("ts").alias("newest"), F.min("ts").alias("oldest"), F.count(F.lit(1)).alias("n")
+    newest = F.lit(inc.high_water_mark(events, "ts").isoformat()).cast("timestamp_ntz")
+    return events.agg(F.min("ts").alias("oldest"), F.count(F.lit(1)).alias("n")).select(
+        newest.alias("newest"), "oldest", "n"
     )
 
 
@@ -638,7 +641,7 @@ def explorer_filter(spark: SparkSession, folder: str) -> DataFrame:
 )
 def entity_list(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer")
-    nation = serving.broadcast_if_small(table(spark, folder, "nation"))
+    nation = table(spark, folder, "nation")
     ranks = _tiered(spark, folder).select("c_custkey", "rank", "tier")
     return (
         customer.join(nation, customer.c_nationkey == nation.n_nationkey)
@@ -654,7 +657,7 @@ _PLACED = """customer JOIN nation ON n_nationkey = c_nationkey
 
 def _placed(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    places = serving.broadcast_if_small(nation.join(region, nation.n_regionkey == region.r_regionkey))
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey)
     customer = table(spark, folder, "customer")
     return customer.join(places, customer.c_nationkey == places.n_nationkey)
 
@@ -688,10 +691,10 @@ def topk(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    """Top orders of one status, named afterwards: the joins only see the kept rows' keys."""
+    """Top orders of one status among those whose customer and nation are known, so joined first."""
     orders = table(spark, folder, "orders").where("o_orderstatus = 'P'")
     customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = serving.broadcast_if_small(table(spark, folder, "nation").select("n_nationkey", "n_name"))
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
     rows = orders.join(customer, orders.o_custkey == customer.c_custkey)
     rows = rows.join(nation, rows.c_nationkey == nation.n_nationkey)
     return serving.top_k(rows, 10, "o_totalprice", "o_orderkey").select(
