@@ -3,7 +3,8 @@
 ``Window.orderBy`` with no partition sends every row to one task, and a window partitioned by a hot
 key sends that key's rows to one task. Both operators here split the *order* instead: rows are
 range-partitioned on the full sort key, each range is numbered on its own, and the few facts needed
-from the neighbouring ranges (one row per range) are added back by a broadcast join.
+from the neighbouring ranges (one row per range) are added back by a broadcast join. Ranks take one
+shuffle of the rows; percent ranks add one of the different values.
 
 The ranges depend on Spark's sample of the data, so the numbered rows are written out before the
 summary of the ranges is read: both then describe the same split, also after an executor is lost.
@@ -21,17 +22,15 @@ from layerwright.session import cut_lineage
 
 _RANGE = "__range"
 
+#: Bits in which ``monotonically_increasing_id`` counts the rows of a task.
+_TASK_BITS = 33
+
 
 def _summary_frame(df: DataFrame, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """One row per range; their number is set by the shuffle partitions, not by the data."""
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
 
-def _same(left, right) -> bool:
-    """Equality as Spark orders values: NaN equals NaN."""
-    return left == right or (left != left and right != right)
-
-
 def _split_on(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Rows range-partitioned on ``order``, tagged with the range they fell into.
 
@@ -55,64 +54,46 @@ def rank_table(
     (rows below) / (n - 1), the same for equal measures, 0 for a single row. NULL measures come last
     in the numbering and above every value in the percent rank, as with NULLS LAST in both orders.
     """
-    highest_first = [F.col(measure).desc_nulls_last(), *[F.col(c).asc() for c in tie_break]]
-    in_range = Window.partitionBy(_RANGE)
-    rows = (
-        _split_on(df, highest_first)
-        .withColumn("__row", F.row_number().over(in_range.orderBy(*highest_first)))
-        # rows of this range at or above the measure; its least value is the leading run of ties
-        .withColumn("__at_or_above", F.count(F.lit(1)).over(in_range.orderBy(highest_first[0])))
+    order = [F.col(measure).desc_nulls_last(), *[F.col(c).asc() for c in tie_break]]
+    rows = cut_lineage(
+        df.repartitionByRange(*order, F.xxhash64(*df.columns))
+        .sortWithinPartitions(*order)
+        # counts rows within a task, with the task's number in the bits above
+        .withColumn("__at", F.monotonically_increasing_id())
     )
-    rows = cut_lineage(rows)
-
+    in_range = F.col("__at").bitwiseAND(F.lit((1 << _TASK_BITS) - 1))
+    task = F.shiftright("__at", _TASK_BITS).cast("int")
     ranges = (
-        rows.groupBy(_RANGE)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count(measure).alias("n_valued"),
-            F.min("__at_or_above").alias("n_lead"),
-            F.max(measure).alias("high"),
-            F.min(measure).alias("low"),
-        )
+        rows.groupBy(task.alias(_RANGE))
+        .agg(F.count(F.lit(1)).alias("n"), F.count(measure).alias("n_valued"))
         .orderBy(_RANGE)
         .collect()
     )
     n_rows = sum(r.n for r in ranges)
     n_valued = sum(r.n_valued for r in ranges)
-
     summary, before = [], 0
-    for i, current in enumerate(ranges):
-        carried = 0
-        if current.n == current.n_valued:  # ties with this range's lowest value, further down
-            for later in ranges[i + 1 :]:
-                if later.n_valued == 0 or not _same(later.high, current.low):
-                    break
-                carried += min(later.n_lead, later.n_valued)
-                if later.n_lead < later.n:
-                    break
-        summary.append((current[_RANGE], before, current.low, carried))
+    for current in ranges:
+        summary.append((current[_RANGE], before))
         before += current.n
-
-    schema = T.StructType(
-        [
-            T.StructField(_RANGE, T.IntegerType()),
-            T.StructField("__before", T.LongType()),
-            T.StructField("__low", df.schema[measure].dataType),
-            T.StructField("__carried", T.LongType()),
-        ]
+    offsets = _summary_frame(df, summary, T.StructType.fromDDL(f"{_RANGE} int, __before long"))
+    result = (
+        rows.withColumn(_RANGE, task)
+        .join(offsets, _RANGE)
+        .withColumn(rank, F.col("__before") + in_range + 1)
+    )
+    if percent_rank is None:
+        return result.select(*df.columns, rank)
+    # rows below a value: all valued ones but those ranked up to its last occurrence
+    lowest = cut_lineage(
+        result.where(F.col(measure).isNotNull()).groupBy(measure).agg(F.max(rank).alias("__last"))
+    )
+    below = n_valued - F.coalesce(F.col("__last"), F.lit(0))
+    share = F.lit(0.0) if n_rows < 2 else below / F.lit(float(n_rows - 1))
+    return (
+        result.join(lowest, measure, "left")
+        .withColumn(percent_rank, share)
+        .select(*df.columns, rank, percent_rank)
     )
-    joined = rows.join(_summary_frame(df, summary, schema), _RANGE)
-    result = joined.withColumn(rank, F.col("__before") + F.col("__row"))
-    if percent_rank is not None:
-        at_or_above = (
-            F.col("__before")
-            + F.col("__at_or_above")
-            + F.when(F.col(measure) == F.col("__low"), F.col("__carried")).otherwise(0)
-        )
-        below = F.when(F.col(measure).isNull(), n_valued).otherwise(n_valued - at_or_above)
-        share = F.lit(0.0) if n_rows < 2 else below / F.lit(float(n_rows - 1))
-        result = result.withColumn(percent_rank, share)
-    return result.select(*df.columns, *[c for c in (rank, percent_rank) if c is not None])
 
 
 def previous_in_group(

@@ -54,59 +54,82 @@ FRESHNESS_DAYS = {
 
 # Columns that must not be NULL, and columns that must not repeat, per model.
 NOT_NULL = {
-    "stg_generations": "fetch_date poke_gen gen_api_name gen_name",
-    "stg_move_details": "fetch_date move_id move_name pp priority type damage_class poke_gen",
-    "stg_past_stats": "fetch_date poke_id",
-    "stg_past_types": "fetch_date poke_id",
-    "stg_pokemon_catalogue": "fetch_date poke_gen poke_name poke_id",
-    "stg_pokemon_moves": "fetch_date poke_id moves",
-    "stg_pokemon_species": "fetch_date poke_id is_legendary is_mythical is_baby",
-    "stg_pokemons": "fetch_date poke_gen poke_id poke_name",
-    "stg_stats": "fetch_date poke_id stats",
-    "stg_types": "fetch_date poke_id types",
+    "stg_generations": ("fetch_date", "poke_gen", "gen_api_name", "gen_name"),
+    "stg_move_details": (
+        "fetch_date",
+        "move_id",
+        "move_name",
+        "pp",
+        "priority",
+        "type",
+        "damage_class",
+        "poke_gen",
+    ),
+    "stg_past_stats": ("fetch_date", "poke_id"),
+    "stg_past_types": ("fetch_date", "poke_id"),
+    "stg_pokemon_catalogue": ("fetch_date", "poke_gen", "poke_name", "poke_id"),
+    "stg_pokemon_moves": ("fetch_date", "poke_id", "moves"),
+    "stg_pokemon_species": ("fetch_date", "poke_id", "is_legendary", "is_mythical", "is_baby"),
+    "stg_pokemons": ("fetch_date", "poke_gen", "poke_id", "poke_name"),
+    "stg_stats": ("fetch_date", "poke_id", "stats"),
+    "stg_types": ("fetch_date", "poke_id", "types"),
     "stg_version_groups": (
-        "fetch_date version_group_id version_group_name poke_gen version_id version_name"
+        "fetch_date",
+        "version_group_id",
+        "version_group_name",
+        "poke_gen",
+        "version_id",
+        "version_name",
+    ),
+    "int_past_stats": ("past_stat_id", "fetch_date", "poke_id", "poke_gen", "stat_name", "stat_value"),
+    "int_past_types": ("past_type_id", "fetch_date", "poke_id", "poke_gen", "slot", "type"),
+    "int_pokemon_moves": ("pokemon_move_id", "poke_id", "move_id"),
+    "int_stats": (
+        "fetch_date",
+        "poke_id",
+        "hp",
+        "attack",
+        "defense",
+        "special_attack",
+        "special_defense",
+        "speed",
     ),
-    "int_past_stats": "past_stat_id fetch_date poke_id poke_gen stat_name stat_value",
-    "int_past_types": "past_type_id fetch_date poke_id poke_gen slot type",
-    "int_pokemon_moves": "pokemon_move_id poke_id move_id",
-    "int_stats": "fetch_date poke_id hp attack defense special_attack special_defense speed",
-    "int_type_history": "type_id fetch_date poke_id slot type valid_from_gen",
-    "int_types": "type_id fetch_date poke_id slot type",
-    "mart_generations": "poke_gen gen_name",
-    "mart_moves": "move_id move_name pp priority type damage_class poke_gen",
-    "mart_past_types": "type_id",
-    "mart_pokemon_moves": "pokemon_move_id",
-    "mart_pokemon_species": "poke_id is_legendary is_mythical is_baby",
-    "mart_pokemons": "poke_gen poke_id poke_name",
-    "mart_stats": "poke_id",
-    "mart_strongest_pokemons": "poke_id poke_name rank",
-    "mart_types": "type_id",
-    "mart_version_group_versions": "version_id version_name version_group_id",
-    "mart_version_groups": "version_group_id version_group_name poke_gen",
+    "int_type_history": ("type_id", "fetch_date", "poke_id", "slot", "type", "valid_from_gen"),
+    "int_types": ("type_id", "fetch_date", "poke_id", "slot", "type"),
+    "mart_generations": ("poke_gen", "gen_name"),
+    "mart_moves": ("move_id", "move_name", "pp", "priority", "type", "damage_class", "poke_gen"),
+    "mart_past_types": ("type_id",),
+    "mart_pokemon_moves": ("pokemon_move_id",),
+    "mart_pokemon_species": ("poke_id", "is_legendary", "is_mythical", "is_baby"),
+    "mart_pokemons": ("poke_gen", "poke_id", "poke_name"),
+    "mart_stats": ("poke_id",),
+    "mart_strongest_pokemons": ("poke_id", "poke_name", "rank"),
+    "mart_types": ("type_id",),
+    "mart_version_group_versions": ("version_id", "version_name", "version_group_id"),
+    "mart_version_groups": ("version_group_id", "version_group_name", "poke_gen"),
 }
 UNIQUE = {
-    "stg_generations": "poke_gen",
-    "stg_move_details": "move_id",
-    "stg_pokemon_species": "poke_id",
-    "stg_pokemons": "poke_id",
-    "int_past_stats": "past_stat_id",
-    "int_past_types": "past_type_id",
-    "int_pokemon_moves": "pokemon_move_id",
-    "int_stats": "poke_id",
-    "int_type_history": "type_id",
-    "int_types": "type_id",
-    "mart_generations": "poke_gen",
-    "mart_moves": "move_id",
-    "mart_past_types": "type_id",
-    "mart_pokemon_moves": "pokemon_move_id",
-    "mart_pokemon_species": "poke_id",
-    "mart_pokemons": "poke_id",
-    "mart_stats": "poke_id",
-    "mart_strongest_pokemons": "poke_id",
-    "mart_types": "type_id",
-    "mart_version_group_versions": "version_id",
-    "mart_version_groups": "version_group_id",
+    "stg_generations": ("poke_gen",),
+    "stg_move_details": ("move_id",),
+    "stg_pokemon_species": ("poke_id",),
+    "stg_pokemons": ("poke_id",),
+    "int_past_stats": ("past_stat_id",),
+    "int_past_types": ("past_type_id",),
+    "int_pokemon_moves": ("pokemon_move_id",),
+    "int_stats": ("poke_id",),
+    "int_type_history": ("type_id",),
+    "int_types": ("type_id",),
+    "mart_generations": ("poke_gen",),
+    "mart_moves": ("move_id",),
+    "mart_past_types": ("type_id",),
+    "mart_pokemon_moves": ("pokemon_move_id",),
+    "mart_pokemon_species": ("poke_id",),
+    "mart_pokemons": ("poke_id",),
+    "mart_stats": ("poke_id",),
+    "mart_strongest_pokemons": ("poke_id",),
+    "mart_types": ("type_id",),
+    "mart_version_group_versions": ("version_id",),
+    "mart_version_groups": ("version_group_id",),
 }
 
 
@@ -157,8 +180,8 @@ def _value_checks(types: list[str]) -> dict[str, list[Check]]:
 
 def checks_of(model: str, marts: dict[str, DataFrame] | None = None, types: list[str] = TYPES) -> list[Check]:
     """The checks declared for one model. ``types`` are the accepted type names."""
-    checks = [q.not_null(c) for c in NOT_NULL.get(model, "").split()]
-    checks += [q.unique(c) for c in UNIQUE.get(model, "").split()]
+    checks = [q.not_null(c) for c in NOT_NULL.get(model, ())]
+    checks += [q.unique(c) for c in UNIQUE.get(model, ())]
     checks += _value_checks(types).get(model, [])
     if model == "mart_version_group_versions" and marts is not None:
         checks.append(

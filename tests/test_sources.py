@@ -335,7 +335,7 @@ def test_contract_report(spark, standing):
 
 
 def test_declared_checks_are_complete():
-    counted = sum(len(c.split()) for c in contracts.NOT_NULL.values())
+    counted = sum(len(columns) for columns in contracts.NOT_NULL.values())
     assert counted == 107 and len(contracts.UNIQUE) == 21
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,27 +97,27 @@ species AS (
              UNION ALL SELECT poke_id, 'second' FROM entities WHERE p_size = 8) g ON g.gid = e.poke_id)
 """
 
+# The rule itself, row by row: what precedes a row is the greatest earlier period of its slot, where a
+# current row comes after every past one.
 _WINDOWS = """
-numbered AS (
-  SELECT p.*, e.fetch_date, e.poke_gen AS intro,
-         lag({lagged}) OVER (PARTITION BY p.poke_id, p.{slot} ORDER BY p.period, p.{value}) AS prior
-  FROM {past} p LEFT JOIN entities e USING (poke_id)),
-closed AS (
-  SELECT fetch_date, poke_id, {slot}, {value}, coalesce(prior + 1, intro) AS valid_from_gen,
-         {until} AS valid_to_gen
-  FROM numbered),
-opened AS (
-  SELECT c.fetch_date, c.poke_id, c.{slot}, c.{value},
-         coalesce(max(k.valid_to_gen) + 1, any_value(e.poke_gen)) AS valid_from_gen,
-         CAST(NULL AS INTEGER) AS valid_to_gen
-  FROM {current} c
-  LEFT JOIN closed k ON k.poke_id = c.poke_id AND k.{slot} = c.{slot}
-  LEFT JOIN entities e ON e.poke_id = c.poke_id
-  GROUP BY ALL),
+held AS (
+  SELECT poke_id, {slot}, {value}, period FROM {past}
+  UNION ALL SELECT poke_id, {slot}, {value}, NULL FROM {current}),
+placed AS (
+  SELECT h.*, e.fetch_date, e.poke_gen AS intro,
+         (SELECT max(q.period) FROM {past} q
+          WHERE q.poke_id = h.poke_id AND q.{slot} = h.{slot}
+            AND (h.period IS NULL OR q.period < h.period
+                 OR (q.period = h.period AND q.{value} < h.{value}))) AS earlier
+  FROM held h LEFT JOIN entities e ON e.poke_id = h.poke_id),
+bounded AS (
+  SELECT fetch_date, poke_id, {slot}, {value}, coalesce({prior} + 1, intro) AS valid_from_gen,
+         CAST({until} AS INTEGER) AS valid_to_gen
+  FROM placed),
 history AS (
-  SELECT md5(poke_id || '-' || {slot} || '-' ||
-             coalesce(CAST(valid_from_gen AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS {key}, *
-  FROM (SELECT * FROM closed UNION ALL SELECT * FROM opened))
+  SELECT md5(concat_ws('-', poke_id, {slot}, coalesce(CAST(valid_from_gen AS VARCHAR),
+                                                      '_dbt_utils_surrogate_key_null_'))) AS {key}, *
+  FROM bounded)
 """
 
 
@@ -124,11 +126,11 @@ def sql(select: str, *extra: str) -> str:
 
 
 TYPE_HISTORY = _WINDOWS.format(
-    lagged="p.period", until="period", past="past", current="types", slot="slot", value="type", key="type_id"
+    prior="earlier", until="period", past="past", current="types", slot="slot", value="type", key="type_id"
 )
 TYPE_HISTORY_AS_WRITTEN = _WINDOWS.format(
-    lagged="e.poke_gen",
-    until="intro",
+    prior="CASE WHEN earlier IS NOT NULL THEN intro END",
+    until="CASE WHEN period IS NOT NULL THEN intro END",
     past="past",
     current="types",
     slot="slot",
@@ -148,7 +150,7 @@ stat_rows AS (
   WHERE s.stat_value IS NOT NULL)
 """
 STAT_HISTORY = STAT_ROWS + "," + _WINDOWS.format(
-    lagged="p.period",
+    prior="earlier",
     until="period",
     past="past_stat",
     current="stat_rows",
@@ -700,6 +702,42 @@ def landing_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---- checks --------------------------------------------------------------------------------------
 
+
+
+@query(
+    """
+    SELECT source, newest, CAST(date_diff('second', newest, TIMESTAMP '2024-12-10') AS DOUBLE) AS age_seconds, status
+    FROM (SELECT CASE WHEN max(p_size) > 25 THEN TIMESTAMP '2024-06-01' ELSE TIMESTAMP '2024-01-01' END AS entity,
+                 CASE WHEN max(p_size) > 10 THEN TIMESTAMP '2024-06-01' ELSE TIMESTAMP '2024-01-01' END AS listed
+          FROM part),
+         LATERAL (VALUES ('pokemons', entity, 'error'), ('pokemon_catalogue', listed, 'warn'),
+                         ('version_groups', TIMESTAMP '2024-01-01', 'pass'), ('moves', TIMESTAMP '2024-01-01', 'pass'),
+                         ('pokemon_species', TIMESTAMP '2024-06-01', 'error'),
+                         ('generations', TIMESTAMP '2024-01-01', 'pass')) v(source, newest, status)
+    """
+)
+def freshness_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """The six raw tables against their own limits."""
+    raw_frames = landing.RawTables(spark, folder)
+    frames = {name: raw_frames[name] for name in contracts.FRESHNESS_DAYS}
+    return contracts.freshness_report(frames, datetime(2024, 12, 10))
+
+
+@query(
+    """
+    SELECT 'mart_version_group_versions' AS model, 'relationships' AS "check", 'version_group_id' AS columns,
+           2 * count(*) AS failures
+    FROM nation WHERE n_regionkey = 1
+    """
+)
+def contract_foreign_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared foreign key, with the groups of one region taken out from under it."""
+    live = landing.live_marts(spark, folder)
+    groups = live["mart_version_groups"].where("poke_gen <> 2")
+    models = {"mart_version_group_versions": live["mart_version_group_versions"], "mart_version_groups": groups}
+    return contracts.report(models).where("check = 'relationships'")
+
+
 _KINDS = ["ECONOMY", "SMALL", "STANDARD"]
 _CHECKED = ("stg_pokemons", "int_stats", "int_types", "mart_stats", "mart_types", "mart_strongest_pokemons")
 

@@ -37,7 +37,7 @@ from layerwright.operators.unnest import (
     unnest_with_position,
     with_matching,
 )
-from layerwright.session import fresh_path
+from layerwright.session import cut_lineage, fresh_path
 from layerwright.sources import archive, tables
 from layerwright.sources.seeds import read_seed
 from workloads.models import _database
@@ -818,15 +818,28 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     HAVING sum(CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END) = 0
     UNION ALL
     SELECT 'negative', c_custkey FROM customer WHERE c_acctbal < 0
+    UNION ALL
+    SELECT 'wrong_total', o_custkey FROM ({pivot})
+    WHERE o_custkey % 97 = 0 AND open_max + filled_max + pending_max IS NOT NULL
+    UNION ALL
+    SELECT 'rank_gap', count(*) FROM customer JOIN nation ON n_nationkey = c_nationkey
+    UNION ALL
+    (SELECT 'top_tier', c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey
+     ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 1)
     """.replace("{pivot}", _PIVOT)
 )
 def quality_singular(spark: SparkSession, folder: str) -> DataFrame:
-    """Hand-written rules; the rows are the failures. Wrong totals and rank gaps give none here."""
+    """Hand-written rules; the rows are the failures.
+
+    The ranks and totals are checked on stored tables into which faults were put: some totals are one
+    too high, the second rank is missing, and the first row has the wrong tier.
+    """
 
     def failures(rule: str, df: DataFrame, key: str) -> DataFrame:
         return df.select(F.lit(rule).alias("rule"), F.col(key).cast("bigint").alias("key"))
 
-    wide = _pivoted(spark, folder).withColumn("total", total(_STATUS.values()))
+    off = F.when(F.col("o_custkey") % 97 == 0, 1).otherwise(0)
+    wide = cut_lineage(_pivoted(spark, folder).withColumn("total", total(_STATUS.values()) + off))
     missing = q.row_rule(
         "missing_part",
         _STATUS.values(),
@@ -835,7 +848,8 @@ def quality_singular(spark: SparkSession, folder: str) -> DataFrame:
     wrong = q.row_rule("wrong_total", ["total"], F.col("total") != total(_STATUS.values()))
     lines = table(spark, folder, "lineitem")
     customer = table(spark, folder, "customer")
-    ranked = _tiered(spark, folder)
+    first_as_a = F.when(F.col("rank") == 1, "A").otherwise(F.col("tier"))
+    ranked = cut_lineage(_tiered(spark, folder).where("rank <> 2").withColumn("tier", first_as_a))
     top = q.row_rule("top_tier", ["tier"], (F.col("rank") == 1) & (F.col("tier") != "S"))
     return (
         failures("missing_part", q.failing_rows(wide, missing), "o_custkey")
