@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from layerwright.llm import common
 
 #: Pieces whose ids a worker remembers, and the longest piece it remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 REMEMBERED_BYTES = 64
 #: Pairs of tokens whose compatibility a worker remembers.
-PAIRS = 1_000_000
+PAIRS = 300_000
 
 
 def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
@@ -139,17 +139,14 @@ class _Written(dict):
         return ids
 
 
-#: One tokenizer for all tasks of a worker.
-_LOADED: dict[tuple[bytes, str], tuple[Tokenizer, _Written]] = {}
-
-
 def _loaded(content: bytes, pattern: str) -> tuple[Tokenizer, _Written]:
-    key = hashlib.sha256(content).digest(), pattern
-    if key not in _LOADED:
-        _LOADED.clear()
+    """One tokenizer for all tasks of a worker."""
+
+    def make() -> tuple[Tokenizer, _Written]:
         tokenizer = Tokenizer(read_ranks(content.splitlines()), pattern)
-        _LOADED[key] = tokenizer, _Written(tokenizer)
-    return _LOADED[key]
+        return tokenizer, _Written(tokenizer)
+
+    return common.loaded(hashlib.sha256(content).hexdigest() + pattern, make)
 
 
 def _broadcast_file(docs: DataFrame, path: str):

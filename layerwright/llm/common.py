@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,18 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, folders)])
 
 
+#: What this worker has loaded last. One thing at a time, so that stages do not add up in its memory.
+_LOADED: dict[str, Any] = {}
+
+
+def loaded(key: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, kept for the later tasks of the same worker."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = make()
+    return _LOADED[key]
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -39,7 +39,7 @@ GRAMS = 60_000
 LONGEST = 4
 EVIDENCE = 40
 #: Words whose scores a worker remembers beyond the learned ones.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _SMOOTHING = 0.5
@@ -179,10 +179,6 @@ class Predictor(dict):
         return self.model.languages[best], float(1 / odds.sum())
 
 
-#: One predictor for all tasks of a worker.
-_LOADED: dict[str, Predictor] = {}
-
-
 def predict(
     docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -191,10 +187,7 @@ def predict(
     number = uuid.uuid4().hex
 
     def start() -> Callable:
-        if number not in _LOADED:
-            _LOADED.clear()
-            _LOADED[number] = Predictor(Model(*shared.value))
-        return _LOADED[number].predict
+        return common.loaded(number, lambda: Predictor(Model(*shared.value))).predict
 
     held_out = F.coalesce(remainder(F.col(doc_id)) == 2, F.lit(False)).alias("held_out")
     return common.map_rows(
@@ -218,10 +211,8 @@ def known_rows(
 
     @F.pandas_udf("boolean")
     def known(texts):
-        if number not in _LOADED:
-            _LOADED.clear()
-            _LOADED[number] = Predictor(Model(*shared.value))
-        found = [_LOADED[number].predict(content) for content in texts]
+        predict_one = common.loaded(number, lambda: Predictor(Model(*shared.value))).predict
+        found = [predict_one(content) for content in texts]
         return type(texts)([language != UNKNOWN and score >= least for language, score in found])
 
     return docs.where(known(F.col(text).cast("string")))

@@ -1,21 +1,24 @@
-"""Repeated byte strings, by a distributed difference-cover suffix sort.
+"""Repeated byte strings, by sorting a difference cover of their suffixes over the cluster.
 
 Every byte covered by a string of ``LENGTH`` bytes that also starts anywhere else is removed.
 
-1. Candidates. Of each text a content-defined sample of places is taken so that every string of
-   ``LENGTH`` bytes holds one and equal strings hold the same one. Strings around a place whose bytes
-   occur once cannot repeat. What is left is cut into segments; equal texts take part once.
-2. Sampled triples. Bytes are read in words of eight. Of three words in a row, those of number 1 and 2
-   (modulo 3) begin a sampled suffix: a difference cover, so that of any two places one of the steps 0,
-   8, 16 leads both to sampled ones. The triples of words (24 bytes) are sorted over the cluster and
-   named by rank.
-3. Names. Three names 24 bytes apart are sorted and named again (72 bytes), and once more with a
-   shorter third part (168 bytes): the recursion ends where names reach as deep as is asked for.
-4. Remaining suffixes. A string at any place is its first words up to a sampled place, the name there,
-   and the words behind it. All are sorted together, each under the two steps that lead to a sampled
-   place, and neighbours in the sort are compared.
-
-Sorting by range spreads equal keys over tasks; what reaches the driver is two rows per task.
+1. Cover. Of every ``LENGTH - GRAM + 1`` places in a row the one whose ``GRAM`` bytes hash lowest is
+   sampled. Each string of ``LENGTH`` bytes thus holds a sampled place, and equal strings hold it at the
+   same step: the property of a difference cover, with places chosen by content instead of by residue.
+   Sampled places whose bytes start nowhere else are dropped, and the strings that hold them with them.
+2. Names. The bytes at each remaining sampled place are named; places are dealt out by range of names and
+   sorted by name, so that places with equal bytes stand together.
+3. Remaining suffixes. A string is the bytes up to its sampled place, the name there, and the bytes behind
+   what is named. All strings of a run of equal names are sorted by those, and neighbours compared.
+4. Crowds. Places of a name that more than ``CROWD`` places bear are not brought together. Their strings
+   are cut into segments and go through a suffix sort that spreads equal keys over tasks:
+   bytes are read in words of eight; of three words in a row, those of number 1 and 2 (modulo 3) begin a
+   sampled suffix; triples of words (24 bytes) are sorted and named by rank, three names 24 bytes apart
+   are sorted and named again (72 bytes), and once more with a shorter third part (168 bytes), where the
+   recursion ends; each string then is its first words up to a sampled place, the name there and the
+   words behind it, all are sorted together, and equal ones found.
+
+Names of step 2 are hashes of 128 bits, not ranks: only whether they are equal matters.
 
 Defined cases: a null text is an empty one; a text shorter than ``LENGTH`` bytes keeps all of them;
 rows with equal texts are copies, whatever their ids; ids of any type are handed on; an empty table
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,17 @@ from layerwright.llm import common
 from layerwright.session import cut_lineage
 
 LENGTH = 200
-#: Bytes hashed at a sampled place of step 1; of ``LENGTH - GRAM + 1`` places in a row one is sampled.
-GRAM = 150
+#: Bytes named at a sampled place.
+GRAM = 128
+#: Bytes of a string before and behind what is named.
+REST = LENGTH - GRAM
+#: Places with one name that are brought together.
+CROWD = 200_000
+#: Repeated names up to which they are sent to every task: 16 bytes each, 64 MB in all.
+BROADCAST = 4_000_000
+#: Places compared, and places handed on, at a time.
+BATCH = 6_000
+ROWS = 20_000
 #: Strings that start in one segment.
 STARTS = 4096
 
@@ -47,27 +60,41 @@ TRIPLE = 3 * WORD
 NAMED = 168
 STEPS = (0, 1, 2)
 
-_FACTOR = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+#: Odd factors of two independent hashes.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+#: Powers by base; kept up to those of a long text.
+_KEPT: dict[int, np.ndarray] = {}
+_KEEP = 1 << 18
 
 
 def _powers(base: int, count: int) -> np.ndarray:
-    factors = np.full(count, base, np.uint64)
-    if count:
+    found = _KEPT.get(base)
+    if found is None or len(found) < count:
+        factors = np.full(max(count, 1 << 14), base, np.uint64)
         factors[0] = 1
-    return np.cumprod(factors)
+        found = np.cumprod(factors)
+        if len(found) <= _KEEP:
+            _KEPT[base] = found
+    return found[:count]
+
+
+def _stirred(hashes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        hashes = hashes ^ (hashes >> np.uint64(31))
+        hashes = hashes * np.uint64(0xBF58476D1CE4E5B9)
+    return hashes ^ (hashes >> np.uint64(29))
 
 
-def gram_hashes(raw: bytes, size: int = GRAM) -> np.ndarray:
+def gram_hashes(raw: bytes, size: int = GRAM, factor: int = _FACTORS[0]) -> np.ndarray:
     """A hash of the ``size`` bytes at every place, alike for equal bytes."""
     values = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)
     with np.errstate(over="ignore"):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(values * _powers(_FACTOR, len(values)))])
-        back = _powers(pow(_FACTOR, -1, 1 << 64), len(values))
-        hashes = (sums[size:] - sums[:-size]) * back[: len(values) - size + 1]
-        hashes ^= hashes >> np.uint64(31)
-        hashes *= np.uint64(0xBF58476D1CE4E5B9)
-    return hashes ^ (hashes >> np.uint64(29))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(factor, len(values)))])
+        back = _powers(pow(factor, -1, 1 << 64), len(values) - size + 1)
+        hashes = (sums[size:] - sums[:-size]) * back
+    return _stirred(hashes)
 
 
 def _lowest(values: np.ndarray, width: int) -> np.ndarray:
@@ -81,17 +108,27 @@ def _lowest(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
-def anchors(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Sampled places and their hashes: those that are the least of some window of places."""
+class Samples(NamedTuple):
+    """Sampled places of a text, the hash of their bytes, and the first and last string they serve."""
+
+    at: np.ndarray
+    hashes: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+
+def samples(raw: bytes) -> Samples:
     if len(raw) < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        empty = np.empty(0, np.int64)
+        return Samples(empty, empty, empty, empty)
     hashes = gram_hashes(raw)
-    width = LENGTH - GRAM + 1
-    edge = np.zeros(width - 1, np.uint64)
-    lowest = np.concatenate([edge, _lowest(hashes, width), edge])
-    highest = ~_lowest(~lowest, width)
-    places = np.flatnonzero(hashes == highest)
-    return places, hashes[places].view(np.int64)
+    # the place in the lower half breaks ties, to the left
+    marked = (hashes & np.uint64(0xFFFFFFFF << 32)) | np.arange(len(hashes), dtype=np.uint64)
+    chosen = (_lowest(marked, REST + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+    last = np.concatenate([first[1:], [len(chosen)]]) - 1
+    at = chosen[first]
+    return Samples(at, hashes[at].view(np.int64), first, last)
 
 
 def _words(raw: bytes) -> np.ndarray:
@@ -112,68 +149,268 @@ def _emit(columns: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names)
 
 
-def _anchor_rows(docs: DataFrame) -> DataFrame:
-    """(place of the text, at, hash) of every sampled place of step 1."""
-    common.importable(docs.sparkSession)
+def _sample_rows(texts: DataFrame, located: bool) -> DataFrame:
+    """(hash, place) of every sampled place, with ref and at if ``located``.
+
+    ``place`` is alike only for one place of equal texts.
+    """
+    common.importable(texts.sparkSession)
+    names = ["hash", "place", "ref", "at"][: 4 if located else 2]
+    size = ROWS
+
+    def flushed(rows: list[tuple]) -> pa.RecordBatch:
+        refs, founds = zip(*rows)
+        counts = [len(found.at) for found in founds]
+        at = np.concatenate([found.at for found in founds])
+        starts = np.repeat(np.frombuffer(b"".join([ref[:8] for ref in refs]), np.uint64), counts)
+        with np.errstate(over="ignore"):
+            place = _stirred(starts + at.astype(np.uint64) * np.uint64(_FACTORS[1])).view(np.int64)
+        columns = [pa.array(np.concatenate([found.hashes for found in founds])), pa.array(place)]
+        if located:
+            owners = pa.array(np.repeat(np.arange(len(refs)), counts))
+            columns += [pa.array(refs, pa.binary()).take(owners), pa.array(at)]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
-            for digest, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                places, hashes = anchors(content.as_buffer().to_pybytes())
-                if len(places):
-                    yield _emit(
-                        [np.full(len(places), digest), places, hashes], ["digest", "at", "hash"]
-                    )
-
-    return docs.select("digest", F.col("content").cast("binary")).mapInArrow(
-        run, "digest long, at long, hash long"
+            for ref, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = samples(content.as_buffer().to_pybytes())
+                if len(found.at):
+                    rows.append((ref, found))
+                    held += len(found.at)
+                if held >= size:
+                    yield flushed(rows)
+                    rows, held = [], 0
+        if rows:
+            yield flushed(rows)
+
+    schema = "hash long, place long" + (", ref binary, at long" if located else "")
+    return texts.select("ref", F.col("content").cast("binary")).mapInArrow(run, schema)
+
+
+def _repeated(texts: DataFrame) -> DataFrame:
+    """(hash, crowd) of the bytes at sampled places that two places or more have."""
+    return cut_lineage(
+        _sample_rows(texts, located=False)
+        .groupBy("hash")
+        .agg(F.min("place").alias("least"), F.max("place").alias("most"), F.count(F.lit(1)).alias("n"))
+        .where("least <> most")
+        .select("hash", (F.col("n") > CROWD).alias("crowd"))
     )
 
 
-def _segments(texts: DataFrame, anchored: DataFrame) -> DataFrame:
-    """Segments (segment, row_key, first, content) that hold every string that may repeat."""
-    place = F.struct("digest", "at")
-    repeated = (
-        anchored.groupBy("hash")
-        .agg(F.min(place).alias("least"), F.max(place).alias("most"))
-        .where("least <> most")
-        .select("hash")
-    )
-    marks = (
-        anchored.join(cut_lineage(repeated), "hash", "left_semi")
-        .groupBy("digest")
-        .agg(F.collect_set("at").alias("marks"))
-    )
-    suspects = texts.groupBy("digest").agg(F.min("row_key").alias("row_key")).join(marks, "digest")
-    width = LENGTH - GRAM + 1
+CONTEXT = (
+    "ref binary, name_1 long, name_2 long, at long, first long, last long, crowd boolean, "
+    "before binary, behind binary, segment binary"
+)
 
-    def start() -> Callable:
-        def one(content: bytes, marks: list[int]) -> tuple[list[dict]]:
-            last = len(content) - LENGTH
-            spans: list[list[int]] = []
-            for mark in sorted(marks):
-                low, high = max(0, mark - width + 1), min(mark, last)
-                if spans and low <= spans[-1][1] + 1:
-                    spans[-1][1] = max(high, spans[-1][1])
-                elif low <= high:
-                    spans.append([low, high])
-            return (
-                [
-                    {"first": at, "content": content[at : min(at + STARTS - 1, high) + LENGTH]}
-                    for low, high in spans
-                    for at in range(low, high + 1, STARTS)
-                ],
-            )
 
-        return one
+def _contexts(texts: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The sampled places with repeated bytes, and the bytes around them that their strings reach.
 
-    joined = texts.join(suspects.select("row_key", "marks"), "row_key").select(
-        "row_key", F.col("content").cast("binary"), "marks"
+    The repeated hashes are sent to every task while they are few; else each text gets its own by joins.
+    """
+    common.importable(texts.sparkSession)
+    names = [part.split()[0] for part in CONTEXT.split(", ")]
+    given = texts.select("ref", F.col("content").cast("binary"))
+    shared = None
+    if repeated.count() <= BROADCAST:
+        table = repeated.orderBy("hash").toArrow()
+        shared = texts.sparkSession.sparkContext.broadcast(
+            (table.column("hash").to_numpy(), table.column("crowd").to_numpy(zero_copy_only=False))
+        )
+    else:
+        mark = F.struct("at", "crowd")
+        marks = cut_lineage(
+            _sample_rows(texts, located=True)
+            .join(repeated, "hash")
+            .groupBy("ref")
+            .agg(F.collect_set(mark).alias("marks"))
+        )
+        given = given.join(marks, "ref").select(
+            "ref", "content", F.col("marks.at").alias("places"), F.col("marks.crowd").alias("crowds")
+        )
+
+    size = ROWS
+
+    def marked(found: Samples, row: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the samples have repeated bytes, and which of those are crowded."""
+        if shared is None:
+            places = np.array(row[0].as_py())
+            order = np.argsort(places)
+            return np.searchsorted(found.at, places[order]), np.array(row[1].as_py())[order]
+        hashes, crowds = shared.value
+        if not len(found.at) or not len(hashes):
+            return np.empty(0, np.int64), np.empty(0, bool)
+        where = np.minimum(np.searchsorted(hashes, found.hashes), len(hashes) - 1)
+        kept = np.flatnonzero(hashes[where] == found.hashes)
+        return kept, crowds[where[kept]]
+
+    def flushed(rows: list[tuple]) -> pa.RecordBatch:
+        refs, arrays, slices = zip(*rows)
+        owners = pa.array(np.repeat(np.arange(len(refs)), [len(part[0]) for part in arrays]))
+        columns = [pa.array(np.concatenate(column)) for column in zip(*arrays)]
+        cut = [pa.array([v for part in column for v in part], pa.binary()) for column in zip(*slices)]
+        return pa.RecordBatch.from_arrays([pa.array(refs, pa.binary()).take(owners), *columns, *cut], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in batches:
+            for ref, content, *row in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
+                raw = content.as_buffer().to_pybytes()
+                found = samples(raw)
+                kept, crowd = marked(found, row)
+                if not len(kept):
+                    continue
+                second = gram_hashes(raw, GRAM, _FACTORS[1]).view(np.int64)
+                at, first, last = found.at[kept], found.first[kept], found.last[kept]
+                bounds = list(zip(at.tolist(), first.tolist(), last.tolist(), crowd.tolist()))
+                slices = (
+                    [None if c else raw[f:m] for m, f, _, c in bounds],
+                    [None if c else raw[m + GRAM : z + LENGTH] for m, _, z, c in bounds],
+                    [raw[f : z + LENGTH] if c else None for _, f, z, c in bounds],
+                )
+                rows.append((ref, (found.hashes[kept], second[at], at, first, last, crowd), slices))
+                held += len(kept)
+                if held >= size:
+                    yield flushed(rows)
+                    rows, held = [], 0
+        if rows:
+            yield flushed(rows)
+
+    return given.mapInArrow(run, CONTEXT)
+
+
+def _padded(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join([row.ljust(REST, b"\0") for row in rows]), np.uint8).reshape(-1, REST)
+
+
+def equal_strings(
+    groups: np.ndarray,
+    at: np.ndarray,
+    first: np.ndarray,
+    last: np.ndarray,
+    before: list[bytes],
+    behind: list[bytes],
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row and start of each string that a string of another row in its group equals, in order.
+
+    A string that starts ``step`` bytes before its sampled place is told by the ``step`` bytes before
+    it and the ``REST - step`` bytes behind what is named. Strings are sorted step by step, so memory
+    is in proportion to the rows.
+    """
+    left_bytes, right_bytes = _padded([row[::-1] for row in before]), _padded(behind)
+    found_rows, found_starts = [], []
+    with np.errstate(over="ignore"):
+        powers = [_powers(factor, REST) for factor in _FACTORS]
+        named = _stirred(groups.astype(np.uint64))
+        left = [np.zeros(len(at), np.uint64) for _ in powers]
+        right = [((right_bytes + np.uint64(1)) * power).sum(axis=1, dtype=np.uint64) for power in powers]
+        for step in range(REST + 1):
+            rows = np.flatnonzero((at - last <= step) & (step <= at - first))
+            if len(rows) > 1:
+                keys = [
+                    _stirred(_stirred(x[rows]) * np.uint64(salt) + _stirred(y[rows] + named[rows]))
+                    for x, y, salt in zip(left, right, _FACTORS[::-1])
+                ]
+                order = np.lexsort(keys)
+                same = np.ones(len(rows) - 1, bool)
+                for key in keys:
+                    same &= key[order[1:]] == key[order[:-1]]
+                equal = np.zeros(len(rows), bool)
+                equal[1:] |= same
+                equal[:-1] |= same
+                chosen = rows[order[equal]]
+                found_rows.append(chosen)
+                found_starts.append(at[chosen] - step)
+            if step < REST:
+                back = REST - 1 - step
+                for x, y, power in zip(left, right, powers):
+                    x += (left_bytes[:, step] + np.uint64(1)) * power[step]
+                    y -= (right_bytes[:, back] + np.uint64(1)) * power[back]
+    if not found_rows:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    rows, starts = np.concatenate(found_rows), np.concatenate(found_starts)
+    order = np.lexsort([starts, rows])
+    return rows[order], starts[order]
+
+
+def _runs(rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and last start of each run of starts."""
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (starts[1:] != starts[:-1] + 1)
+    begins = np.flatnonzero(new)
+    ends = np.concatenate([begins[1:], [len(rows)]]) - 1
+    return rows[begins], starts[begins], starts[ends]
+
+
+def _compared(contexts: DataFrame) -> DataFrame:
+    """(ref, first, last) of the runs of strings that start elsewhere too, for names that are no crowd."""
+    count = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = BATCH
+    ordered = contexts.drop("crowd", "segment").repartitionByRange(count, "name_1", "name_2").sortWithinPartitions(
+        "name_1", "name_2", "ref", "at"
     )
-    found = common.map_rows(joined, "parts array<struct<first: long, content: binary>>", start)
+
+    def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        one, two, at, first, last = (
+            table.column(name).to_numpy() for name in ("name_1", "name_2", "at", "first", "last")
+        )
+        refs = table.column("ref").combine_chunks()
+        raw = np.frombuffer(b"".join(refs.to_pylist()), "V16")
+        new = np.ones(len(at), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        kept = np.ones(len(at), bool)  # one of the rows of equal texts
+        kept[1:] = new[1:] | (raw[1:] != raw[:-1]) | (at[1:] != at[:-1])
+        groups, sizes = np.cumsum(new), None
+        sizes = np.bincount(groups[kept], minlength=groups[-1] + 1)
+        kept &= sizes[groups] > 1
+        index = np.flatnonzero(kept)
+        if not len(index):
+            return
+        part = table.take(pa.array(index))
+        rows, starts = equal_strings(
+            groups[index],
+            at[index],
+            first[index],
+            last[index],
+            part.column("before").to_pylist(),
+            part.column("behind").to_pylist(),
+        )
+        if len(rows):
+            owner, low, high = _runs(rows, starts)
+            yield pa.RecordBatch.from_arrays(
+                [refs.take(pa.array(index[owner])), pa.array(low), pa.array(high)], ["ref", "first", "last"]
+            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                held.append(batch.slice(at, size))
+                rows += held[-1].num_rows
+                if rows < size:
+                    continue
+                table = pa.Table.from_batches(held).combine_chunks()
+                one, two = table.column("name_1").to_numpy(), table.column("name_2").to_numpy()
+                whole = np.flatnonzero((one != one[-1]) | (two != two[-1]))  # before the last name
+                if len(whole):
+                    end = int(whole[-1]) + 1
+                    yield from compare(table.slice(0, end).combine_chunks())
+                    table = table.slice(end)
+                held, rows = table.to_batches(), table.num_rows
+        if rows:
+            yield from compare(pa.Table.from_batches(held).combine_chunks())
+
+    return ordered.mapInArrow(run, "ref binary, first long, last long")
+
+
+def _segments(contexts: DataFrame) -> DataFrame:
+    """Segments (segment, ref, first, content) of the strings that crowds serve; a string is in one."""
     return cut_lineage(
-        found.select("row_key", F.explode("parts").alias("part")).select(
-            F.monotonically_increasing_id().alias("segment"), "row_key", "part.first", "part.content"
+        contexts.where("crowd").select(
+            F.monotonically_increasing_id().alias("segment"), "ref", "first", F.col("segment").alias("content")
         )
     )
 
@@ -370,48 +607,84 @@ def _merged(starts: list[int]) -> list[dict]:
     return spans
 
 
-def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, content, and the spans of bytes to remove (start, end)."""
+def repeated_runs(texts: DataFrame) -> DataFrame:
+    """(ref, first, last): runs of starts of strings that start elsewhere too, by text."""
+    repeated = _repeated(texts)
+    contexts = _contexts(texts, repeated)
+    found = _compared(contexts.where("NOT crowd"))
+    if repeated.where("crowd").isEmpty():
+        return found
+    segments = _segments(contexts)
+    return found.unionByName(
+        repeated_starts(segments)
+        .join(segments.select("segment", "ref", F.col("first").alias("low")), "segment")
+        .select("ref", (F.col("low") + F.col("at")).alias("first"), (F.col("low") + F.col("at")).alias("last"))
+    )
+
+
+def _merged(runs: list[dict]) -> list[dict]:
+    spans: list[dict] = []
+    for run in sorted(runs, key=lambda run: run["first"]):
+        end = run["last"] + LENGTH
+        if spans and run["first"] <= spans[-1]["end"]:
+            spans[-1]["end"] = max(end, spans[-1]["end"])
+        else:
+            spans.append({"start": run["first"], "end": end})
+    return spans
+
+
+def _marked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Per row: doc_id, content, the runs of repeated starts, and whether the text has copies."""
     content = common.text_or_empty(text)
     given = docs.select(
         F.col(doc_id).alias("doc_id"),
         common.row_key(F.col(doc_id), content).alias("row_key"),
         content.alias("content"),
     )
-    texts = given.withColumn("digest", F.xxhash64(F.md5("content"), F.length("content")))
-    long = texts.where(F.octet_length("content") >= LENGTH)
-    keys = cut_lineage(texts.select("row_key", "digest"))
-    copied = cut_lineage(
-        keys.join(
-            cut_lineage(keys.groupBy("digest").count().where("count > 1").select("digest")), "digest", "left_semi"
-        )
-        .select("row_key")
-        .distinct()
+    texts = given.select(F.unhex(F.md5("content")).alias("ref"), "content").where(
+        F.octet_length("content") >= LENGTH
     )
-    segments = _segments(long, cut_lineage(_anchor_rows(long)))
-    found = (
-        repeated_starts(segments)
-        .join(segments.select("segment", "row_key", "first"), "segment")
-        .groupBy("row_key")
-        .agg(F.collect_set(F.col("first") + F.col("at")).alias("starts"))
+    keys = cut_lineage(given.select("row_key", F.unhex(F.md5("content")).alias("ref")))
+    copied = keys.groupBy("ref").count().where("count > 1").select("ref", F.lit(True).alias("copied"))
+    runs = repeated_runs(texts).groupBy("ref").agg(
+        F.collect_list(F.struct("first", "last")).alias("runs")  # at most as many as the text has starts
     )
-    marked = given.join(cut_lineage(found), "row_key", "left").join(
-        copied.withColumn("copied", F.lit(True)), "row_key", "left"
+    by_text = cut_lineage(
+        copied.join(runs, "ref", "full").select(
+            "ref", "copied", F.when(F.col("copied").isNull(), F.col("runs")).alias("runs")
+        )
     )
+    by_row = cut_lineage(keys.join(by_text, "ref").dropDuplicates(["row_key"]).drop("ref"))
+    return given.join(by_row, "row_key", "left").select("doc_id", "content", "runs", "copied")
+
+
+def _removed(raw: bytes, runs: list[dict] | None, copied: bool | None) -> list[dict]:
+    if copied and len(raw) >= LENGTH:
+        return [{"start": 0, "end": len(raw)}]
+    return _merged(runs or [])
+
+
+def _kept(raw: bytes, removed: list[dict]) -> Iterator[bytes]:
+    at = 0
+    for span in removed:
+        yield raw[at : span["start"]]
+        at = span["end"]
+    yield raw[at:]
+
+
+def spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: id, the spans of bytes to remove (start, end), and the bytes that stay."""
 
     def start() -> Callable:
-        def one(content: str, starts: list[int] | None, copied: bool | None) -> tuple:
+        def one(content: str, runs: list[dict] | None, copied: bool | None) -> tuple:
             raw = content.encode()
-            if copied and len(raw) >= LENGTH:
-                return raw, [{"start": 0, "end": len(raw)}]
-            return raw, _merged(starts or [])
+            removed = _removed(raw, runs, copied)
+            return removed, b"".join(_kept(raw, removed))
 
         return one
 
     return common.map_rows(
-        marked.select("doc_id", "content", "starts", "copied"),
-        "raw binary, spans array<struct<start: long, end: long>>",
-        start,
+        _marked(docs, doc_id, text), "spans array<struct<start: long, end: long>>, kept binary", start
     )
 
 
@@ -419,19 +692,19 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """Per document: doc_id, n_bytes, n_removed, n_spans and the digest of the bytes that are kept."""
 
     def start() -> Callable:
-        def one(raw: bytes, removed: list[dict]) -> tuple:
-            kept, at = hashlib.sha256(), 0
-            for span in removed:
-                kept.update(raw[at : span["start"]])
-                at = span["end"]
-            kept.update(raw[at:])
+        def one(content: str, runs: list[dict] | None, copied: bool | None) -> tuple:
+            raw = content.encode()
+            removed = _removed(raw, runs, copied)
+            digest = hashlib.sha256()
+            for part in _kept(raw, removed):
+                digest.update(part)
             gone = sum(span["end"] - span["start"] for span in removed)
-            return len(raw), gone, len(removed), kept.hexdigest()
+            return len(raw), gone, len(removed), digest.hexdigest()
 
         return one
 
     return common.map_rows(
-        spans(docs, doc_id, text),
+        _marked(docs, doc_id, text),
         "n_bytes long, n_removed long, n_spans long, kept_sha256 string",
         start,
     )

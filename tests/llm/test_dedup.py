@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 import xxhash
 
 from layerwright.llm import components, exact_dedup, simhash, suffixes
@@ -195,7 +196,7 @@ def brute_removed(rows):
     return sorted(out, key=str)
 
 
-def test_repeated_bytes_odd_rows(make_docs):
+def repeated_rows():
     rng = random.Random(8)
     words = ["alpha", "beta", "gamma", "délta", "中", "eta", "theta"]
 
@@ -222,10 +223,48 @@ def test_repeated_bytes_odd_rows(make_docs):
         (13, "twice " + passage, "en"),
         (14, " ".join(f"n{i}" for i in range(4000)), "en"),
     ]
+    rows += [(20 + i, prose(i) + passage[: 210 + 7 * i] + prose(3), "en") for i in range(30)]
+    return rows
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [{}, {"BROADCAST": 0}, {"CROWD": 4}, {"CROWD": 4, "BROADCAST": 0}, {"BATCH": 5, "ROWS": 9}],
+    ids=["plain", "joined", "crowds", "crowds joined", "small batches"],
+)
+def test_repeated_bytes_odd_rows(make_docs, monkeypatch, settings):
+    """Each way through the operator, and batches that end within a run of equal names."""
+    for name, value in settings.items():
+        monkeypatch.setattr(suffixes, name, value)
+    rows = repeated_rows()
     found = rows_of(suffixes.report(make_docs(rows)))
     assert sorted(found, key=str) == brute_removed(rows)
 
 
+def test_the_cover_serves_equal_strings_alike():
+    """Every string has a sampled place within it, at the same step wherever it stands."""
+    rng = random.Random(9)
+    shared = bytes(rng.randrange(97, 123) for _ in range(500))
+    seen = {}
+    for text in (shared, b"x" * 77 + shared + b"tail" * 30, bytes(rng.randrange(97, 123) for _ in range(333)) + shared, b"ab" * 300):
+        found = suffixes.samples(text)
+        starts = [i for low, high in zip(found.first, found.last) for i in range(low, high + 1)]
+        assert starts == list(range(len(text) - 199))
+        for at, low, high in zip(found.at, found.first, found.last):
+            for i in range(low, high + 1):
+                assert i <= at <= i + 200 - suffixes.GRAM
+                assert seen.setdefault(text[i : i + 200], at - i) == at - i
+
+
+def test_words_keep_the_order_of_bytes():
+    rng = random.Random(1)
+    raw = bytes(rng.randrange(256) for _ in range(400))
+    words = suffixes._words(raw)
+    words = words[:392]
+    order = sorted(range(392), key=lambda i: raw[i : i + 8])
+    assert [int(w) for w in words[order]] == sorted(int(w) for w in words)
+
+
 def test_repeated_bytes_empty(make_docs):
     assert suffixes.report(make_docs([])).collect() == []
     assert suffixes.report(make_docs([(1, "short", "en")])).collect()[0]["n_removed"] == 0
