@@ -131,6 +131,20 @@ def samples(raw: bytes) -> Samples:
     return Samples(at, hashes[at].view(np.int64), first, last)
 
 
+def likenesses(raw: bytes, found: Samples) -> np.ndarray:
+    """For each sample the first one of the text with the same bytes all around, as far as its strings reach.
+
+    A line that a text repeats thousands of times thus counts once.
+    """
+    own = np.arange(len(found.at))
+    if len(np.unique(found.hashes)) == len(own):
+        return own
+    seen: dict[tuple, int] = {}
+    for i, (at, first, last) in enumerate(zip(found.at.tolist(), found.first.tolist(), found.last.tolist())):
+        own[i] = seen.setdefault((at - first, raw[first : last + LENGTH]), i)
+    return own
+
+
 def _words(raw: bytes) -> np.ndarray:
     """The eight bytes at every place as a signed number in the order of the bytes."""
     padded = np.frombuffer(raw + bytes(WORD - 1), np.uint8).astype(np.uint64)
@@ -149,6 +163,17 @@ def _emit(columns: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names)
 
 
+def _twice_at_most(raw: bytes, found: Samples) -> Samples:
+    """The samples without the third and later ones that are alike; two show that the bytes repeat."""
+    like = likenesses(raw, found)
+    again = np.flatnonzero(like != np.arange(len(like)))
+    if not len(again):
+        return found
+    seconds = again[np.unique(like[again], return_index=True)[1]]
+    kept = np.sort(np.concatenate([np.flatnonzero(like == np.arange(len(like))), seconds]))
+    return Samples(*[column[kept] for column in found])
+
+
 def _sample_rows(texts: DataFrame, located: bool) -> DataFrame:
     """(hash, place) of every sampled place, with ref and at if ``located``.
 
@@ -175,8 +200,10 @@ def _sample_rows(texts: DataFrame, located: bool) -> DataFrame:
         rows, held = [], 0
         for batch in batches:
             for ref, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = samples(content.as_buffer().to_pybytes())
+                raw = content.as_buffer().to_pybytes()
+                found = samples(raw)
                 if len(found.at):
+                    found = _twice_at_most(raw, found)
                     rows.append((ref, found))
                     held += len(found.at)
                 if held >= size:
@@ -209,6 +236,9 @@ CONTEXT = (
 def _contexts(texts: DataFrame, repeated: DataFrame) -> DataFrame:
     """The sampled places with repeated bytes, and the bytes around them that their strings reach.
 
+    Of places of a text that are alike all around one takes part; what they show to be repeated comes as
+    rows without such bytes.
+
     The repeated hashes are sent to every task while they are few; else each text gets its own by joins.
     """
     common.importable(texts.sparkSession)
@@ -254,15 +284,36 @@ def _contexts(texts: DataFrame, repeated: DataFrame) -> DataFrame:
         cut = [pa.array([v for part in column for v in part], pa.binary()) for column in zip(*slices)]
         return pa.RecordBatch.from_arrays([pa.array(refs, pa.binary()).take(owners), *columns, *cut], names)
 
+    def alike(ref: bytes, found: Samples, like: np.ndarray, number: int) -> tuple | None:
+        """Rows for the runs of strings that the text itself repeats; their names only spread them."""
+        again = like != np.arange(len(like))
+        if not again.any():
+            return None
+        again[like[again]] = True
+        index = np.flatnonzero(again)
+        begin = np.flatnonzero(np.concatenate([[True], np.diff(index) > 1]))
+        end = np.concatenate([begin[1:], [len(index)]]) - 1
+        low, high = found.first[index[begin]], found.last[index[end]]
+        name = _stirred(np.uint64(number) + np.arange(len(low), dtype=np.uint64)).view(np.int64)
+        none = [None] * len(low)
+        return ref, (name, name, low, low, high, np.zeros(len(low), bool)), (none, none, none)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
+        rows, held, number = [], 0, TaskContext.get().partitionId() << 40
         for batch in batches:
             for ref, content, *row in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
                 raw = content.as_buffer().to_pybytes()
                 found = samples(raw)
+                like = likenesses(raw, found)
                 kept, crowd = marked(found, row)
+                alone = like[kept] == kept
+                kept, crowd = kept[alone], crowd[alone]
                 if not len(kept):
                     continue
+                if (own := alike(ref, found, like, number)) is not None:
+                    rows.append(own)
+                    number += len(own[1][0])
+                    held += len(own[1][0])
                 second = gram_hashes(raw, GRAM, _FACTORS[1]).view(np.int64)
                 at, first, last = found.at[kept], found.first[kept], found.last[kept]
                 bounds = list(zip(at.tolist(), first.tolist(), last.tolist(), crowd.tolist()))
@@ -363,7 +414,14 @@ def _compared(contexts: DataFrame) -> DataFrame:
         new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
         kept = np.ones(len(at), bool)  # one of the rows of equal texts
         kept[1:] = new[1:] | (raw[1:] != raw[:-1]) | (at[1:] != at[:-1])
-        groups, sizes = np.cumsum(new), None
+        known = table.column("before").combine_chunks().is_null().to_numpy(zero_copy_only=False)
+        if known.any():
+            index = pa.array(np.flatnonzero(known))
+            yield pa.RecordBatch.from_arrays(
+                [refs.take(index), pa.array(first[known]), pa.array(last[known])], ["ref", "first", "last"]
+            )
+        kept &= ~known
+        groups = np.cumsum(new)
         sizes = np.bincount(groups[kept], minlength=groups[-1] + 1)
         kept &= sizes[groups] > 1
         index = np.flatnonzero(kept)
@@ -647,7 +705,7 @@ def _marked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     keys = cut_lineage(given.select("row_key", F.unhex(F.md5("content")).alias("ref")))
     copied = keys.groupBy("ref").count().where("count > 1").select("ref", F.lit(True).alias("copied"))
     runs = repeated_runs(texts).groupBy("ref").agg(
-        F.collect_list(F.struct("first", "last")).alias("runs")  # at most as many as the text has starts
+        F.collect_set(F.struct("first", "last")).alias("runs")  # at most as many as the text has starts
     )
     by_text = cut_lineage(
         copied.join(runs, "ref", "full").select(

@@ -223,6 +223,9 @@ def repeated_rows():
         (13, "twice " + passage, "en"),
         (14, " ".join(f"n{i}" for i in range(4000)), "en"),
     ]
+    line = "line one two three four five six seven. "
+    rows += [(90, line * 60, "en"), (91, "x" * 50 + line * 30 + "yy", "en")]
+    rows += [(92, "ab " * 400 + "zz" + "ab " * 300, "en"), (93, "q" + "ab " * 200, "en"), (94, line * 60, "en")]
     rows += [(20 + i, prose(i) + passage[: 210 + 7 * i] + prose(3), "en") for i in range(30)]
     return rows
 
