@@ -7,7 +7,8 @@ after the sums, held to ``EVIDENCE`` words, are turned into odds.
 
 The model is learned from a bounded sample: ``DOCUMENTS`` documents per language on average, chosen by
 a hash of the id, of the ``LANGUAGES`` most frequent languages; it keeps the ``WORDS`` and ``GRAMS``
-most frequent entries. Every text is predicted whole.
+most frequent entries. Every text is predicted whole, and n-grams are taken of whole words, however long:
+text without blanks is one word.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without any labelled row
 every text is ``und``; a null id is neither held out nor learned from; repeated rows are predicted
@@ -38,8 +39,11 @@ WORDS = 120_000
 GRAMS = 60_000
 LONGEST = 4
 EVIDENCE = 40
-#: Words whose scores a worker remembers beyond the learned ones.
+#: Words whose scores a worker remembers beyond the learned ones, and their greatest length.
 REMEMBERED = 100_000
+REMEMBERED_LENGTH = 60
+#: Starts of n-grams in one slice of a word; slices overlap by ``LONGEST - 1`` characters.
+_SLICE = 57
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _SMOOTHING = 0.5
@@ -115,9 +119,13 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    sliced = F.regexp_extract_all(
+        F.concat(F.lit("^"), "word", F.lit("$")),
+        F.lit(f"(?s)(?=(.{{1,{_SLICE + LONGEST - 1}}})).{{1,{_SLICE}}}"),
+        F.lit(1),
+    )
     grams = cut_lineage(
-        words.where(F.length("word") <= 60)
-        .withColumn("word", F.concat(F.lit("^"), "word", F.lit("$")))
+        words.select("lang", "n", F.explode(sliced).alias("word"))
         .select("lang", "n", "word", F.explode(F.sequence(F.lit(1), F.lit(LONGEST))).alias("size"))
         .where(F.length("word") >= F.col("size"))
         .select(
@@ -125,7 +133,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
             "n",
             F.explode(
                 F.transform(
-                    F.sequence(F.lit(1), F.length("word") - F.col("size") + 1),
+                    F.sequence(F.lit(1), F.least(F.length("word") - F.col("size") + 1, F.lit(_SLICE))),
                     lambda at: F.substring("word", at, F.col("size")),
                 )
             ).alias("gram"),
@@ -151,18 +159,21 @@ class Predictor(dict):
         self.none = (0.0,) * len(model.languages)
 
     def __missing__(self, word: str) -> tuple[float, ...]:
+        if len(word) > REMEMBERED_LENGTH:
+            return self._back_off(_marked(word))
         if len(self) >= len(self.model.words) + REMEMBERED:
             self.clear()
             self.update(self.model.words)
-        scores = self[word] = self._back_off(_marked(word[:60]))
+        scores = self[word] = self._back_off(_marked(word))
         return scores
 
     def _back_off(self, word: str) -> tuple[float, ...]:
         for size in range(min(LONGEST, len(word)), 0, -1):
-            pieces = [word[i : i + size] for i in range(len(word) - size + 1)]
-            known = [self.model.grams[p] for p in pieces if p in self.model.grams]
+            pieces = (word[i : i + size] for i in range(len(word) - size + 1))
+            known = Counter(p for p in pieces if p in self.model.grams)
             if known:
-                return tuple(sum(column) / len(known) for column in zip(*known))
+                scores = [[score * n for score in self.model.grams[p]] for p, n in known.items()]
+                return tuple(sum(column) / known.total() for column in zip(*scores))
         return self.none
 
     def predict(self, text: str | None) -> tuple[str, float]:

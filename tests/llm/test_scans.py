@@ -6,6 +6,8 @@ import hashlib
 import io
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -187,6 +189,36 @@ def test_back_off():
     assert predictor["z"] == (0.0, 0.0)
 
 
+def test_long_runs_are_learned_and_predicted_whole(make_docs):
+    """Both languages begin alike and differ only behind character 60."""
+    head = "lorem" * 30
+    rows = [(i, head + part * (20 + i % 7), lang) for i, (part, lang) in enumerate([("xyz", "aa"), ("uvw", "bb")] * 20)]
+    docs = make_docs(rows)
+    model = langid.train(docs)
+    assert {"xyzx", "uvwu", "xyz$", "^lor"} <= set(model.grams)
+    predictor = langid.Predictor(model)
+    assert predictor.predict(head + "xyz" * 500)[0] == "aa"
+    assert predictor.predict(head + "uvw" * 500)[0] == "bb"
+    assert max(map(len, set(predictor) - set(model.words)), default=0) <= langid.REMEMBERED_LENGTH
+
+
+def test_ngrams_are_counted_once_over_slices(make_docs, monkeypatch):
+    found = {}
+    log = langid._log_frequencies
+    monkeypatch.setattr(langid, "_log_frequencies", lambda rows, *a: found.update(dict((r[0], r[2]) for r in rows)) or log(rows, *a))
+    rng = random.Random(6)
+    word = "".join(rng.choices("abcdé\U00020000", k=200))
+    langid.train(make_docs([(i, word, "en") for i in range(1)] + [(3, word, "en")]))
+    held = 2 - sum(1 for i in (0, 3) if _remainder(i) == 2)
+    marked = f"^{word}$"
+    grams = Counter(marked[i : i + n] for n in range(1, 5) for i in range(len(marked) - n + 1))
+    assert {g: found[g] for g in grams} == {g: n * held for g, n in grams.items()}
+
+
+def _remainder(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4
+
+
 def test_language_odd_rows(make_docs, odd_rows):
     rows = odd_rows + [(i, "und der die das", "de") for i in range(20, 30)]
     docs = make_docs(rows)
