@@ -5,8 +5,9 @@ source, length). Both start from labelled documents. In each round either one la
 documents it is sure of, for the other to learn from. At the end both views are calibrated on labelled
 documents kept apart, and a third small classifier, fitted on those, joins the two.
 
-Bounds: at most ``LABELLED`` labelled and ``POOL`` unlabelled documents, those of the smallest hash of
-the id, are learned from; every document is scored, whole.
+Bounds: at most ``LABELLED`` labelled documents, those of the smallest hash of the id, are learned from,
+on the driver. All unlabelled documents take part in every round: their features are written once, and
+each Newton step sums up, by partition, what the sure ones among them add to its gradient and Hessian.
 
 Defined cases: a null text is an empty one; null metadata is a value of its own; labels with a null
 quality or id are not looked at, of several labels of a document the greatest counts; without labels of
@@ -20,21 +21,28 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.llm import common
+from layerwright.session import cut_lineage
 
 LABELLED = 8000
-POOL = 8000
 ROUNDS = 4
 #: Calibrated probability from which a classifier is sure, and its share of labelled documents kept apart.
 SURE = 0.95
 APART = 0.25
+#: Newton's method ends at a step this small. Partial sums are added in this many tasks for the driver.
+_STILL = 1e-8
+_MERGED = 8
+#: Documents summed up at a time.
+_BLOCK = 2048
 
 WORD_CELLS = 256
 SOURCE_CELLS = 64
@@ -153,10 +161,84 @@ class Model(NamedTuple):
         return sigmoid(np.stack([joint, first, second], 1))
 
 
+def _taught(other: np.ndarray, teachers: list) -> np.ndarray:
+    """Marks of unlabelled documents by the view ``other``: of its first round that is sure, else -1."""
+    marks = np.full(len(other), -1)
+    for model, calibration in teachers:
+        chance = sigmoid(calibration.logit(model.logit(other)[:, None]))
+        for kind, sure in ((1, chance >= SURE), (0, chance <= 1 - SURE)):
+            marks[(marks < 0) & sure] = kind
+    return marks
+
+
+def _sums(features: np.ndarray, marks: np.ndarray, at: Linear | None) -> np.ndarray:
+    """What marked documents add: to count, sums and squares, or at a classifier to gradient and Hessian."""
+    features = features.astype(np.float64)
+    if at is None:
+        return np.concatenate([[len(marks)], features.sum(0), np.square(features).sum(0)])
+    given = np.hstack([(features - at.middle) / at.scale, np.ones((len(features), 1))])
+    chance = sigmoid(given @ np.append(at.weights, at.offset))
+    bend = (given * (chance * (1 - chance) + 1e-6)[:, None]).T @ given
+    return np.concatenate([given.T @ (chance - marks), bend.ravel()])
+
+
+def pool_sums(views: list[np.ndarray], asked: list) -> np.ndarray:
+    """Sums over unlabelled documents, for each view asked (view, teachers, classifier), in a row."""
+    found = []
+    for view, teachers, at in asked:
+        marks = _taught(views[1 - view], teachers)
+        sure = marks >= 0
+        found.append(_sums(views[view][sure], marks[sure], at))
+    return np.concatenate(found)
+
+
+Pool = Callable[[list], np.ndarray]
+
+
+def _fit_views(
+    views: list[np.ndarray], labels: np.ndarray, teachers: list, pool: Pool, ridge: float = 1.0, steps: int = 12
+) -> tuple[list, list[int]]:
+    """Both views fitted to the labelled and the sure documents, as ``fit`` does, and the counts of the latter."""
+
+    def asked(at: list) -> list[np.ndarray]:
+        own = [_sums(view, labels, x) for view, x in zip(views, at)]
+        more = pool([(i, teachers[i], at[i]) for i in (0, 1)])
+        cut = len(own[0])
+        return [(own[0], more[:cut]), (own[1], more[cut:])]
+
+    start, counts, models = asked([None, None]), [], []
+    for view, (own, more) in zip(views, start):
+        counts.append(int(more[0]))
+        width = view.shape[1]
+        n, total, squares = np.split(own + more, [1, 1 + width])
+        middle = total / n
+        scale = np.sqrt(np.maximum(squares / n - middle**2, 0))
+        scale[scale < 1e-7] = 1.0
+        models.append(Linear(middle, scale, np.zeros(width), 0.0))
+    for _ in range(steps):
+        largest = 0.0
+        for i, (own, more) in enumerate(asked(models)):
+            model = models[i]
+            weights = np.append(model.weights, model.offset)
+            penalty = np.append(np.full(len(weights) - 1, ridge), 1e-6)
+            slope, bend = np.split(own + more, [len(weights)])
+            step = np.linalg.solve(bend.reshape(len(weights), -1) + np.diag(penalty), slope + penalty * weights)
+            weights -= step
+            largest = max(largest, float(np.abs(step).max()))
+            models[i] = Linear(model.middle, model.scale, weights[:-1], float(weights[-1]))
+        if largest < _STILL:
+            break
+    return models, counts
+
+
 def co_train(
-    text: np.ndarray, metadata: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS
+    text: np.ndarray,
+    metadata: np.ndarray,
+    labels: np.ndarray,
+    rounds: int = ROUNDS,
+    pool: Pool | None = None,
 ) -> Model:
-    """Learn both views; ``labels`` are 0, 1, or -1 for the unlabelled documents of the pool."""
+    """Learn both views; ``labels`` are 0, 1, or -1 for the unlabelled documents, unless ``pool`` sums these up."""
     known = np.flatnonzero(labels >= 0)
     base = float(labels[known].mean()) if len(known) else 0.5
     every = max(2, round(1 / APART))
@@ -167,28 +249,25 @@ def co_train(
     if any(len(set(labels[rows])) < 2 for rows in (learned, apart)):
         return Model(None, None, None, None, None, base)
     views = [text, metadata]
-    taught = [labels.copy(), labels.copy()]
-    taught[0][apart] = taught[1][apart] = -1
-    for number in range(rounds + 1):
-        models, calibrated = [], []
-        for view, marks in zip(views, taught):
-            rows = np.flatnonzero(marks >= 0)
-            model = fit(view[rows], marks[rows])
-            models.append(model)
-            calibrated.append(fit(model.logit(view[apart])[:, None], labels[apart], ridge=0.1))
-        if number == rounds:
-            break
-        added = 0
+    if pool is None:
+        free = [view[labels < 0] for view in views]
+        pool = partial(pool_sums, free)
+
+    def calibrate(models: list) -> list:
+        return [fit(m.logit(v[apart])[:, None], labels[apart], ridge=0.1) for m, v in zip(models, views)]
+
+    models = [fit(view[learned], labels[learned]) for view in views]
+    calibrated = calibrate(models)
+    teachers: list[list] = [[], []]
+    counts = [0, 0]
+    for _ in range(rounds):
         for one, other in ((0, 1), (1, 0)):
-            free = np.flatnonzero((labels < 0) & (taught[other] < 0))
-            if not len(free):
-                continue
-            chance = sigmoid(calibrated[one].logit(models[one].logit(views[one][free])[:, None]))
-            for kind, sure in ((1, chance >= SURE), (0, chance <= 1 - SURE)):
-                taught[other][free[sure]] = kind
-                added += int(sure.sum())
-        if not added:
+            teachers[other].append((models[one], calibrated[one]))
+        fitted, sure = _fit_views([v[learned] for v in views], labels[learned], teachers, pool)
+        if sure == counts:
             break
+        models, counts = fitted, sure
+        calibrated = calibrate(models)
     logits = [c.logit(m.logit(v[apart])[:, None]) for c, m, v in zip(calibrated, models, views)]
     joint = fit(np.stack(logits, 1), labels[apart], ridge=0.1)
     return Model(*models, *calibrated, joint, base)
@@ -209,6 +288,58 @@ def _given(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def _viewer() -> Callable:
+    cells = Cells()
+    return lambda content, lang, source, size: (
+        text_features(content, cells),
+        metadata_features(lang, source, size),
+    )
+
+
+def spark_pool(rows: DataFrame) -> Pool:
+    """Sums over the documents (text, lang, source, n_chars), whose features are written at the first call."""
+    width = STYLE + WORD_CELLS
+    written: list[DataFrame] = []
+
+    def start() -> Callable:
+        view = _viewer()
+        return lambda *given: (np.concatenate(view(*given)).astype(np.float32).tobytes(),)
+
+    def pool(asked: list) -> np.ndarray:
+        if not written:
+            written.append(cut_lineage(common.map_rows(rows, "views binary", start, passed=0)))
+        plain = [
+            (view, [tuple(map(tuple, pair)) for pair in teachers], at and tuple(at)) for view, teachers, at in asked
+        ]
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked = [
+                (view, [(Linear(*m), Linear(*c)) for m, c in teachers], at and Linear(*at))
+                for view, teachers, at in plain
+            ]
+            total = 0
+            for batch in batches:
+                for raw in common.in_slices(batch.column(0).to_pylist(), _BLOCK):
+                    both = np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1)
+                    total = total + pool_sums([both[:, :width], both[:, width:]], asked)
+            if not isinstance(total, int):
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["sums"])
+
+        def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for batch in batches:
+                for raw in batch.column(0):
+                    total = total + np.frombuffer(raw.as_py())
+            if not isinstance(total, int):
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["sums"])
+
+        parts = written[0].mapInArrow(each, "sums binary").repartition(_MERGED).mapInArrow(merged, "sums binary")
+        none = pool_sums([np.zeros((0, width), np.float32), np.zeros((0, LANG_CELLS + SOURCE_CELLS + 2))], asked)
+        return sum((np.frombuffer(row["sums"]) for row in parts.collect()), none)
+
+    return pool
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -216,9 +347,8 @@ def train(
     text: str = "text",
     label: str = "quality",
     labelled: int = LABELLED,
-    pool: int = POOL,
 ) -> Model:
-    """Learn from bounded samples of labelled and of unlabelled documents."""
+    """Learn from a bounded sample of labelled documents and from all unlabelled ones."""
     given = _given(docs, doc_id, text)
     marks = (
         labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
@@ -226,21 +356,10 @@ def train(
         .groupBy("doc_id")
         .agg((F.max("label") > 0).cast("int").alias("label"))
     )
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    chosen = marks.orderBy(*order).limit(labelled)
-    free = given.select("doc_id").where("doc_id IS NOT NULL").join(marks, "doc_id", "left_anti")
-    chosen = chosen.unionByName(free.distinct().orderBy(*order).limit(pool).withColumn("label", F.lit(-1)))
+    chosen = marks.orderBy(F.xxhash64("doc_id"), F.col("doc_id")).limit(labelled)
     rows = given.join(F.broadcast(chosen), "doc_id").select("label", "text", "lang", "source", "n_chars")
-
-    def start() -> Callable:
-        cells = Cells()
-        return lambda content, lang, source, size: (
-            text_features(content, cells),
-            metadata_features(lang, source, size),
-        )
-
-    made = common.map_rows(rows, "text_view array<float>, metadata_view array<float>", start)
-    table = made.limit(labelled + pool).toArrow()
+    made = common.map_rows(rows, "text_view array<float>, metadata_view array<float>", _viewer)
+    table = made.limit(2 * labelled).toArrow()
     if not table.num_rows:
         return Model(None, None, None, None, None, 0.5)
     views = [
@@ -249,7 +368,8 @@ def train(
     ]
     found = table.column("label").to_numpy()
     order = np.lexsort([*views[0].T[:STYLE], found])  # the same order whatever the order of the rows
-    return co_train(views[0][order], views[1][order], found[order])
+    free = given.join(marks, "doc_id", "left_anti").select("text", "lang", "source", "n_chars")
+    return co_train(views[0][order], views[1][order], found[order], pool=spark_pool(free))
 
 
 def score(
