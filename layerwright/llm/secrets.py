@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -40,6 +40,9 @@ _SENSITIVE = re.compile(
     r"passw|passphrase|pwd|secret|token|credential|auth|bearer|private|signature|api.?key|access.?key",
     re.IGNORECASE | re.ASCII,
 )
+#: What parts a name from its value within a run.
+_SIGN = re.compile(r"=+")
+LEAST = 16
 #: Characters before a run in which a sensitive word is looked for, and around it that prime the compressor.
 CONTEXT = 64
 PRIMING = 512
@@ -124,19 +127,33 @@ def _mixed(run: str) -> bool:
     return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
 
 
+def _values(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of each run, or of its parts between a name, ``=`` and a value; padding stays."""
+    for run in _RUN.finditer(text):
+        start, end = run.span()
+        for sign in _SIGN.finditer(text, start, end):
+            if sign.end() == end:
+                break
+            if sign.start() - start >= LEAST:
+                yield start, sign.start()
+            start = sign.end()
+        if end - start >= LEAST:
+            yield start, end
+
+
 def novel_spans(
     text: str, base: list[tuple[int, int, str]], novelty: Novelty, least: float = NOVELTY
 ) -> list[tuple[int, int, str]]:
     """Runs outside the base spans that stand in a sensitive context and do not compress."""
     found = []
-    for run in _RUN.finditer(text):
-        start, end = run.span()
-        if not _mixed(run[0]) or not _SENSITIVE.search(text, max(0, start - CONTEXT), start):
+    for start, end in _values(text):
+        run = text[start:end]
+        if not _mixed(run) or not _SENSITIVE.search(text, max(0, start - CONTEXT), start):
             continue
         if any(s < end and start < e for s, e, _ in base):
             continue
         before, after = text[max(0, start - PRIMING) : start], text[end : end + PRIMING]
-        if novelty(run[0], before, after) >= least:
+        if novelty(run, before, after) >= least:
             found.append((start, end, "novel"))
     return found
 
