@@ -13,7 +13,11 @@ whole.
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
+import string
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import zstandard
@@ -40,14 +44,19 @@ _SENSITIVE = re.compile(
     r"passw|passphrase|pwd|secret|token|credential|auth|bearer|private|signature|api.?key|access.?key",
     re.IGNORECASE | re.ASCII,
 )
-#: What parts a name from its value within a run.
+#: What parts a name from its value within a run, and what may stand between adjoining values.
 _SIGN = re.compile(r"=+")
+_BETWEEN = re.compile(r"[\s\"'\\,;|>#*.]{0,16}")
+_BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY[A-Z ]*-----.*?(?:-----END|\Z)", re.DOTALL)
 LEAST = 16
-#: Characters before a run in which a sensitive word is looked for, and around it that prime the compressor.
+#: Characters on either side of a value in which a sensitive word is looked for, and around it those that prime the compressor.
 CONTEXT = 64
 PRIMING = 512
-#: Compressed bytes a run must add, per character.
+#: Compressed bytes a value must add, per character, as a share of what a random one adds (1 at most).
 NOVELTY = 0.7
+#: Share of the bits of a random letter below which a run without digits is words; smoothing of its pairs.
+PROSE = 1.0
+_SMOOTHING = 5
 #: Identifiers taken from the corpus for the dictionary.
 IDENTIFIERS = 2000
 
@@ -62,6 +71,18 @@ COMMON_NAMES = (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 )
 
+#: Words for the letter pairs of common languages.
+COMMON_WORDS = (
+    "the understanding of international information and its application development between several "
+    "responsible organisations which have generally established different requirements, although nothing "
+    "misleading was mentioned about management, everything available through customers and numbers "
+    "die verantwortliche Gesellschaft und ihre wirtschaftlichen Voraussetzungen zwischen verschiedenen "
+    "Möglichkeiten der Donauschifffahrt, Rechtschreibung, Geschwindigkeit, Dampfkraft und Arbeitszeugnisse "
+    "les responsables de cette organisation ont toujours développement quelques nouvelles connaissances "
+    "las responsabilidades generales de nuestra organización siempre conocimiento desarrollo trabajadores "
+    "getAccountNumber setCustomerName isValidConfiguration createUserFactory updateDocumentIndex longNameConfig"
+)
+
 
 def frequent_identifiers(
     docs: DataFrame, text: str = "text", count: int = IDENTIFIERS
@@ -104,12 +125,27 @@ def _place(span: tuple[int, int, str]) -> tuple[int, int]:
     return span[0], KINDS.index(span[2])
 
 
+_ALPHABETS = (
+    string.digits,
+    "0123456789abcdef",
+    "0123456789ABCDEF",
+    string.ascii_lowercase,
+    string.ascii_uppercase,
+    string.digits + string.ascii_lowercase,
+    string.digits + string.ascii_uppercase,
+    string.ascii_letters,
+    string.digits + string.ascii_letters,
+    string.digits + string.ascii_letters + "+/_=-",
+)
+
+
 class Novelty:
     """Compressed bytes that a string adds after identifiers and the text around it."""
 
     def __init__(self, identifiers: list[str], level: int = 3) -> None:
         self.names = (" ".join(identifiers) + " " + COMMON_NAMES).encode()
         self.level = level
+        self.random: dict[tuple[str, int], float] = {}
 
     def __call__(self, run: str, before: str, after: str) -> float:
         primed = zstandard.ZstdCompressionDict(
@@ -122,9 +158,35 @@ class Novelty:
         raw = run.encode()
         return (len(packer.compress(raw)) - len(packer.compress(b""))) / len(raw)
 
-
-def _mixed(run: str) -> bool:
-    return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
+    def of_random(self, run: str) -> float:
+        """What a random string of the same alphabet and length adds, per character."""
+        alphabet = next(a for a in _ALPHABETS if set(run) <= set(a))
+        key = alphabet, len(run)
+        if key not in self.random:
+            if len(self.random) >= 10_000:
+                self.random.clear()
+            drawn = "".join(random.Random(len(run)).choices(alphabet, k=len(run)))
+            self.random[key] = self(drawn, "", "")
+        return self.random[key]
+
+    def like_prose(self, run: str, before: str, after: str) -> bool:
+        """Whether a run without digits has the letter pairs of words.
+
+        Too short for zstandard to code its literals, a word adds as much there as a key. It is coded
+        here by its pairs, with those of the dictionary and the text around; a random one then takes
+        at least the bits of a letter of its alphabet.
+        """
+        primed = f"{self.names.decode()} {COMMON_WORDS} {after} {before}"
+        if run[1:] in (run[1:].lower(), run[1:].upper()):
+            run, primed = run.lower(), primed.lower()
+        alphabet = next(a for a in _ALPHABETS if set(run) <= set(a))
+        letters, pairs = Counter(primed), Counter(zip(primed, primed[1:]))
+        total = len(primed) + len(alphabet) / 2
+        bits = 0.0
+        for a, b in zip(" " + run, run):
+            alone = (letters[b] + 0.5) / total
+            bits -= math.log2((pairs[a, b] + _SMOOTHING * alone) / (letters[a] + _SMOOTHING))
+        return bits < PROSE * math.log2(len(alphabet)) * len(run)
 
 
 def _values(text: str) -> Iterator[tuple[int, int]]:
@@ -144,16 +206,31 @@ def _values(text: str) -> Iterator[tuple[int, int]]:
 def novel_spans(
     text: str, base: list[tuple[int, int, str]], novelty: Novelty, least: float = NOVELTY
 ) -> list[tuple[int, int, str]]:
-    """Runs outside the base spans that stand in a sensitive context and do not compress."""
+    """Values outside the base spans that stand in a sensitive context and do not compress.
+
+    The context reaches ``CONTEXT`` characters to either side, on through values with only blanks,
+    quotes and the like between them, and over a whole block of a private key.
+    """
     found = []
+    blocks = [block.span() for block in _BLOCK.finditer(text)]
+    at, last, sensitive = 0, 0, False
     for start, end in _values(text):
-        run = text[start:end]
-        if not _mixed(run) or not _SENSITIVE.search(text, max(0, start - CONTEXT), start):
-            continue
-        if any(s < end and start < e for s, e, _ in base):
+        while at < len(blocks) and blocks[at][1] <= start:
+            at += 1
+        sensitive = (
+            (sensitive and _BETWEEN.fullmatch(text, last, start) is not None)
+            or (at < len(blocks) and blocks[at][0] <= start)
+            or _SENSITIVE.search(text, max(0, start - CONTEXT), start) is not None
+            or _SENSITIVE.search(text, end, end + CONTEXT) is not None
+        )
+        last = end
+        if not sensitive or any(s < end and start < e for s, e, _ in base):
             continue
+        run = text[start:end]
         before, after = text[max(0, start - PRIMING) : start], text[end : end + PRIMING]
-        if novelty(run, before, after) >= least:
+        if novelty(run, before, after) >= least * min(1.0, novelty.of_random(run)) and (
+            any(map(str.isdigit, run)) or not novelty.like_prose(run, before, after)
+        ):
             found.append((start, end, "novel"))
     return found
 

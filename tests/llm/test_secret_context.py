@@ -32,3 +32,35 @@ def test_parts_of_a_run():
     assert novel(f"auth=a=b={value}== x") == [f"{value}=="]
     assert novel(f"colour={value}") == []
     assert novel("private_key=customer_account_number_customer_account_number") == []
+
+
+@pytest.mark.parametrize("head", ["", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0102\n\n"])
+def test_all_lines_of_a_private_key(head):
+    alphabet = string.ascii_letters + string.digits + "+/"
+    lines = [key(64, i, alphabet) for i in range(25)]
+    text = f"-----BEGIN RSA PRIVATE KEY-----\n{head}" + "\n".join(lines) + "\n-----END RSA PRIVATE KEY-----\n"
+    assert [v for v in novel(text) if v in lines] == lines
+
+
+def test_context_goes_on_and_looks_ahead():
+    lines = [key(64, i) for i in range(6)]
+    assert novel("credential:\n  " + "\n  ".join(f'"{line}",' for line in lines)) == lines
+    assert novel(f"{lines[0]} is the passphrase") == lines[:1]
+    assert novel(f"credential {lines[0]} " + "plain words " * 9 + lines[1]) == lines[:1]
+
+
+@pytest.mark.parametrize("size", [64, 128, 256])
+def test_random_upper_case_hex(size):
+    value = key(size, 3, "0123456789ABCDEF")
+    assert novel(f"credential {value}") == [value]
+
+
+@pytest.mark.parametrize("alphabet", [string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters])
+def test_random_letters(alphabet):
+    value = key(40, 4, alphabet)
+    assert novel(f"our bearer credential is {value} and stays so") == [value]
+
+
+def test_words_are_no_secrets():
+    text = "the token and credential of the misunderstandings in internationalization or auth"
+    assert novel(text) == []
