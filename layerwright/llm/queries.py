@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layerwright.llm import bpe, decontaminate, exact_dedup, langid, licenses, quality, secrets, simhash, suffixes, warc
+from layerwright.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    langid,
+    licenses,
+    merkle,
+    quality,
+    secrets,
+    simhash,
+    suffixes,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,3 +167,77 @@ def op9_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+
+
+#: A level at a time: ``own`` climbs from every leaf, ``level`` holds all nodes. Bits of CRC-32 by shifting.
+MERKLE_SQL = """
+    WITH RECURSIVE d AS (
+        SELECT doc_id, lang, text,
+               [CASE WHEN v IS NULL THEN '-' ELSE strlen(v) || ':' || v END
+                FOR v IN [doc_id::VARCHAR, source, lang, n_chars::VARCHAR]] AS fields,
+               list_reduce(
+                   list_concat([4294967295::BIGINT],
+                               [ascii(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+                   lambda crc, b: list_reduce(
+                       list_concat([xor(crc, b)], range(8)),
+                       lambda r, step: xor(r >> 1, 3988292384 * (r & 1)))) AS crc
+        FROM documents),
+    leaves AS (
+        SELECT doc_id, lang,
+               sha256(array_to_string(fields, '') || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN
+                   sha256(array_to_string(fields, '') || coalesce(strlen(text) || ':' || translate(text,
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+               END AS offered,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
+               count(*) OVER (PARTITION BY lang) AS n
+        FROM d),
+    level AS (
+        SELECT lang, 0 AS height, pos, n, leaf AS digest FROM leaves
+        UNION ALL
+        SELECT lang, height + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM level WHERE n > 1 GROUP BY lang, height, n, pos // 8),
+    tops AS (
+        SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+               count(*) OVER () AS n
+        FROM level WHERE n = 1),
+    upper AS (
+        SELECT 0 AS height, pos, n, subroot AS digest FROM tops
+        UNION ALL
+        SELECT height + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+        FROM upper WHERE n > 1 GROUP BY height, n, pos // 8),
+    runs AS (
+        SELECT lang, height, pos // 8 AS run, list(digest ORDER BY pos) AS digests FROM level WHERE n > 1
+        GROUP BY lang, height, pos // 8),
+    upper_runs AS (
+        SELECT height, pos // 8 AS run, list(digest ORDER BY pos) AS digests FROM upper WHERE n > 1
+        GROUP BY height, pos // 8),
+    own AS (
+        SELECT doc_id, lang, 0 AS height, pos, n, coalesce(offered, leaf) AS digest, '' AS proof FROM leaves
+        UNION ALL
+        SELECT doc_id, own.lang, own.height + 1, pos // 8, (n + 7) // 8,
+               sha256(array_to_string(digests[:pos % 8], '') || digest || array_to_string(digests[pos % 8 + 2:], '')),
+               proof || array_to_string(digests[:pos % 8], '') || array_to_string(digests[pos % 8 + 2:], '')
+        FROM own JOIN runs
+          ON runs.lang IS NOT DISTINCT FROM own.lang AND runs.height = own.height AND run = pos // 8
+        WHERE n > 1),
+    further AS (
+        SELECT doc_id, subroot, 0 AS height, tops.pos, tops.n, digest, proof
+        FROM own JOIN tops ON tops.lang IS NOT DISTINCT FROM own.lang
+        WHERE own.n = 1
+        UNION ALL
+        SELECT doc_id, subroot, further.height + 1, pos // 8, (n + 7) // 8,
+               sha256(array_to_string(digests[:pos % 8], '') || digest || array_to_string(digests[pos % 8 + 2:], '')),
+               proof || array_to_string(digests[:pos % 8], '') || array_to_string(digests[pos % 8 + 2:], '')
+        FROM further JOIN upper_runs ON upper_runs.height = further.height AND run = pos // 8
+        WHERE n > 1)
+    SELECT doc_id, leaf, subroot, upper.digest AS root, sha256(proof) AS proof_sha256,
+           further.digest AS folded_root, further.digest = upper.digest AS verified
+    FROM further JOIN leaves USING (doc_id) CROSS JOIN upper
+    WHERE further.n = 1 AND upper.n = 1
+"""
+
+
+@query(MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, folder, "documents"))
