@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerwright.llm import (
     bpe,
     decontaminate,
     exact_dedup,
+    fingerprints,
     langid,
     licenses,
     merkle,
@@ -241,3 +243,9 @@ MERKLE_SQL = """
 @query(MERKLE_SQL)
 def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.tamper_check(table(spark, folder, "documents"))
+
+
+@query()
+def op12_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fingerprints.against_next(table(spark, folder, "documents"))
+    return fingerprints.with_near_counts(rows, F.col("doc_id") % 20 == 0)
