@@ -17,6 +17,7 @@ from layerwright.llm import (
     licenses,
     merkle,
     quality,
+    ranked,
     secrets,
     simhash,
     suffixes,
@@ -249,3 +250,40 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def op12_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     rows = fingerprints.against_next(table(spark, folder, "documents"))
     return fingerprints.with_near_counts(rows, F.col("doc_id") % 20 == 0)
+
+
+@query(
+    """
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+        FROM documents),
+    items AS (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM benchmark),
+    corpus AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0),
+    postings AS (
+        SELECT doc_id, size, term, count(*) AS tf
+        FROM (SELECT doc_id, len(terms) AS size, unnest(terms) AS term FROM docs) GROUP BY doc_id, size, term),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+        FROM postings CROSS JOIN corpus GROUP BY term, n_docs),
+    impacts AS (
+        SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * n_docs) // n_terms)))
+               AS impact
+        FROM postings JOIN weights USING (term) CROSS JOIN corpus),
+    scores AS (
+        SELECT item_id, doc_id, sum(impact)::BIGINT AS score
+        FROM items JOIN impacts USING (term) GROUP BY item_id, doc_id HAVING sum(impact) > 0),
+    ranked AS (
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank,
+               doc_id, score
+        FROM scores)
+    SELECT * FROM ranked WHERE rank <= 20
+    """
+)
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.top_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
