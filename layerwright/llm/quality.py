@@ -6,13 +6,15 @@ documents it is sure of, for the other to learn from. At the end both views are
 documents kept apart, and a third small classifier, fitted on those, joins the two.
 
 Bounds: at most ``LABELLED`` labelled documents, those of the smallest hash of the id, are learned from,
-on the driver. All unlabelled documents take part in every round: their features are written once, and
-each Newton step sums up, by partition, what the sure ones among them add to its gradient and Hessian.
+on the driver. All unlabelled documents take part in every round: their features are made in one pass
+over the texts, told from the labelled ones by a join of these narrow rows, and written once; each Newton
+step sums up, by partition, what the sure ones among them add to its gradient and Hessian.
 
 Defined cases: a null text is an empty one; null metadata is a value of its own; labels with a null
 quality or id are not looked at, of several labels of a document the greatest counts; without labels of
 both kinds every score is the share of good labels, 0.5 without any; rows with a repeated id are scored
-by their own text; an empty table gives no rows; further columns are not looked at.
+by their own text, and the one of the smallest text hash is learned from where the id has a label; an
+empty table gives no rows; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -296,8 +298,12 @@ def _viewer() -> Callable:
     )
 
 
-def spark_pool(rows: DataFrame) -> Pool:
-    """Sums over the documents (text, lang, source, n_chars), whose features are written at the first call."""
+def spark_pool(rows: DataFrame, marks: DataFrame | None = None) -> Pool:
+    """Sums over the documents (text, lang, source, n_chars), whose features are written at the first call.
+
+    With ``marks``, rows start with doc_id and those whose id is among the marks are left out. Features
+    meet the marks by a shuffle whatever the sizes, so that the plan is the same for any input.
+    """
     width = STYLE + WORD_CELLS
     written: list[DataFrame] = []
 
@@ -307,7 +313,10 @@ def spark_pool(rows: DataFrame) -> Pool:
 
     def pool(asked: list) -> np.ndarray:
         if not written:
-            written.append(cut_lineage(common.map_rows(rows, "views binary", start, passed=0)))
+            views = common.map_rows(rows, "views binary", start, passed=0 if marks is None else 1)
+            if marks is not None:
+                views = views.join(marks.select("doc_id").hint("merge"), "doc_id", "left_anti").select("views")
+            written.append(cut_lineage(views))
         plain = [
             (view, [tuple(map(tuple, pair)) for pair in teachers], at and tuple(at)) for view, teachers, at in asked
         ]
@@ -357,9 +366,10 @@ def train(
         .agg((F.max("label") > 0).cast("int").alias("label"))
     )
     chosen = marks.orderBy(F.xxhash64("doc_id"), F.col("doc_id")).limit(labelled)
-    rows = given.join(F.broadcast(chosen), "doc_id").select("label", "text", "lang", "source", "n_chars")
-    made = common.map_rows(rows, "text_view array<float>, metadata_view array<float>", _viewer)
-    table = made.limit(2 * labelled).toArrow()
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "lang", "source", "n_chars", "label"))
+    rows = given.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(one.alias("one"))
+    rows = rows.select("one.label", "one.text", "one.lang", "one.source", "one.n_chars")
+    table = common.map_rows(rows, "text_view array<float>, metadata_view array<float>", _viewer).toArrow()
     if not table.num_rows:
         return Model(None, None, None, None, None, 0.5)
     views = [
@@ -368,8 +378,7 @@ def train(
     ]
     found = table.column("label").to_numpy()
     order = np.lexsort([*views[0].T[:STYLE], found])  # the same order whatever the order of the rows
-    free = given.join(marks, "doc_id", "left_anti").select("text", "lang", "source", "n_chars")
-    return co_train(views[0][order], views[1][order], found[order], pool=spark_pool(free))
+    return co_train(views[0][order], views[1][order], found[order], pool=spark_pool(given, marks))
 
 
 def score(
