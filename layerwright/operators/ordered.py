@@ -1,18 +1,23 @@
 """Whole-table order statistics without a single-task sort.
 
 ``Window.orderBy`` with no partition sends every row to one task, and a window partitioned by a hot
-key sends that key's rows to one task. Both operators here split the *order* instead: rows are
-range-partitioned on the full sort key, each range is numbered on its own, and the few facts needed
-from the neighbouring ranges (one row per range) are added back by a broadcast join. Ranks take one
-shuffle of the rows; percent ranks add one of the different values.
+key sends that key's rows to one task. Both operators here split the *order* instead: bounds from a
+sample cut it into ranges, each row finds its range by binary search among the bounds, and a window
+works within a range. The range is known before any row moves, so the rows take one exchange, that of
+the window; the bounds end in a hash of the whole row, so equal values are spread as well.
 
-The ranges depend on Spark's sample of the data, so the numbered rows are written out before the
-summary of the ranges is read: both then describe the same split, also after an executor is lost.
+What a range needs to know of the others is one row per range: how many rows lie before it, and what
+of a run of ties, or of a group, crosses its bounds. It is summed up ahead of the exchange from the
+columns of the order alone and comes back as a literal. The sample only decides how even the ranges
+are; every result is the same for any bounds.
+
+The rows are written out first: they are read for the sample, the summary and the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,24 +26,81 @@ from pyspark.sql import types as T
 from layerwright.session import cut_lineage
 
 _RANGE = "__range"
+_HASH = "__hash"
+
+#: Ranges for each shuffle partition, so that a few that hash together do no harm, and sampled rows
+#: for each range.
+RANGES = 4
+SAMPLED = 16
+
+
+class Ordered(NamedTuple):
+    """A column of an order: ascending with NULLs first, or descending with NULLs last."""
+
+    name: str
+    descending: bool = False
+
+    def sorting(self) -> Column:
+        column = F.col(self.name)
+        return column.desc_nulls_last() if self.descending else column.asc_nulls_first()
+
+
+def _before(order: Sequence[Ordered], bound: Column) -> Column:
+    """Does the row stand before the row whose columns the struct ``bound`` holds?"""
+    found = F.lit(False)
+    for part in reversed(order):
+        own, other = F.col(part.name), bound.getField(part.name)
+        if part.descending:
+            less = F.coalesce(own > other, own.isNotNull() & other.isNull())
+        else:
+            less = F.coalesce(own < other, own.isNull() & other.isNotNull())
+        found = less | (own.eqNullSafe(other) & found)
+    return found
+
+
+class Ranges(NamedTuple):
+    """Rows with the range they fall into, the order, and the first row of each range but the first."""
+
+    rows: DataFrame
+    order: list[Ordered]
+    bounds: list[tuple]
+
+
+def _ranged(df: DataFrame, order: Sequence[Ordered]) -> Ranges:
+    """``df`` written out, each row with its hash and its range in the order."""
+    rows = cut_lineage(df).withColumn(_HASH, F.xxhash64(*df.columns))
+    order = [*order, Ordered(_HASH)]
+    names = [part.name for part in order]
+    spark = df.sparkSession
+    count = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    every = max(1, rows.count() // (count * SAMPLED))
+    drawn = rows.select(*names).where(F.pmod(F.xxhash64(_HASH), F.lit(every)) == 0).distinct()
+    sample = drawn.orderBy(*[part.sorting() for part in order]).collect()  # a few rows per range
+    step = max(1, len(sample) // count)
+    bounds = [tuple(row) for row in sample[step::step]]
+    if not bounds:
+        return Ranges(rows.withColumn(_RANGE, F.lit(0)), order, bounds)
+    kinds = rows.schema
+    listed = F.array(
+        *[
+            F.struct(*[F.lit(value).cast(kinds[name].dataType).alias(name) for name, value in zip(names, bound)])
+            for bound in bounds
+        ]
+    )
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
 
-#: Bits in which ``monotonically_increasing_id`` counts the rows of a task.
-_TASK_BITS = 33
+    def passed(at: Column, step: Column) -> Column:
+        reached = (at + step <= len(bounds)) & ~_before(order, F.get(listed, at + step - 1))
+        return F.when(reached, at + step).otherwise(at)
 
+    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), passed)
+    return Ranges(rows.withColumn(_RANGE, found), order, bounds)
 
-def _summary_frame(df: DataFrame, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """One row per range; their number is set by the shuffle partitions, not by the data."""
-    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))
 
-
-def _split_on(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Rows range-partitioned on ``order``, tagged with the range they fell into.
-
-    The hash of the whole row comes last, so rows equal in ``order`` can still be spread.
-    """
-    return df.repartitionByRange(*order, F.xxhash64(*df.columns)).withColumn(
-        _RANGE, F.spark_partition_id()
-    )
+def _by_range(values: dict[int, object], kind: T.DataType, ranges: int) -> Column:
+    """One value per range, looked up by the range of the row."""
+    listed = [F.lit(values.get(at)).cast(kind) for at in range(ranges)]
+    return F.get(F.array(*listed), F.col(_RANGE))
 
 
 def rank_table(
@@ -54,46 +116,54 @@ def rank_table(
     (rows below) / (n - 1), the same for equal measures, 0 for a single row. NULL measures come last
     in the numbering and above every value in the percent rank, as with NULLS LAST in both orders.
     """
-    order = [F.col(measure).desc_nulls_last(), *[F.col(c).asc() for c in tie_break]]
-    rows = cut_lineage(
-        df.repartitionByRange(*order, F.xxhash64(*df.columns))
-        .sortWithinPartitions(*order)
-        # counts rows within a task, with the task's number in the bits above
-        .withColumn("__at", F.monotonically_increasing_id())
-    )
-    in_range = F.col("__at").bitwiseAND(F.lit((1 << _TASK_BITS) - 1))
-    task = F.shiftright("__at", _TASK_BITS).cast("int")
-    ranges = (
-        rows.groupBy(task.alias(_RANGE))
-        .agg(F.count(F.lit(1)).alias("n"), F.count(measure).alias("n_valued"))
-        .orderBy(_RANGE)
+    found = _ranged(df, [Ordered(measure, descending=True), *map(Ordered, tie_break)])
+    ranges = len(found.bounds) + 1
+    kind = df.schema[measure].dataType
+    first = {at + 1: bound[0] for at, bound in enumerate(found.bounds)}
+    # rows at the start of a range whose value is that of its bound: they may go on with a run of ties
+    leading = F.col(measure).eqNullSafe(_by_range(first, kind, ranges)).cast("int")
+    summary = (
+        found.rows.groupBy(_RANGE)
+        .agg(F.count(F.lit(1)).alias("n"), F.count(measure).alias("n_valued"), F.sum(leading).alias("leading"))
         .collect()
     )
-    n_rows = sum(r.n for r in ranges)
-    n_valued = sum(r.n_valued for r in ranges)
-    summary, before = [], 0
-    for current in ranges:
-        summary.append((current[_RANGE], before))
-        before += current.n
-    offsets = _summary_frame(df, summary, T.StructType.fromDDL(f"{_RANGE} int, __before long"))
-    result = (
-        rows.withColumn(_RANGE, task)
-        .join(offsets, _RANGE)
-        .withColumn(rank, F.col("__before") + in_range + 1)
-    )
+    by_range = {row[_RANGE]: row for row in summary}
+    n_rows = sum(row.n for row in summary)
+    n_valued = sum(row.n_valued for row in summary)
+    before, total = {}, 0
+    for at in range(ranges):
+        before[at] = total
+        total += by_range[at].n if at in by_range else 0
+    in_range = Window.partitionBy(_RANGE)
+    place = F.row_number().over(in_range.orderBy(*[part.sorting() for part in found.order]))
+    offset = _by_range(before, T.LongType(), ranges)
+    result = found.rows.withColumn("__place", place.cast("long"))
+    numbered = (offset + F.col("__place")).alias(rank)
     if percent_rank is None:
-        return result.select(*df.columns, rank)
-    # rows below a value: all valued ones but those ranked up to its last occurrence
-    lowest = cut_lineage(
-        result.where(F.col(measure).isNotNull()).groupBy(measure).agg(F.max(rank).alias("__last"))
-    )
-    below = n_valued - F.coalesce(F.col("__last"), F.lit(0))
+        return result.select(*df.columns, numbered)
+    # the rank of the last row of the run that goes on behind a range
+    last: dict[int, int] = {}
+    for at in reversed(range(ranges - 1)):
+        following = at + 1
+        if following + 1 < ranges and _same(first[following + 1], first[following]):
+            last[at] = last[following]
+        else:
+            last[at] = before[following] + (by_range[following].leading if following in by_range else 0)
+    goes_on = _by_range({at - 1: value for at, value in first.items()}, kind, ranges)
+    in_last = F.col(_RANGE) == ranges - 1
+    peers = F.count(F.lit(1)).over(in_range.orderBy(F.col(measure).desc_nulls_last()))
+    result = result.withColumn("__upto", peers)
+    run_end = F.when(
+        ~in_last & F.col(measure).eqNullSafe(goes_on), _by_range(last, T.LongType(), ranges)
+    ).otherwise(offset + F.col("__upto"))
+    below = F.lit(n_valued) - F.when(F.col(measure).isNull(), F.lit(0)).otherwise(run_end)
     share = F.lit(0.0) if n_rows < 2 else below / F.lit(float(n_rows - 1))
-    return (
-        result.join(lowest, measure, "left")
-        .withColumn(percent_rank, share)
-        .select(*df.columns, rank, percent_rank)
-    )
+    return result.select(*df.columns, numbered, share.alias(percent_rank))
+
+
+def _same(left: object, right: object) -> bool:
+    """Equal as SQL sees it: NaN is NaN, and NULL here is the run of NULLs."""
+    return left == right or (left != left and right != right)
 
 
 def previous_in_group(
@@ -109,24 +179,12 @@ def previous_in_group(
     A group that spans several ranges gets its first row's predecessor in a range from the last row
     of the range before. ``has_previous`` names an optional flag: is there a preceding row at all.
     """
-    ascending = [F.col(c).asc() for c in (*keys, *order)]
-    in_range = Window.partitionBy(_RANGE, *keys).orderBy(*[F.col(c).asc() for c in order])
-    rows = (
-        _split_on(df, ascending)
-        .withColumn("__row", F.row_number().over(in_range))
-        .withColumn("__lag", F.lag(value).over(in_range))
-    )
-    rows = cut_lineage(rows)
-
+    found = _ranged(df, list(map(Ordered, [*keys, *order])))
+    rows = found.rows
     key_struct = F.struct(*[F.col(k) for k in keys])
-    last = F.struct(key_struct.alias("keys"), F.col("__row"), F.col(value).alias("value"))
-    sort_key = F.struct(*[F.col(c) for c in (*keys, *order)], F.col("__row"))
-    ends = (
-        rows.groupBy(_RANGE)
-        .agg(F.max_by(last, sort_key).alias("last"))
-        .orderBy(_RANGE)
-        .collect()
-    )
+    last = F.struct(key_struct.alias("keys"), F.col(value).alias("value"))
+    sort_key = F.struct(*[F.col(part.name) for part in found.order])
+    ends = sorted(rows.groupBy(_RANGE).agg(F.max_by(last, sort_key).alias("last")).collect())
     carried = [
         (after[_RANGE], tuple(before["last"]["keys"]), before["last"]["value"], True)
         for before, after in zip(ends, ends[1:])
@@ -139,7 +197,11 @@ def previous_in_group(
             T.StructField("__end", T.BooleanType()),
         ]
     )
-    joined = rows.join(_summary_frame(df, carried, schema), _RANGE, "left")
+    in_range = Window.partitionBy(_RANGE, *keys).orderBy(*[F.col(c).asc() for c in (*order, _HASH)])
+    rows = rows.withColumn("__row", F.row_number().over(in_range)).withColumn("__lag", F.lag(value).over(in_range))
+    # one row per range; their number is set by the shuffle partitions, not by the data
+    summary = F.broadcast(df.sparkSession.createDataFrame(carried, schema))
+    joined = rows.join(summary, _RANGE, "left")
     continues = (
         (F.col("__row") == 1)
         & F.coalesce(F.col("__end"), F.lit(False))

@@ -86,3 +86,49 @@ def test_previous_in_group_one_hot_group_is_split(spark, plain_ranges):
     assert got.where("prev = p - 1").count() == 3999
     rows_per_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert rows_per_task < 2000
+
+
+def exchanges(df):
+    """Shuffles in the plan of a result, and its joins."""
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return text.count("Exchange hashpartitioning") + text.count("Exchange rangepartitioning"), text.count("Join")
+
+
+def test_ranks_take_one_exchange_and_no_join(spark, plain_ranges):
+    """A third of the rows share one value; the rows move once, and ties are settled without a join."""
+    rng = random.Random(6)
+    rows = [(5.0 if key % 3 == 0 else rng.random() * 10, key) for key in range(3000)]
+    df = spark.createDataFrame(rows, "v double, k int")
+    found = rank_table(df, "v", ["k"])
+    assert exchanges(found) == (1, 0)
+    assert {r.k: (r["rank"], r.pct_rank) for r in found.collect()} == brute_ranks(rows)
+    per_task = found.where("v = 5").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 600
+
+
+def test_previous_row_takes_one_exchange(spark, plain_ranges):
+    """A third of the rows in one group, which spans several ranges."""
+    df = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id % 101) AS e", "id AS p", "id * 2 AS w")
+    found = previous_in_group(df, ["e"], ["p"], "w", "prev", "has")
+    assert exchanges(found)[0] == 1
+    window = Window.partitionBy("e").orderBy("p")
+    lagged = F.lag("w").over(window)
+    expected = df.withColumn("prev", lagged).withColumn("has", lagged.isNotNull())
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(12,2)", "timestamp", "boolean"])
+def test_ranks_of_other_types(spark, plain_ranges, kind):
+    sql = {
+        "string": "string(id % 37)",
+        "date": "date_add(DATE'2020-01-01', int(id % 37))",
+        "decimal(12,2)": "CAST(id % 37 AS decimal(12,2)) / 4",
+        "timestamp": "timestamp_seconds(id % 37)",
+        "boolean": "id % 2 = 0",
+    }[kind]
+    df = spark.range(700).selectExpr(f"IF(id % 11 = 0, NULL, {sql}) AS v", "id AS k")
+    found = rank_table(df, "v", ["k"])
+    every = Window.orderBy(F.col("v").desc_nulls_last(), "k")
+    share = F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_last()))
+    expected = df.withColumn("rank", F.row_number().over(every)).withColumn("pct_rank", share)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
