@@ -1,22 +1,22 @@
 """Catalog tables whose replacement is all-or-nothing.
 
-A rebuilt table is written in full to a new folder; then the table's location is pointed there. The
-plan that builds the new rows may read the old table, readers never see a half-written one, and a
-job lost midway leaves the old table in place. Where the columns or the layout change, a new catalog
-entry takes the place of the old one instead.
+A table that is replaced is a view on its newest version. A load writes its rows to a new folder, enters
+a new version in the catalog, with its columns, layout, keys and bucket folders, and then points the view
+at it: that one statement is the switch, for a change of columns or layout and for any number of buckets
+alike. The plan that builds the new rows may read the old version, readers never see a half-written one,
+and a job lost anywhere leaves the old version or the new one whole.
 
-A load of a bucketed table points the buckets it touched at their new folders one after another: each
-bucket is old or new as a whole, but a job lost midway leaves some of each. Running the load again
-brings all of them up to date.
+A load of a bucketed table writes the buckets it touched; its version takes those from the new folder
+and the others from where they lay. The version before the newest stays in the catalog for readers that
+have planned on it; earlier entries go with the next load, folders stay until ``vacuum`` removes them.
 
-Keys and bucket count of a mart are stored with it and checked by every load. Folders that no longer
-belong to a table stay until ``vacuum`` removes them.
+Tables that only grow, such as raw ones, are plain tables.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,8 @@ from layerwright.session import shared_folder
 
 
 BUCKET = "key_bucket"
+#: Stands between the name of a table and that of a version.
+_VERSION = "__v_"
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -40,59 +42,104 @@ def exists(spark: SparkSession, table: str) -> bool:
 
 
 def replace_table(
-    df: DataFrame, table: str, root: str | None = None, bucketed: bool = False
+    df: DataFrame,
+    table: str,
+    root: str | None = None,
+    bucketed: bool = False,
+    properties: dict[str, Any] | None = None,
 ) -> None:
     """Write ``df`` as the whole content of ``table``, its columns included."""
     spark = df.sparkSession
     folder = _write(df, table, root, bucketed)
-    if not exists(spark, table):
-        _create(df, table, folder, bucketed)
-    elif _shape(spark.table(table)) != _shape(df) or is_bucketed(spark, table) != bucketed:
-        _swap(df, table, folder, bucketed)
-    elif bucketed:
+    held = None
+    if bucketed:
         written = spark.read.schema(df.schema).parquet(folder).select(BUCKET).distinct()
-        kept = {row[0] for row in written.collect()}
-        _point_buckets(spark, table, folder, kept)
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-            bucket = int(row[0].split("=")[1])
-            if bucket not in kept:
-                spark.sql(f"ALTER TABLE {table} DROP PARTITION ({BUCKET} = {bucket})")
-    else:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-    spark.catalog.refreshTable(table)
+        held = {row[0]: folder for row in written.collect()}  # at most one row per bucket
+    _switch(df, table, folder, held, properties or {})
 
 
-def _shape(df: DataFrame) -> list[tuple[str, str]]:
-    """Names and types, in order but for the bucket column, which a catalog table keeps last."""
-    return [(f.name, f.dataType.simpleString()) for f in df.schema if f.name != BUCKET]
+def current(spark: SparkSession, table: str) -> str:
+    """The catalog table that holds the rows: the version a view points at, or the table itself."""
+    if spark.catalog.getTable(table).tableType != "VIEW":
+        return table
+    return _properties(spark, table)["version"]
 
 
-def is_bucketed(spark: SparkSession, table: str) -> bool:
-    return any(c.name == BUCKET and c.isPartition for c in spark.catalog.listColumns(table))
-
+def _switch(df: DataFrame, table: str, folder: str, held: dict[int, str] | None, properties: dict[str, Any]) -> None:
+    """Enter a version of ``table`` with the columns of ``df`` and point the view at it.
 
-def _create(df: DataFrame, table: str, folder: str, bucketed: bool) -> None:
+    ``held`` gives the folder of each bucket where the version has buckets.
+    """
     spark = df.sparkSession
-    layout = f"PARTITIONED BY ({BUCKET}) " if bucketed else ""
+    fresh = f"{table}{_VERSION}{uuid.uuid4().hex[:12]}"
+    _create(df, fresh, folder, held, properties)
+    former = ""
+    if exists(spark, table):
+        former = current(spark, table)
+        if former == table:  # a table from before versions
+            former = f"{table}{_VERSION}first"
+            spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
     spark.sql(
-        f"CREATE TABLE {table} ({df.schema.toDDL()}) USING parquet {layout}LOCATION '{folder}'"
+        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('version' = '{fresh}') AS SELECT * FROM {fresh}"
     )
-    if bucketed:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+    _drop_versions(spark, table, {fresh, former})
+
+
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    database, _, name = table.rpartition(".")
+    inside = f"IN {database} " if database else ""
+    listed = spark.sql(f"SHOW TABLES {inside}LIKE '{name}{_VERSION}*'").collect()
+    return [f"{database}.{row['tableName']}" if database else row["tableName"] for row in listed]
+
 
+def _drop_versions(spark: SparkSession, table: str, kept: set[str]) -> None:
+    """Take versions out of the catalog; their folders stay."""
+    kept = {name.lower() for name in kept}
+    for name in _versions(spark, table):
+        if name.lower() not in kept:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-def _swap(df: DataFrame, table: str, folder: str, bucketed: bool) -> None:
-    """A new catalog entry in place of the old one; the old rows' files stay."""
+
+def _shape(df: DataFrame) -> list[tuple[str, str]]:
+    """Names and types, in order but for the bucket column, which a catalog table keeps last."""
+    return [(f.name, f.dataType.simpleString()) for f in df.schema if f.name != BUCKET]
+
+
+def is_bucketed(spark: SparkSession, table: str) -> bool:
+    return any(c.name == BUCKET and c.isPartition for c in spark.catalog.listColumns(current(spark, table)))
+
+
+def _create(
+    df: DataFrame, table: str, folder: str, held: dict[int, str] | None = None, properties: dict[str, Any] | None = None
+) -> None:
     spark = df.sparkSession
-    fresh, old = (f"{table}_{word}_{uuid.uuid4().hex[:8]}" for word in ("new", "old"))
-    _create(df, fresh, folder, bucketed)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    layout = f"PARTITIONED BY ({BUCKET}) " if held is not None else ""
+    noted = dict(properties or {})
+    for at, place in enumerate(sorted(set((held or {}).values()))):
+        noted[f"folder.{at}"] = place
+        noted[f"buckets.{at}"] = ",".join(str(b) for b in sorted(held) if held[b] == place)
+    listed = ", ".join(f"'{name}' = '{value}'" for name, value in noted.items())
+    extra = f" TBLPROPERTIES ({listed})" if listed else ""
+    spark.sql(f"CREATE TABLE {table} ({df.schema.toDDL()}) USING parquet {layout}LOCATION '{folder}'{extra}")
+    if held:
+        parts = " ".join(
+            f"PARTITION ({BUCKET} = {bucket}) LOCATION '{place}/{BUCKET}={bucket}'" for bucket, place in held.items()
+        )
+        spark.sql(f"ALTER TABLE {table} ADD {parts}")
+
+
+def _held(stored: dict[str, str]) -> dict[int, str]:
+    """The folder of each bucket, from the properties of a version."""
+    return {
+        int(bucket): place
+        for name, place in stored.items()
+        if name.startswith("folder.")
+        for bucket in stored[f"buckets.{name.partition('.')[2]}"].split(",")
+    }
 
 
 def vacuum(spark: SparkSession, table: str, root: str | None = None) -> list[str]:
-    """Delete the folders of earlier versions of a table; the paths that were deleted.
+    """Delete the folders of earlier versions of a table, and their catalog entries; the paths deleted.
 
     No reader may still be using an earlier version.
     """
@@ -102,12 +149,9 @@ def vacuum(spark: SparkSession, table: str, root: str | None = None) -> list[str
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not system.exists(path):
         return []
-    used = set()
-    if is_bucketed(spark, table):
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-            used.add(_location(spark, f"{table} PARTITION ({row[0]})").rpartition("/")[0])
-    else:
-        used.add(_location(spark, table))
+    newest = current(spark, table)
+    _drop_versions(spark, table, {newest})
+    used = set(_held(_properties(spark, newest)).values()) or {_location(spark, newest)}
     names = {place.rstrip("/").rpartition("/")[2] for place in used}
     removed = []
     if not all(system.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")) for name in names):
@@ -122,18 +166,25 @@ def vacuum(spark: SparkSession, table: str, root: str | None = None) -> list[str
 
 def _location(spark: SparkSession, what: str) -> str:
     found = spark.sql(f"DESCRIBE FORMATTED {what}").where("col_name = 'Location'").collect()
-    return found[0]["data_type"]  # of a partition before that of its table
+    return found[0]["data_type"]
 
 
 def replace_buckets(
-    df: DataFrame, table: str, buckets: Sequence[int], root: str | None = None
+    df: DataFrame,
+    table: str,
+    buckets: Sequence[int],
+    root: str | None = None,
+    properties: dict[str, Any] | None = None,
 ) -> None:
-    """Write ``df`` as the whole content of some buckets of ``table``; the others stay untouched.
+    """Write ``df`` as the whole content of some buckets of ``table``; the files of the others stay.
 
-    All rows are written first; then each bucket is pointed at its new folder.
+    All buckets change at once, with the switch to the new version.
     """
-    _point_buckets(df.sparkSession, table, _write(df, table, root, bucketed=True), buckets)
-    df.sparkSession.catalog.refreshTable(table)
+    spark = df.sparkSession
+    held = _held(_properties(spark, current(spark, table)))
+    folder = _write(df, table, root, bucketed=True)
+    held |= {bucket: folder for bucket in buckets}
+    _switch(df, table, folder, held, properties or {})
 
 
 def _write(df: DataFrame, table: str, root: str | None, bucketed: bool) -> str:
@@ -147,13 +198,6 @@ def _write(df: DataFrame, table: str, root: str | None, bucketed: bool) -> str:
     return folder
 
 
-def _point_buckets(spark: SparkSession, table: str, folder: str, buckets: Iterable[int]) -> None:
-    for bucket in buckets:
-        part = f"PARTITION ({BUCKET} = {bucket})"
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {part}")
-        spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{folder}/{BUCKET}={bucket}'")
-
-
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """The bucket a row's key belongs to."""
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
@@ -162,19 +206,19 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
 def create_if_absent(spark: SparkSession, table: str, schema: T.StructType | str) -> None:
     """An empty table of the given columns, unless there is one."""
     if not exists(spark, table):
-        replace_table(spark.createDataFrame([], schema), table)
+        create_like(spark.createDataFrame([], schema), table)
 
 
 def create_like(df: DataFrame, table: str) -> None:
     """An empty table with the columns of ``df``, unless there is one."""
     if not exists(df.sparkSession, table):
-        replace_table(df.where(F.lit(False)), table)
+        _create(df, table, _write(df.where(F.lit(False)), table, None, bucketed=False))
 
 
 def append(df: DataFrame, table: str) -> None:
     """Add rows to an existing table, columns matched by name."""
     columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.insertInto(table)
+    df.select(*columns).write.insertInto(current(df.sparkSession, table))
 
 
 def load_mart(
@@ -215,7 +259,7 @@ def load_mart(
     dated = whole() if dated is None else dated
     spark = dated.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    stored = _properties(spark, table) if exists(spark, table) else {}
+    stored = _properties(spark, current(spark, table)) if exists(spark, table) else {}
     have = int(stored.get("key_buckets", 0))
     want = have if buckets is None else buckets
     incremental = exists(spark, table) and not full_refresh
@@ -239,23 +283,23 @@ def load_mart(
         batch = batch.distinct()
     if incremental and _shape(spark.table(table)) != _shape(batch):
         raise ValueError(f"{table} has other columns: full_refresh is needed")
+    properties = {"keys": ",".join(keys), "key_buckets": want}
+    if mark_from == "target" and newest is not None:
+        properties["loaded_until"] = newest
+    elif "loaded_until" in stored:
+        properties["loaded_until"] = stored["loaded_until"]
     if incremental and want == have and want:
         batch = with_bucket(batch, keys, want)
         # at most ``buckets`` numbers
         touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
         target = spark.table(table).where(F.col(BUCKET).isin(touched))
-        replace_buckets(keyed_replace(target, batch, keys), table, touched, root)
+        replace_buckets(keyed_replace(target, batch, keys), table, touched, root, properties)
     else:
         if incremental:
             batch = keyed_replace(spark.table(table).drop(BUCKET), batch, keys)
         if want:
             batch = with_bucket(batch, keys, want)
-        replace_table(batch, table, root, bucketed=bool(want))
-    properties = {"keys": ",".join(keys), "key_buckets": want}
-    if mark_from == "target" and newest is not None:
-        properties["loaded_until"] = newest
-    listed = ", ".join(f"'{name}' = '{value}'" for name, value in properties.items())
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+        replace_table(batch, table, root, bucketed=bool(want), properties=properties)
 
 
 def _properties(spark: SparkSession, table: str) -> dict[str, str]:

@@ -558,3 +558,85 @@ def test_marts_parse_the_entities_once(spark, filled):
         if name != "stg_pokemons":  # whose catalogue is another payload
             assert "from_json" not in plan
     assert stored._typed is not None
+
+
+class Lost(Exception):
+    pass
+
+
+def faults(spark, monkeypatch, load, check):
+    """Run ``load`` again and again, lost before one more of its catalog statements each time."""
+    sql, at = type(spark).sql, 0
+    while True:
+        left = [at]
+
+        def lost(self, query, *args, **kwargs):
+            if query.split()[0] in ("CREATE", "ALTER", "DROP"):
+                if not left[0]:
+                    raise Lost(query)
+                left[0] -= 1
+            return sql(self, query, *args, **kwargs)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(type(spark), "sql", lost)
+            try:
+                load()
+                return at
+            except Lost:
+                pass
+        check()
+        at += 1
+
+
+def test_a_lost_load_leaves_old_or_new_rows_whole(spark, database, monkeypatch):
+    """Lost between any two statements: buckets never mix, and a layout change never leaves no table."""
+    name = f"{database}.switched"
+    old = [(k, "old") for k in range(60)]
+    tables.load_mart(keyed(spark, *[(1, k, "old") for k in range(60)]), name, "k", ["k", "v"], buckets=8)
+    new = [(2, k, "new") for k in range(0, 60, 2)]
+    expected = [(k, "old" if k % 2 else "new") for k in range(60)]
+    seen = []
+
+    def whole(*versions):
+        found = rows(spark.table(name).select("k", "v"))
+        seen.append(versions.index(found))
+
+    ordered = [sorted(v, key=str) for v in (old, expected)]
+    statements = faults(
+        spark,
+        monkeypatch,
+        lambda: tables.load_mart(keyed(spark, *new), name, "k", ["k", "v"]),
+        lambda: whole(*ordered),
+    )
+    assert statements >= 3 and seen[0] == 0 and seen == sorted(seen)
+    whole(ordered[1])
+    renamed = keyed(spark, (3, 1, "b")).withColumnRenamed("v", "w")
+    states = []
+
+    def either():
+        frame = spark.table(name).drop(tables.BUCKET)
+        states.append((tuple(frame.columns), frame.count()))
+
+    faults(
+        spark,
+        monkeypatch,
+        lambda: tables.load_mart(renamed, name, "k", ["k", "w"], full_refresh=True, buckets=0),
+        either,
+    )
+    assert set(states) <= {(("k", "v"), 60), (("k", "w"), 1)} and states[0] == (("k", "v"), 60)
+    assert rows(spark.table(name)) == [(1, "b")] and not tables.is_bucketed(spark, name)
+
+
+def test_versions_leave_the_catalog(spark, database):
+    """The newest version and the one before stay; frames planned on the latter can still be read."""
+    name = f"{database}.kept"
+    tables.load_mart(keyed(spark, *[(1, k, "a") for k in range(20)]), name, "k", ["k", "v"], buckets=4)
+    planned = spark.table(name).select("k", "v")
+    for day in (2, 3):
+        tables.load_mart(keyed(spark, (day, 1, f"b{day}")), name, "k", ["k", "v"])
+        if day == 2:
+            assert rows(planned) == sorted([(k, "a") for k in range(20)], key=str)
+    assert len(tables._versions(spark, name)) == 2
+    tables.vacuum(spark, name)
+    assert tables._versions(spark, name) == [tables.current(spark, name)]
+    assert spark.table(name).count() == 20 and spark.table(name).where("v = 'b3'").count() == 1
