@@ -2,11 +2,17 @@
 
 Where the payload carries its own id, that id is a column too, so that a landing never parses what
 earlier ones stored.
+
+Raw tables are partitioned by batch. Beside each stands ``<name>_keys``, which holds per batch a bitmap of
+the hashed ids that landed with it. A landing compares its own ids with the bitmaps and reads only the
+batches that may hold one of them; ids that no bitmap has are new for certain. The bitmaps are written
+before the rows, so a job lost in between leaves bits without rows, which cost a look and nothing else.
+Rows that are put into a raw table by other means than ``land`` have to come under batches of their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.functions import as_utc_timestamp, parse, payload_subset, url_tail
@@ -14,6 +20,7 @@ from layerwright.operators.incremental import append_unseen
 from layerwright.operators.latest import latest_per_key
 from layerwright.operators.planning import split_malformed
 from layerwright.operators.unnest import unnest
+from layerwright.session import cut_lineage
 from layerwright.sources import tables
 
 _LANDING = "id bigint, fetch_date timestamp_ntz, batch_id string, payload string"
@@ -99,7 +106,8 @@ def create_raw_tables(spark: SparkSession, database: str) -> None:
     """The database and its raw tables, each created only if absent."""
     tables.create_database(spark, database)
     for name, columns in RAW_TABLES.items():
-        tables.create_if_absent(spark, f"{database}.{name}", columns)
+        parts = "batch_id" if "batch_id" in columns else None
+        tables.create_if_absent(spark, f"{database}.{name}", columns, parts)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
@@ -144,25 +152,90 @@ def land(
     may bring a newer payload of a known id. Of rows that are alike under the guard within one landing
     the newest lands. Unreadable payloads and rows without an id go to ``<name>_quarantine`` with
     everything they came with, each once. Landing the same rows again adds nothing to either table.
+    The landed rows are evaluated once; of the tables only batches that may hold their like are read.
     """
     if guard not in GUARDS:
         raise ValueError(f"unknown guard {guard!r}")
     keys = GUARDS[guard]
     target = f"{database}.{name}"
-    good, bad = prepare(landed, name)
+    good, bad = prepare(cut_lineage(landed), name)
     if "batch_id" in keys:
         good = good.withColumn("batch_id", F.coalesce("batch_id", F.lit("")))
-    good = latest_per_key(good, keys, ["fetch_date", "payload"])
-    good = append_unseen(spark.table(target), good, keys)
+    good = cut_lineage(latest_per_key(good, keys, ["fetch_date", "payload"]))
+    own = good.withColumn("batch_id", _batch())
+    known = held_batches(spark, target, own, only_own="batch_id" in keys)
+    if known is not None:
+        good = cut_lineage(append_unseen(known.withColumn("batch_id", _batch()), own, keys))
     if name == "pokemon_catalogue":
         # before the payloads: once those are in, they no longer count as unseen
         lookup = f"{database}.pokemon_ids"
         found = latest_per_key(id_lookup(good), ["poke_id"], [F.col("poke_gen").asc()])
         tables.append(append_unseen(spark.table(lookup), found, ["poke_id"]), lookup)
+    bitmaps = _bitmaps(good.withColumn("batch_id", _batch()))
+    tables.create_like(bitmaps, f"{target}_keys")
+    tables.append(bitmaps, f"{target}_keys")
     tables.append(good, target)
     quarantine = f"{target}_quarantine"
-    tables.create_like(bad, quarantine)
-    tables.append(_unseen_rows(spark.table(quarantine), bad), quarantine)
+    tables.create_like(bad, quarantine, "batch_id")
+    batches = [row[0] for row in bad.select(_batch().alias("batch_id")).distinct().collect()]
+    tables.append(_unseen_rows(spark.table(quarantine).where(_batch().isin(batches)), bad), quarantine)
+
+
+#: Bits of the bitmaps of a batch, in buckets of 32,768 each; only buckets with a bit are stored.
+KEY_BITS = 1 << 26
+
+
+def _batch() -> Column:
+    """The batch of a row as text; an empty one is read back from its partition as NULL."""
+    return F.coalesce("batch_id", F.lit(""))
+
+
+def _key_bit() -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(KEY_BITS))
+
+
+def _bitmaps(rows: DataFrame) -> DataFrame:
+    """Per batch and bucket the bitmap of the hashed ids."""
+    bit = _key_bit()
+    return rows.groupBy("batch_id", F.bitmap_bucket_number(bit).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
+    )
+
+
+def _has_bit(bits: str, position: str) -> str:
+    """SQL: is the bit at ``position`` set?"""
+    byte = f"cast(conv(hex(substring({bits}, cast({position} div 8 as int) + 1, 1)), 16, 10) as int)"
+    return f"getbit({byte}, cast({position} % 8 as int)) = 1"
+
+
+def held_batches(spark: SparkSession, target: str, rows: DataFrame, only_own: bool = False) -> DataFrame | None:
+    """The part of raw table ``target`` that may hold an id of ``rows``: whole batches; None if there is none.
+
+    With ``only_own`` only the batches that ``rows`` come with can hold their like. Batches without
+    bitmaps always may.
+    """
+    stored = {
+        "" if value == "__HIVE_DEFAULT_PARTITION__" else value
+        for value in (row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {target}").collect())
+    }
+    if not stored:
+        return None
+    batches = stored
+    index = f"{target}_keys"
+    if tables.exists(spark, index):
+        bitmaps = spark.table(index)
+        asked = rows.groupBy(F.bitmap_bucket_number(_key_bit()).alias("bucket")).agg(
+            F.collect_set(F.bitmap_bit_position(_key_bit())).alias("positions")  # at most 32,768
+        )
+        met = bitmaps.join(asked, "bucket").where(F.expr(f"exists(positions, p -> {_has_bit('bits', 'p')})"))
+        marked = {row[0] for row in met.select("batch_id").distinct().collect()}
+        indexed = {row[0] for row in bitmaps.select("batch_id").distinct().collect()}
+        batches = stored & marked | stored - indexed
+    if only_own:
+        batches &= {row[0] for row in rows.select("batch_id").distinct().collect()}
+    if not batches:
+        return None
+    return spark.table(target).where(_batch().isin(sorted(batches)))
 
 
 def _unseen_rows(target: DataFrame, batch: DataFrame) -> DataFrame:

@@ -203,16 +203,21 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
-def create_if_absent(spark: SparkSession, table: str, schema: T.StructType | str) -> None:
-    """An empty table of the given columns, unless there is one."""
+def create_if_absent(
+    spark: SparkSession, table: str, schema: T.StructType | str, parts: str | None = None
+) -> None:
+    """An empty table of the given columns, unless there is one; ``parts`` names a partition column."""
     if not exists(spark, table):
-        create_like(spark.createDataFrame([], schema), table)
+        create_like(spark.createDataFrame([], schema), table, parts)
 
 
-def create_like(df: DataFrame, table: str) -> None:
-    """An empty table with the columns of ``df``, unless there is one."""
-    if not exists(df.sparkSession, table):
-        _create(df, table, _write(df.where(F.lit(False)), table, None, bucketed=False))
+def create_like(df: DataFrame, table: str, parts: str | None = None) -> None:
+    """An empty table with the columns of ``df``, unless there is one; ``parts`` names a partition column."""
+    spark = df.sparkSession
+    if not exists(spark, table):
+        folder = f"{shared_folder(spark).rstrip('/')}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+        layout = f"PARTITIONED BY ({parts}) " if parts else ""
+        spark.sql(f"CREATE TABLE {table} ({df.schema.toDDL()}) USING parquet {layout}LOCATION '{folder}'")
 
 
 def append(df: DataFrame, table: str) -> None:

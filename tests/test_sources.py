@@ -640,3 +640,45 @@ def test_versions_leave_the_catalog(spark, database):
     tables.vacuum(spark, name)
     assert tables._versions(spark, name) == [tables.current(spark, name)]
     assert spark.table(name).count() == 20 and spark.table(name).where("v = 'b3'").count() == 1
+
+
+def test_a_landing_reads_only_batches_that_may_hold_its_ids(spark, database):
+    """Folders of other batches are skipped, and nothing is read where all ids are new."""
+    for at in range(4):
+        docs = [(at * 100 + i, {"name": f"n{i}"}) for i in range(20)]
+        raw.land(spark, database, "pokemons", landed(spark, *docs, batch=f"b{at}"))
+    target = f"{database}.pokemons"
+    assert spark.table(target).count() == 80
+
+    def read(*ids, **options):
+        rows = spark.createDataFrame([(i, "b9") for i in ids], "id long, batch_id string")
+        found = raw.held_batches(spark, target, rows, **options)
+        return found and {f.split("batch_id=")[1].split("/")[0] for f in found.select("id").inputFiles()}
+
+    assert read(5, 310, 9999) == {"b0", "b3"}
+    assert read(7777, 8888) is None
+    assert read(5, only_own=True) is None
+    plan = raw.held_batches(spark, target, spark.createDataFrame([(105, "b9")], "id long, batch_id string"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "coalesce(batch_id" in text
+    raw.land(spark, database, "pokemons", landed(spark, (105, {"name": "x"}), (900, {"name": "y"}), batch="b9"))
+    assert spark.table(target).where("id = 105").count() == 1 and spark.table(target).where("id = 900").count() == 1
+
+
+def test_every_bit_of_a_batch_is_found(spark):
+    rows = spark.range(3000).select(F.col("id") * 7919, F.lit("b").alias("batch_id")).toDF("id", "batch_id")
+    bitmaps = raw._bitmaps(rows)
+    asked = rows.union(rows.selectExpr("id + 1", "batch_id")).withColumn("bit", raw._key_bit())
+    met = asked.select("id", F.bitmap_bucket_number("bit").alias("bucket"), F.bitmap_bit_position("bit").alias("p"))
+    met = met.join(bitmaps, "bucket").where(raw._has_bit("bits", "p"))
+    found = {r.id for r in met.select("id").collect()}
+    every = {i * 7919 for i in range(3000)}
+    assert every <= found and len(found - every) < 5
+
+
+def test_rows_without_a_batch_land_once(spark, database):
+    for _ in range(2):
+        rows = landed(spark, (1, {"name": "a"}), (2, {"name": "b"})).withColumn("batch_id", F.lit(None).cast("string"))
+        raw.land(spark, database, "pokemons", rows, guard="fetch")
+        raw.land(spark, database, "moves", rows)
+    assert spark.table(f"{database}.pokemons").count() == spark.table(f"{database}.moves").count() == 2
