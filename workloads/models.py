@@ -619,6 +619,16 @@ FROM part WHERE p_partkey % 10 = 4
 """
 
 
+@query(_LAND)
+def land_stamped(spark: SparkSession, folder: str) -> DataFrame:
+    """Fetched rows get their time and batch, then land."""
+    database = _database(spark)
+    raw.create_raw_tables(spark, database)
+    fetched = _landed_parts(spark, folder).select("id", "payload")
+    raw.land(spark, database, "pokemons", raw.stamp(fetched, "2024-01-01T00:00:00+00:00", "b1"))
+    return _landed_report(spark, database)
+
+
 @query(_LAND)
 def land_twice(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows landed twice: neither the raw table nor the quarantine grows."""

@@ -691,15 +691,17 @@ def topk(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    """Top orders of one status among those whose customer and nation are known, so joined first."""
+    """Top orders of one status among those whose customer and nation are known; the best ones are joined."""
     orders = table(spark, folder, "orders").where("o_orderstatus = 'P'")
     customer = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    rows = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    rows = rows.join(nation, rows.c_nationkey == nation.n_nationkey)
-    return serving.top_k(rows, 10, "o_totalprice", "o_orderkey").select(
-        "o_orderkey", "c_name", "n_name", "o_totalprice"
-    )
+
+    def known(rows: DataFrame) -> DataFrame:
+        rows = rows.join(customer, rows.o_custkey == customer.c_custkey)
+        rows = rows.join(nation, rows.c_nationkey == nation.n_nationkey)
+        return rows.select("o_orderkey", "c_name", "n_name", "o_totalprice")
+
+    return serving.top_k_joined(orders, 10, "o_totalprice", "o_orderkey", known)
 
 
 @query(
