@@ -3,6 +3,8 @@
 One Aho-Corasick automaton runs over the words of a text and finds notice phrases and identifier tags.
 The expression behind a tag is turned round by a shunting-yard parser and evaluated: an identifier
 stands for itself, ``with`` joins an exception to it, ``and`` asks for both sides, ``or`` offers either.
+A line may hold several tags. An expression ends at the first part that cannot go on, such as the end of a
+comment or the next word of a sentence; of one that breaks off, the longest well-formed start counts.
 
 Results per text: base labels (of three fixed phrases), all labels, and a score from 0 to 1 for how
 sure the finding is: 1 for a well-formed tag expression of known identifiers, 0.9 for a notice phrase,
@@ -18,7 +20,7 @@ further columns are not looked at; an empty table gives no rows; texts are read
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import ahocorasick
@@ -55,7 +57,8 @@ NOTICES = {
 
 #: The tag that announces an expression, by word and as written.
 TAG = "spdx license identifier"
-_TAG = re.compile(r"spdx[^a-z0-9]+license[^a-z0-9]+identifier[\x20\t]*:?[\x20\t]*([^\r\n]*)", re.I | re.A)
+_TAG = re.compile(r"spdx[^a-z0-9]+license[^a-z0-9]+identifier[\x20\t]*:?[\x20\t\"'`]*", re.I | re.A)
+_LINE_END = re.compile(r"[\r\n]")
 
 #: How freely a work may be used, from 0 (not at all) to 1, by the start of an identifier.
 GRADES = {
@@ -167,6 +170,51 @@ def evaluate(expression: str) -> Value:
     return stack.pop()
 
 
+def expressions(text: str) -> Iterator[str]:
+    """What stands behind each tag, up to the next one or the end of the line."""
+    tags = [tag.span() for tag in _TAG.finditer(text)]
+    for at, (_, start) in enumerate(tags):
+        stop = tags[at + 1][0] if at + 1 < len(tags) else len(text)
+        line_end = _LINE_END.search(text, start, stop)
+        yield text[start : line_end.start() if line_end else stop]
+
+
+def longest_start(expression: str) -> tuple[list[str], bool]:
+    """The parts of the longest well-formed start, and whether the expression ends with it.
+
+    Reading stops at the first part that cannot go on. Where that is a word, a sentence follows, and
+    operands at the end that are bare words and name no known licence belong to it.
+    """
+    parts: list[str] = []
+    depth, operand_next, best, known = 0, True, 0, 0
+    all_known, prose = True, False
+    for found in _PART.finditer(expression):
+        part = found[0].lower()
+        closed = part.rstrip(".")
+        if part == "(" and operand_next:
+            depth += 1
+        elif part == ")" and not operand_next and depth:
+            depth -= 1
+        elif part in _BINDING and not operand_next:
+            operand_next = True
+        elif part not in _BINDING and operand_next and _IDENTIFIER.match(closed):
+            operand_next = False
+            exception = bool(parts) and parts[-1] == "with"
+            all_known = all_known and (exception or not closed.isalpha() or grade_of(closed) is not None)
+        else:
+            prose = not operand_next and part.isalpha()
+            break
+        parts.append(closed or part)
+        if not operand_next and not depth:
+            best = len(parts)
+            known = best if all_known else known
+        if closed != part:  # a full stop
+            break
+    if prose and known:
+        return parts[:known], True
+    return parts[:best], bool(best) and best == len(parts)
+
+
 def _automaton() -> ahocorasick.Automaton:
     automaton = ahocorasick.Automaton()
     phrases = {**{p: ("notice", v) for p, v in NOTICES.items()}, TAG: ("tag", "")}
@@ -196,15 +244,16 @@ class Scanner:
             labels.add(label)
             scores.append(0.9)
             grades.append(grade_of(label))
-        for expression in _TAG.findall(text) if tagged else ():
+        for expression in expressions(text) if tagged else ():
+            parts, whole = longest_start(expression)
             try:
-                value = evaluate(_trimmed(expression))
+                value = evaluate(" ".join(parts))
             except ValueError:
                 scores.append(0.4)
                 continue
             labels.update(value.labels)
             grades.append(value.grade)
-            scores.append(1.0 if value.known else 0.6)
+            scores.append((1.0 if value.known else 0.6) if whole else 0.4)
         places = [line.count(" ", 0, start) - 1 for start in (min(starts), max(starts))] if starts else [None] * 2
         known = [g for g in grades if g is not None]
         return {
@@ -219,11 +268,6 @@ class Scanner:
         }
 
 
-def _trimmed(expression: str) -> str:
-    """Without what closes a comment or a sentence behind an expression."""
-    return re.sub(r"(\*/|-->|\"|'|,|;|\.\s*$|\.\s.*$).*", "", expression).strip()
-
-
 COLUMNS = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
     "score double, openness double"

@@ -473,3 +473,28 @@ def test_token_rows(make_docs, odd_rows, both):
 def test_missing_bytes_are_refused():
     with pytest.raises(ValueError):
         bpe.Tokenizer({b"a": 0}, r".+")
+
+
+@pytest.mark.parametrize(
+    ("text", "labels", "score"),
+    [
+        ("SPDX-License-Identifier: MIT # note", "mit", 1.0),
+        ("SPDX-License-Identifier: Apache-2.0 Copyright 2020", "apache-2.0", 1.0),
+        ("x SPDX-License-Identifier: MIT and more text here", "mit", 1.0),
+        ("<!-- SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 --> x",
+         "gpl-2.0-only-with-classpath-exception-2.0", 1.0),
+        ("SPDX-License-Identifier: MIT SPDX-License-Identifier: (ISC OR Zlib) see file", "isc,mit,zlib", 1.0),
+        ("SPDX-License-Identifier: MIT AND LicenseRef-own\nnext", "licenseref-own,mit", 0.6),
+        ("SPDX-License-Identifier: MIT AND foo", "foo,mit", 0.6),
+        ("SPDX-License-Identifier: 'MIT'. Then", "mit", 1.0),
+        ("SPDX-License-Identifier: MIT. Or not", "mit", 1.0),
+        ("SPDX-License-Identifier: MIT OR", "mit", 0.4),
+        ("SPDX-License-Identifier: (MIT OR ISC", "", 0.4),
+        ("SPDX-License-Identifier: )", "", 0.4),
+        ("SPDX-License-Identifier:", "", 0.4),
+    ],
+)
+def test_tags_with_text_behind_them(text, labels, score):
+    found = licenses.Scanner()(text)
+    assert (found["labels"], found["score"]) == (labels, score)
+    assert licenses.Scanner()(f"{text}\n{text}")["labels"] == labels
