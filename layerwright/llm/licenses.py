@@ -191,7 +191,7 @@ def longest_start(expression: str) -> tuple[list[str], bool]:
     for found in _PART.finditer(expression):
         part = found[0].lower()
         closed = part.rstrip(".")
-        if part == "(" and operand_next:
+        if part == "(" and operand_next and parts[-1:] != ["with"]:
             depth += 1
         elif part == ")" and not operand_next and depth:
             depth -= 1
