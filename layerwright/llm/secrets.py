@@ -3,7 +3,8 @@
 The fixed shapes are assignments to a sensitive name, access keys, and long hexadecimal runs. Beyond
 them, each long mixed run of letters, digits and symbols in a sensitive context is compressed with a
 zstandard dictionary made of identifiers and of the text around it. What it adds to the compressed
-size, against its length, is its novelty: names and repeated strings compress away, keys do not.
+size, against its length, is its novelty: names and repetitive strings compress away, keys do not.
+Other copies of the run are left out of the text around it, so that a secret given twice is found twice.
 
 Defined cases: a null text is an empty one, without spans; ids of any type are handed on, null or
 repeated ones too; further columns are not looked at; an empty table gives no rows; texts are read
@@ -54,6 +55,8 @@ CONTEXT = 64
 PRIMING = 512
 #: Compressed bytes a value must add, per character, as a share of what a random one adds (1 at most).
 NOVELTY = 0.7
+#: A name of words, each with a short number behind it at most.
+_NAME = re.compile(r"(?:[A-Za-z]{3,}\d{0,4}[_-]?)+")
 #: Share of the bits of a random letter below which a run without digits is words; smoothing of its pairs.
 PROSE = 1.0
 _SMOOTHING = 5
@@ -146,6 +149,12 @@ class Novelty:
         self.names = (" ".join(identifiers) + " " + COMMON_NAMES).encode()
         self.level = level
         self.random: dict[tuple[str, int], float] = {}
+        words = f"{self.names.decode()} {COMMON_WORDS}"
+        # single characters and pairs of the words, as they stand and in lower case
+        self.words = {
+            lower: (given, Counter(given), Counter(zip(given, given[1:])))
+            for lower, given in ((False, words), (True, words.lower()))
+        }
 
     def __call__(self, run: str, before: str, after: str) -> float:
         primed = zstandard.ZstdCompressionDict(
@@ -170,24 +179,35 @@ class Novelty:
         return self.random[key]
 
     def like_prose(self, run: str, before: str, after: str) -> bool:
-        """Whether a run without digits has the letter pairs of words.
+        """Whether a run has the letter pairs of words.
 
         Too short for zstandard to code its literals, a word adds as much there as a key. It is coded
         here by its pairs, with those of the dictionary and the text around; a random one then takes
         at least the bits of a letter of its alphabet.
         """
-        primed = f"{self.names.decode()} {COMMON_WORDS} {after} {before}"
-        if run[1:] in (run[1:].lower(), run[1:].upper()):
-            run, primed = run.lower(), primed.lower()
+        around = f" {after} {before}"
+        lower = run[1:] in (run[1:].lower(), run[1:].upper())
+        if lower:
+            run, around = run.lower(), around.lower()
+        words, word_letters, word_pairs = self.words[lower]
         alphabet = next(a for a in _ALPHABETS if set(run) <= set(a))
-        letters, pairs = Counter(primed), Counter(zip(primed, primed[1:]))
-        total = len(primed) + len(alphabet) / 2
+        letters, pairs = Counter(around), Counter(zip(words[-1] + around, around))
+        total = len(words) + len(around) + len(alphabet) / 2
         bits = 0.0
         for a, b in zip(" " + run, run):
-            alone = (letters[b] + 0.5) / total
-            bits -= math.log2((pairs[a, b] + _SMOOTHING * alone) / (letters[a] + _SMOOTHING))
+            alone = (word_letters[b] + letters[b] + 0.5) / total
+            both = word_pairs[a, b] + pairs[a, b]
+            bits -= math.log2((both + _SMOOTHING * alone) / (word_letters[a] + letters[a] + _SMOOTHING))
         return bits < PROSE * math.log2(len(alphabet)) * len(run)
 
+    def is_name(self, run: str, before: str, after: str) -> bool:
+        """Whether a run is made of words: one without digits, or words with short numbers behind them."""
+        if not any(map(str.isdigit, run)):
+            return self.like_prose(run, before, after)
+        if not _NAME.fullmatch(run):
+            return False
+        return self.like_prose(re.sub(r"\d+", "", run), before, after)
+
 
 def _values(text: str) -> Iterator[tuple[int, int]]:
     """Start and end of each run, or of its parts between a name, ``=`` and a value; padding stays."""
@@ -206,7 +226,7 @@ def _values(text: str) -> Iterator[tuple[int, int]]:
 def novel_spans(
     text: str, base: list[tuple[int, int, str]], novelty: Novelty, least: float = NOVELTY
 ) -> list[tuple[int, int, str]]:
-    """Values outside the base spans that stand in a sensitive context and do not compress.
+    """Values outside the base spans (by start) that stand in a sensitive context and do not compress.
 
     The context reaches ``CONTEXT`` characters to either side, on through values with only blanks,
     quotes and the like between them, and over a whole block of a private key.
@@ -214,6 +234,7 @@ def novel_spans(
     found = []
     blocks = [block.span() for block in _BLOCK.finditer(text)]
     at, last, sensitive = 0, 0, False
+    passed, covered = 0, 0  # base spans that start before the end of the value, and how far they reach
     for start, end in _values(text):
         while at < len(blocks) and blocks[at][1] <= start:
             at += 1
@@ -224,12 +245,18 @@ def novel_spans(
             or _SENSITIVE.search(text, end, end + CONTEXT) is not None
         )
         last = end
-        if not sensitive or any(s < end and start < e for s, e, _ in base):
+        while passed < len(base) and base[passed][0] < end:
+            covered = max(covered, base[passed][1])
+            passed += 1
+        if not sensitive or start < covered:
             continue
         run = text[start:end]
-        before, after = text[max(0, start - PRIMING) : start], text[end : end + PRIMING]
-        if novelty(run, before, after) >= least * min(1.0, novelty.of_random(run)) and (
-            any(map(str.isdigit, run)) or not novelty.like_prose(run, before, after)
+        reach = PRIMING + len(run)  # a copy that reaches into the text around lies whole within
+        blank = " " * len(run)
+        before = text[max(0, start - reach) : start].replace(run, blank)[-PRIMING:]
+        after = text[end : end + reach].replace(run, blank)[:PRIMING]
+        if novelty(run, before, after) >= least * min(1.0, novelty.of_random(run)) and not novelty.is_name(
+            run, before, after
         ):
             found.append((start, end, "novel"))
     return found
@@ -263,18 +290,21 @@ def scan(
 
 
 def digest_spans(scanned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Per document the counts by kind, the digest of the base spans, and all spans as text."""
+    """Per document the counts by kind, the digest of the base spans, and all spans as text; last the novel ones."""
     written = "concat_ws(':', s.kind, s.start, s.end)"
+    counted = {
+        kind: F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}")
+        for kind in KINDS
+    }
+    novel = counted.pop("novel")
     return scanned.select(
         doc_id,
-        *[
-            F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}")
-            for kind in KINDS
-        ],
+        *counted.values(),
         F.expr(
             f"sha2(concat_ws(',', transform(filter(spans, s -> s.kind <> 'novel'), s -> {written})), 256)"
         ).alias("base_sha256"),
         F.expr(f"concat_ws(',', transform(spans, s -> {written}))").alias("spans"),
+        novel,
     )
 
 

@@ -2,6 +2,7 @@
 
 import random
 import string
+import time
 
 import pytest
 
@@ -64,3 +65,45 @@ def test_random_letters(alphabet):
 def test_words_are_no_secrets():
     text = "the token and credential of the misunderstandings in internationalization or auth"
     assert novel(text) == []
+
+
+@pytest.mark.parametrize("between", ["\n", " and " * 20, " plain words " * 30])
+@pytest.mark.parametrize("size", [24, 64, 600])
+def test_copies_do_not_hide_each_other(between, size):
+    value = key(size, 7)
+    line = f"our credential {value} here"
+    assert novel(between.join([line] * 3)) == [value] * 3
+
+
+def test_names_with_numbers_are_no_secrets():
+    assert novel("token user_account_identifier_value2024") == []
+    assert novel("the credential customerAccountNumber12 is none") == []
+    assert novel("token user_account_identifier_value2024 " * 3) == []
+
+
+def test_values_and_base_spans_meet_as_by_comparing_all():
+    rng = random.Random(5)
+    for _ in range(40):
+        pieces = [
+            rng.choice(['token = "{}"', "credential {}", "AKIA{}", "secret:{} auth"]).format(
+                key(rng.choice([8, 16, 30]), rng.random(), rng.choice(["0123456789abcdef", string.ascii_letters + string.digits, "ABCDEF0123"]))
+            )
+            for _ in range(12)
+        ]
+        text = rng.choice([" ", "\n", ";"]).join(pieces)
+        base = secrets.base_spans(text)
+        found = secrets.novel_spans(text, base, secrets.Novelty([]))
+        alone = secrets.novel_spans(text, [], secrets.Novelty([]))
+        assert found == [(s, e, k) for s, e, k in alone if not any(b < e and s < f for b, f, _ in base)]
+
+
+def test_many_assignments_in_one_text():
+    text = "\n".join(f"password = {key(16, i)}" for i in range(20_000))
+    start = time.perf_counter()
+    assert novel(text) == []
+    assert time.perf_counter() - start < 10
+
+
+def test_columns_of_the_query_come_first(make_docs):
+    found = secrets.digest_spans(secrets.scan(make_docs([(1, "x", "en")])))
+    assert found.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel"]
