@@ -12,6 +12,8 @@ Rows that are put into a raw table by other means than ``land`` have to come und
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -208,16 +210,26 @@ def _has_bit(bits: str, position: str) -> str:
     return f"getbit({byte}, cast({position} % 8 as int)) = 1"
 
 
+def partitions(spark: SparkSession, table: str) -> list[tuple[str | None, ...]]:
+    """The values of each partition in the catalog, in the order of the partition columns."""
+    return [
+        tuple(_partition_value(part.partition("=")[2]) for part in row[0].split("/"))
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
+    ]
+
+
+def _partition_value(written: str) -> str | None:
+    """A value as it was before the catalog made it fit for a path; colons, for one, are escaped there."""
+    return None if written == "__HIVE_DEFAULT_PARTITION__" else unquote(written)
+
+
 def held_batches(spark: SparkSession, target: str, rows: DataFrame, only_own: bool = False) -> DataFrame | None:
     """The part of raw table ``target`` that may hold an id of ``rows``: whole batches; None if there is none.
 
     With ``only_own`` only the batches that ``rows`` come with can hold their like. Batches without
     bitmaps always may.
     """
-    stored = {
-        "" if value == "__HIVE_DEFAULT_PARTITION__" else value
-        for value in (row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {target}").collect())
-    }
+    stored = {"" if batch is None else batch for (batch,) in partitions(spark, target)}
     if not stored:
         return None
     batches = stored

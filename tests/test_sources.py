@@ -682,3 +682,11 @@ def test_rows_without_a_batch_land_once(spark, database):
         raw.land(spark, database, "pokemons", rows, guard="fetch")
         raw.land(spark, database, "moves", rows)
     assert spark.table(f"{database}.pokemons").count() == spark.table(f"{database}.moves").count() == 2
+
+
+@pytest.mark.parametrize("batch", ["manual__2024-01-01T00:00:00+00:00", "a/b=c %41 'd'", "__x", "é #"])
+def test_batch_ids_of_any_characters_land_once(spark, database, batch):
+    given = landed(spark, (1, {"name": "a"}), (2, {"name": "b"}), batch=batch)
+    for guard in ("id", "fetch", "fetch"):
+        raw.land(spark, database, "pokemons", given, guard=guard)
+    assert rows(spark.table(f"{database}.pokemons").select("id", "batch_id")) == [(1, batch), (2, batch)]
