@@ -8,12 +8,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from layerwright.functions import tier, total
-from layerwright.operators.incremental import since
+from layerwright.operators.incremental import high_water_mark, since
 from layerwright.operators.ordered import rank_table
 from layerwright.plans import intermediate as inter
 from layerwright.plans import staging as stg
 from layerwright.session import cut_lineage
 from layerwright.sources import tables
+from layerwright.sources.raw import Landed
 
 TOTAL = "total_stat_points"
 STATS = tuple(inter.STAT_COLUMNS.values())
@@ -104,14 +105,15 @@ MARTS = {
 class Views:
     """The staging and intermediate views over a set of raw tables, each built when asked for.
 
-    ``raw`` maps raw table names to DataFrames. Entities and moves are cut to their newest fetch
+    ``raw`` maps raw table names to DataFrames; ``sources.raw.Landed`` does so for the tables of a database
+    and lets incremental loads take their mark and their batches from the catalog. Entities and moves are cut to their newest fetch
     unless ``all_fetches`` is set. With ``stored`` the entity payloads are parsed once, for all views,
     and the typed rows are written to the shared folder.
     """
 
     def __init__(
         self,
-        raw: dict[str, DataFrame],
+        raw: dict[str, DataFrame] | Landed,
         all_fetches: bool = False,
         history_rule: str = "documented",
         stored: bool = False,
@@ -134,9 +136,19 @@ class Views:
         The newest row of an id among those is its newest row of all, so each view gives the rows that
         it would give for those ids over the whole table, and the filter reaches the scan.
         """
-        raw = _Replaced(self._raw, table, since(self._raw[table], "fetch_date", mark))
+        if isinstance(self._raw, Landed):
+            rows = self._raw.since(table, mark)
+        else:
+            rows = since(self._raw[table], "fetch_date", mark)
+        raw = _Replaced(self._raw, table, rows)
         return Views(raw, self._all_fetches, self._history_rule, stored=True)
 
+    def newest(self, table: str) -> Any:
+        """The newest fetch time of a raw table, from the catalog where that keeps it."""
+        if isinstance(self._raw, Landed):
+            return self._raw.newest(table)
+        return high_water_mark(self._raw[table].select("fetch_date"), "fetch_date")
+
     def raw(self, table: str) -> DataFrame:
         return self._raw[table]
 
@@ -277,9 +289,10 @@ def load_marts(
     """Load the named marts (all by default) into ``database``, then the ranked ones.
 
     ``buckets`` lays the marts out by key, so that a load rewrites only what its batch touches. Marks
-    come from the fetch times of the raw tables, and a later load reads only raw rows at or after them.
-    Entity payloads are parsed once for all marts. The ranks over the whole marts are stored as well;
-    the starters' cover all starters of the marts, not only those of the newest batch.
+    come from the fetch times of the raw tables, or from the catalog where the views are over ``Landed``,
+    and a later load reads only raw rows at or after them. Entity payloads are parsed once for all marts.
+    The ranks over the whole marts are stored as well; the starters' cover all starters of the marts,
+    not only those of the newest batch.
     """
     wanted = list(MARTS) if names is None else names
     spark = views.raw(MARTS[wanted[0]].landed_in).sparkSession
@@ -306,6 +319,7 @@ def load_marts(
             buckets=buckets,
             dated=views.raw(spec.landed_in).select("fetch_date"),
             rows_since=rows_since,
+            newest_time=lambda spec=spec: views.newest(spec.landed_in),
         )
     if {"mart_pokemons", "mart_stats"} & set(wanted) and all(
         tables.exists(spark, f"{database}.{name}") for name in ("mart_pokemons", "mart_stats")

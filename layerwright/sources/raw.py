@@ -7,18 +7,28 @@ Raw tables are partitioned by batch. Beside each stands ``<name>_keys``, which h
 the hashed ids that landed with it. A landing compares its own ids with the bitmaps and reads only the
 batches that may hold one of them; ids that no bitmap has are new for certain. The bitmaps are written
 before the rows, so a job lost in between leaves bits without rows, which cost a look and nothing else.
+
+``<name>_spans`` holds no rows, only partitions in the catalog: for each landing and batch the earliest and
+the latest fetch time. A span is entered as begun before the rows and as done after them. ``Landed`` answers
+from these entries which fetch is the newest and which batches hold rows since some time; of batches with a
+landing that was lost in between, or without a span, it reads the fetch times instead.
+
 Rows that are put into a raw table by other means than ``land`` have to come under batches of their own.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
+from datetime import datetime
+from typing import Any, NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerwright.functions import as_utc_timestamp, parse, payload_subset, url_tail
-from layerwright.operators.incremental import append_unseen
+from layerwright.operators.incremental import append_unseen, high_water_mark, since
 from layerwright.operators.latest import latest_per_key
 from layerwright.operators.planning import split_malformed
 from layerwright.operators.unnest import unnest
@@ -176,7 +186,11 @@ def land(
     bitmaps = _bitmaps(good.withColumn("batch_id", _batch()))
     tables.create_like(bitmaps, f"{target}_keys")
     tables.append(bitmaps, f"{target}_keys")
+    spans = _own_spans(good)
+    _enter(spark, target, spans, "begun")
     tables.append(good, target)
+    _enter(spark, target, spans, "done")
+    _forget(spark, target, spans)
     quarantine = f"{target}_quarantine"
     tables.create_like(bad, quarantine, "batch_id")
     batches = [row[0] for row in bad.select(_batch().alias("batch_id")).distinct().collect()]
@@ -210,6 +224,97 @@ def _has_bit(bits: str, position: str) -> str:
     return f"getbit({byte}, cast({position} % 8 as int)) = 1"
 
 
+class Span(NamedTuple):
+    """The fetch times a landing brought to a batch, None where no row had one."""
+
+    landing: str
+    batch: str
+    first: datetime | None
+    last: datetime | None
+
+
+_SPANS = "state string, landing string, batch string, first string, last string"
+#: Stands before each value of a span, so that an empty one is told apart from a missing one.
+_MARK = "="
+
+
+def _own_spans(good: DataFrame) -> list[Span]:
+    """One span for each batch of a landing."""
+    landing = uuid.uuid4().hex
+    found = good.groupBy(_batch().alias("batch")).agg(F.min("fetch_date"), F.max("fetch_date"))
+    return [Span(landing, *row) for row in found.collect()]  # batches of one landing
+
+
+def _entries(state: str, spans: Iterable[Span]) -> list[str]:
+    def quoted(value: Any) -> str:
+        text = "" if value is None else value.isoformat() if isinstance(value, datetime) else value
+        text = text.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{_MARK}{text}'"
+
+    names = ("state", *Span._fields)
+    listed = [", ".join(f"{n} = {quoted(v)}" for n, v in zip(names, (state, *span))) for span in spans]
+    return [f"PARTITION ({entry})" for entry in listed]
+
+
+def _enter(spark: SparkSession, target: str, spans: list[Span], state: str) -> None:
+    parts = ", ".join(part.split()[0] for part in _SPANS.split(", "))
+    tables.create_if_absent(spark, f"{target}_spans", f"none boolean, {_SPANS}", parts)
+    if spans:
+        spark.sql(f"ALTER TABLE {target}_spans ADD IF NOT EXISTS {' '.join(_entries(state, spans))}")
+
+
+def _forget(spark: SparkSession, target: str, spans: list[Span]) -> None:
+    """Take out the spans entered as begun; they are done."""
+    if spans:
+        spark.sql(f"ALTER TABLE {target}_spans DROP IF EXISTS {', '.join(_entries('begun', spans))}")
+
+
+class Landed:
+    """The raw tables of a database by name, with what the catalog knows of their fetch times."""
+
+    def __init__(self, spark: SparkSession, database: str):
+        self._spark, self._database = spark, database
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._spark.table(f"{self._database}.{name}")
+
+    def _spans(self, name: str) -> tuple[dict[str, list[Span]], set[str]]:
+        """The spans of each stored batch, and the batches whose spans may be wrong or are missing."""
+        target = f"{self._database}.{name}"
+        stored = {"" if batch is None else batch for (batch,) in partitions(self._spark, target)}
+        entered: dict[str, list[Span]] = {batch: [] for batch in stored}
+        begun, done = set(), set()
+        index = f"{target}_spans"
+        for part in partitions(self._spark, index) if tables.exists(self._spark, index) else ():
+            state, landing, batch, *times = (value.removeprefix(_MARK) for value in part)
+            if batch in stored:
+                first, last = (datetime.fromisoformat(time) if time else None for time in times)
+                entered[batch].append(Span(landing, batch, first, last))
+                (done if state == "done" else begun).add((landing, batch))
+        unsure = {batch for _, batch in begun - done} | {b for b, spans in entered.items() if not spans}
+        return entered, unsure
+
+    def _in(self, name: str, batches: Iterable[str]) -> DataFrame:
+        chosen = sorted(batches)
+        return self[name].where(_batch().isin(chosen) if chosen else F.lit(False))
+
+    def newest(self, name: str) -> datetime | None:
+        """The newest fetch time of a raw table; rows are read only of batches that may have another one."""
+        entered, unsure = self._spans(name)
+        times = [s.last for batch, spans in entered.items() if batch not in unsure for s in spans]
+        if unsure:
+            times.append(high_water_mark(self._in(name, unsure), "fetch_date"))
+        return max((time for time in times if time is not None), default=None)
+
+    def since(self, name: str, mark: Any) -> DataFrame:
+        """Rows at or after the mark; batches that ended before it are not read."""
+        if mark is None:
+            return self[name]
+        entered, unsure = self._spans(name)
+        late = {batch for batch, spans in entered.items() if any(s.last and s.last >= mark for s in spans)}
+        return since(self._in(name, late | unsure), "fetch_date", mark)
+
+
 def partitions(spark: SparkSession, table: str) -> list[tuple[str | None, ...]]:
     """The values of each partition in the catalog, in the order of the partition columns."""
     return [

@@ -239,6 +239,7 @@ def load_mart(
     buckets: int | None = None,
     dated: DataFrame | None = None,
     rows_since: Callable[[Any], DataFrame] | None = None,
+    newest_time: Callable[[], Any] | None = None,
 ) -> None:
     """Bring a mart up to date from its source model.
 
@@ -251,7 +252,7 @@ def load_mart(
     ``dated`` is a narrower frame with the same newest time, from which the mark is read instead of
     from the source; ``rows_since`` gives the source rows at or after a mark where filtering the
     source would not reach its scan. With both of them ``source`` may be a function, which is called
-    only where all rows are needed.
+    only where all rows are needed. ``newest_time`` gives the mark where it is known without a pass.
 
     With ``buckets`` the table is laid out by a hash of the key (column ``key_bucket``), and a later
     load reads and rewrites only the buckets its batch touches. None keeps the layout the table has, 0
@@ -271,7 +272,7 @@ def load_mart(
     # the mark costs a pass, so it is only taken where it is used
     newest = None
     if incremental or mark_from == "target":
-        newest = high_water_mark(dated, loaded_at)
+        newest = high_water_mark(dated, loaded_at) if newest_time is None else newest_time()
 
     if incremental:
         if stored.get("keys", ",".join(keys)) != ",".join(keys):

@@ -690,3 +690,94 @@ def test_batch_ids_of_any_characters_land_once(spark, database, batch):
     for guard in ("id", "fetch", "fetch"):
         raw.land(spark, database, "pokemons", given, guard=guard)
     assert rows(spark.table(f"{database}.pokemons").select("id", "batch_id")) == [(1, batch), (2, batch)]
+
+
+def landings(spark, database, days, guard="fetch"):
+    for day, ids in days:
+        docs = [(i, entity(f"n{i}-{day}", i + day, ["grass"], FULL)) for i in ids]
+        raw.land(
+            spark, database, "pokemons",
+            landed(spark, *docs, date=f"2024-01-{day:02}T10:00:00+00:00", batch=f"run {day}: 'x'"), guard=guard,
+        )
+
+
+def test_mark_and_batch_come_from_the_catalog(spark, database, monkeypatch):
+    landings(spark, database, [(1, range(5)), (2, range(3, 8)), (3, range(2))])
+    found = raw.Landed(spark, database)
+    whole = spark.table(f"{database}.pokemons")
+    with monkeypatch.context() as patch:
+        patch.setattr(raw.Landed, "__getitem__", lambda *_: pytest.fail("the mark reads the table"))
+        assert found.newest("pokemons") == datetime(2024, 1, 3, 10)
+        assert found.newest("moves") is None
+    for mark, n_batches in ((datetime(2024, 1, 3, 10), 1), (datetime(2024, 1, 2), 2), (datetime(2025, 1, 1), 0)):
+        some = found.since("pokemons", mark)
+        assert rows(some) == rows(whole.where(F.col("fetch_date") >= F.lit(mark.isoformat()).cast("timestamp_ntz")))
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert ("PartitionFilters: [" in plan and "coalesce(batch_id" in plan) == bool(n_batches)
+        read = {row[0] for row in some.select("_metadata.file_path").distinct().collect()} if n_batches else set()
+        assert len({path.rsplit("/", 1)[0] for path in read}) == n_batches
+    assert found.since("pokemons", None).count() == 12
+    # no row, no file: only entries
+    assert spark.table(f"{database}.pokemons_spans").inputFiles() == []
+    assert len(raw.partitions(spark, f"{database}.pokemons_spans")) == 3
+
+
+@pytest.mark.parametrize("lost", ["begun", "rows", "done", "forget"])
+def test_a_lost_landing_leaves_a_true_mark(spark, database, monkeypatch, lost):
+    landings(spark, database, [(1, range(4))])
+    found = raw.Landed(spark, database)
+
+    class Lost(Exception):
+        pass
+
+    def failing(function, when):
+        def call(*args):
+            if when(*args):
+                raise Lost
+            return function(*args)
+
+        return call
+
+    with monkeypatch.context() as patch:
+        if lost == "rows":
+            patch.setattr(raw.tables, "append", failing(raw.tables.append, lambda _, t: t.endswith(".pokemons")))
+        elif lost == "forget":
+            patch.setattr(raw, "_forget", failing(raw._forget, lambda *_: True))
+        else:
+            patch.setattr(raw, "_enter", failing(raw._enter, lambda *a: a[3] == lost))
+        with pytest.raises(Lost):
+            landings(spark, database, [(2, range(2, 6))])
+
+    def agrees():
+        spark.catalog.refreshTable(f"{database}.pokemons")
+        whole = spark.table(f"{database}.pokemons")
+        assert found.newest("pokemons") == whole.agg(F.max("fetch_date")).first()[0]
+        for day in (1, 2, 3):
+            mark = datetime(2024, 1, day, 9)
+            late = whole.where(F.col("fetch_date") >= F.lit(mark.isoformat()).cast("timestamp_ntz"))
+            assert rows(found.since("pokemons", mark)) == rows(late)
+
+    agrees()
+    landings(spark, database, [(2, range(2, 6))])
+    agrees()
+    assert found.newest("pokemons") == datetime(2024, 1, 2, 10)
+
+
+def test_marts_over_landed_tables_equal_a_rebuild(spark, database):
+    options = {"names": ["mart_stats", "mart_types"], "mark_from": "target"}
+    target = f"{database}_marts"
+    landings(spark, database, [(1, range(5))])
+    m.load_marts(m.Views(raw.Landed(spark, database)), target, **options)
+    landings(spark, database, [(2, range(3, 8)), (3, range(2))])
+    # rows from elsewhere, under a batch of their own and without a span
+    other = spark.table(f"{database}.pokemons").where("id = 7")
+    tables.append(
+        other.selectExpr("20 AS id", "TIMESTAMP_NTZ '2024-01-04 00:00:00' AS fetch_date", "'own' AS batch_id", "payload"),
+        f"{database}.pokemons",
+    )
+    spark.catalog.refreshTable(f"{database}.pokemons")
+    again = m.Views(raw.Landed(spark, database))
+    assert again.newest("pokemons") == datetime(2024, 1, 4)
+    m.load_marts(again, target, **options)
+    for name in options["names"]:
+        assert rows(spark.table(f"{target}.{name}")) == rows(m.mart(again, name))

@@ -14,6 +14,7 @@ from layerwright.plans import staging as stg
 from layerwright.session import cut_lineage, fresh_path
 from layerwright.sources import raw
 from layerwright.sources import tables
+from layerwright.streaming.landing import follow_landing
 from workloads import landing
 from workloads.registry import query, table
 
@@ -486,6 +487,60 @@ def incremental_marts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _fetched(spark: SparkSession, folder: str, when: str) -> DataFrame:
+    """The entities fetched at one time, as they come before they are landed."""
+    rows = landing.entities(spark, folder).where(f"fetch_date = TIMESTAMP_NTZ '{when}'")
+    return rows.withColumn("fetch_date", F.lit(when.replace(" ", "T") + "+00:00"))
+
+
+@query(
+    sql(
+        """
+        SELECT 'stats' AS mart, poke_id, CAST(total_stat_points AS BIGINT) AS value FROM stats
+        UNION ALL SELECT 'types', poke_id, CAST(slot AS BIGINT) FROM types
+        UNION ALL SELECT 'moves', poke_id, CAST(move_id AS BIGINT) FROM learned
+        """
+    )
+)
+def marts_after_landings(spark: SparkSession, folder: str) -> DataFrame:
+    """Two fetches landed and loaded one after the other; the catalog names the second mark and its batches."""
+    database = _database(spark)
+    raw.create_raw_tables(spark, database)
+    for when in (landing.FIRST, landing.SECOND):
+        raw.land(spark, database, "pokemons", _fetched(spark, folder, when), guard="fetch")
+        views = m.Views(raw.Landed(spark, database))
+        m.load_marts(views, database, names=["mart_stats", "mart_types", "mart_pokemon_moves"])
+
+    def cells(mart: str, value: str) -> DataFrame:
+        rows = spark.table(f"{database}.mart_{mart}")
+        return rows.select(F.lit(mart.rsplit("_")[-1]).alias("mart"), "poke_id", F.col(value).cast("bigint").alias("value"))
+
+    return (
+        cells("stats", "total_stat_points")
+        .unionByName(cells("types", "slot"))
+        .unionByName(cells("pokemon_moves", "move_id"))
+    )
+
+
+@query(sql(f"SELECT {MART_STATS} FROM stats"))
+def refresh_after_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed files are taken up as they arrive, and each batch brings the mart up to date."""
+    database = _database(spark)
+    raw.create_raw_tables(spark, database)
+    files, progress = fresh_path(spark, "landed"), fresh_path(spark, "progress")
+
+    def refresh() -> None:
+        views = m.Views(raw.Landed(spark, database))
+        m.load_marts(views, database, names=["mart_stats"], mark_from="target")
+
+    for when in (landing.FIRST, landing.SECOND):
+        _fetched(spark, folder, when).write.mode("append").json(files)
+        follow_landing(
+            spark, database, "pokemons", files, progress, after_batch=refresh, guard="fetch"
+        ).awaitTermination()
+    return spark.table(f"{database}.mart_stats")
+
+
 @query(sql(f"SELECT {MART_STATS} FROM stats"))
 def incremental_mart_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Row by row: a mart after a first and an incremental load equals a full rebuild."""
