@@ -6,8 +6,10 @@ ends and scores the mean log frequency of its longest n-grams that were learned,
 after the sums, held to ``EVIDENCE`` words, are turned into odds.
 
 The model is learned from a bounded sample: ``DOCUMENTS`` documents per language on average, chosen by
-a hash of the id, of the ``LANGUAGES`` most frequent languages; it keeps the ``WORDS`` and ``GRAMS``
-most frequent entries. Every text is predicted whole, and n-grams are taken of whole words, however long:
+a hash of the id. It keeps counts of a word, or n-gram, in a language: the ``WORDS`` and ``GRAMS`` most
+frequent ones by their share of the language, so that every language has its own and none is left out
+for being rare. What the model holds is bounded by these two numbers, whatever the number of languages:
+scores are kept as what a count adds to the score of a word that the language has not. Every text is predicted whole, and n-grams are taken of whole words, however long:
 text without blanks is one word.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; without any labelled row
@@ -33,14 +35,13 @@ from layerwright.llm import common
 from layerwright.session import cut_lineage
 
 UNKNOWN = "und"
-LANGUAGES = 128
 DOCUMENTS = 3000
 WORDS = 120_000
 GRAMS = 60_000
 LONGEST = 4
 EVIDENCE = 40
-#: Words whose scores a worker remembers beyond the learned ones, and their greatest length.
-REMEMBERED = 100_000
+#: Scores of words, by language, that a worker remembers beyond the learned ones, and their greatest length.
+REMEMBERED = 400_000
 REMEMBERED_LENGTH = 60
 #: Starts of n-grams in one slice of a word; slices overlap by ``LONGEST - 1`` characters.
 _SLICE = 57
@@ -49,12 +50,22 @@ _WORDS = re.compile(r"[^\W\d_]+")
 _SMOOTHING = 0.5
 
 
+#: Number of a language and what an entry adds to its score.
+Gains = tuple[tuple[int, float], ...]
+
+
 class Model(NamedTuple):
-    """Log frequencies by word and by n-gram, one value per language."""
+    """Log frequencies by word and by n-gram.
+
+    ``word_base`` and ``gram_base`` hold the log frequency, by language, of an entry that the language
+    has not; ``words`` and ``grams`` what is added for the languages that have it.
+    """
 
     languages: tuple[str, ...]
-    words: dict[str, tuple[float, ...]]
-    grams: dict[str, tuple[float, ...]]
+    words: dict[str, Gains]
+    grams: dict[str, Gains]
+    word_base: tuple[float, ...]
+    gram_base: tuple[float, ...]
 
 
 def remainder(doc_id: Column) -> Column:
@@ -65,45 +76,44 @@ def _marked(word: str) -> str:
     return f"^{word}$"
 
 
-def _sample(labelled: DataFrame) -> tuple[list[str], DataFrame]:
-    """The languages, and about ``DOCUMENTS`` rows of each."""
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+def _sample(labelled: DataFrame) -> DataFrame:
+    """About ``DOCUMENTS`` rows of each language."""
+    counts = cut_lineage(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")))
     scale = 1 << 30
-    shares = F.create_map(
-        *[F.lit(v) for r in counts for v in (r["lang"], int(scale * min(1.0, DOCUMENTS / r["count"])))]
-    )
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < shares[F.col("lang")]
-    return sorted(r["lang"] for r in counts), labelled.where(chosen) if counts else labelled
+    share = F.least(F.lit(1.0), F.lit(DOCUMENTS) / F.col("rows"))
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < (F.lit(scale) * share).cast("long")
+    return labelled.join(counts, "lang").where(chosen).select("lang", "text")
 
 
-def _log_frequencies(
-    rows: list, languages: list[str], totals: dict[str, int], entries: int
-) -> dict[str, tuple[float, ...]]:
-    place = {language: i for i, language in enumerate(languages)}
-    counts: dict[str, list[int]] = {}
+def _log_frequencies(rows: list, place: dict[str, int]) -> dict[str, Gains]:
+    """What each entry adds, from rows (entry, language, count)."""
+    gains: dict[str, list[tuple[int, float]]] = {}
     for entry, language, count in rows:
-        counts.setdefault(entry, [0] * len(languages))[place[language]] = count
-    bottom = [math.log(totals.get(x, 0) + _SMOOTHING * (entries + 1)) for x in languages]
-    return {
-        entry: tuple(math.log(c + _SMOOTHING) - b for c, b in zip(found, bottom))
-        for entry, found in counts.items()
-    }
-
-
-def _top(counts: DataFrame, entry: str, limit: int) -> tuple[list, dict[str, int]]:
-    """The most frequent entries, by share within their language, and each language's total."""
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    if not totals:
-        return [], {}
-    total = F.create_map(*[F.lit(v) for item in totals.items() for v in item])
+        gains.setdefault(entry, []).append((place[language], math.log(count + _SMOOTHING) - math.log(_SMOOTHING)))
+    return {entry: tuple(found) for entry, found in gains.items()}
+
+
+def _base(totals: dict[str, int], languages: list[str], entries: int) -> tuple[float, ...]:
+    return tuple(
+        math.log(_SMOOTHING) - math.log(totals.get(x, 0) + _SMOOTHING * (entries + 1)) for x in languages
+    )
+
+
+def _top(counts: DataFrame, totals: DataFrame, entry: str, limit: int) -> list[tuple[str, str, int]]:
+    """The most frequent entries by share within their language: entry, language and count."""
     rows = (
-        counts.withColumn("share", F.col("n") / total[F.col("lang")])
+        counts.join(totals, "lang")
+        .withColumn("share", F.col("n") / F.col("total"))
         .orderBy(F.desc("share"), entry, "lang")
         .limit(limit)
         .select(entry, "lang", "n")
     )
     arrow = rows.toArrow()
-    return list(zip(*[arrow.column(i).to_pylist() for i in range(3)])), totals
+    return list(zip(*[arrow.column(i).to_pylist() for i in range(3)]))
+
+
+def _totals(counts: DataFrame) -> DataFrame:
+    return cut_lineage(counts.groupBy("lang").agg(F.sum("n").alias("total")))
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
@@ -111,7 +121,7 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     labelled = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     ).where(F.col("lang").isNotNull() & (remainder(F.col("doc_id")) != 2))
-    languages, sample = _sample(labelled)
+    sample = _sample(labelled)
     letters = F.split(F.lower(F.col("text").cast("string")), r"\P{L}+")
     words = cut_lineage(
         sample.select("lang", F.explode(letters).alias("word"))
@@ -141,40 +151,77 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    top_words, word_totals = _top(words, "word", WORDS)
-    top_grams, gram_totals = _top(grams, "gram", GRAMS)
+    word_totals, gram_totals = _totals(words), _totals(grams)
+    top_words = _top(words, word_totals, "word", WORDS)
+    top_grams = _top(grams, gram_totals, "gram", GRAMS)
+    languages = sorted({row[1] for row in top_words} | {row[1] for row in top_grams})
+    place = {language: i for i, language in enumerate(languages)}
+    learned = docs.sparkSession.createDataFrame([(x,) for x in languages], "lang string")
+
+    def base(totals: DataFrame, entries: int) -> tuple[float, ...]:
+        found = totals.join(learned, "lang", "left_semi").collect()  # as many rows as entries at most
+        return _base({row["lang"]: row["total"] for row in found}, languages, entries)
+
     return Model(
         tuple(languages),
-        _log_frequencies(top_words, languages, word_totals, WORDS),
-        _log_frequencies(top_grams, languages, gram_totals, GRAMS),
+        _log_frequencies(top_words, place),
+        _log_frequencies(top_grams, place),
+        base(word_totals, WORDS),
+        base(gram_totals, GRAMS),
     )
 
 
+_NEITHER, _WORD, _GRAM = range(3)
+
+
 class Predictor(dict):
-    """Scores of words; those of unseen words are added as they come, up to a bound."""
+    """Words with the base they score from and their gains; unseen ones are added, up to a bound."""
 
     def __init__(self, model: Model) -> None:
-        super().__init__(model.words)
+        super().__init__()
         self.model = model
-        self.none = (0.0,) * len(model.languages)
-
-    def __missing__(self, word: str) -> tuple[float, ...]:
-        if len(word) > REMEMBERED_LENGTH:
-            return self._back_off(_marked(word))
-        if len(self) >= len(self.model.words) + REMEMBERED:
-            self.clear()
-            self.update(self.model.words)
-        scores = self[word] = self._back_off(_marked(word))
-        return scores
-
-    def _back_off(self, word: str) -> tuple[float, ...]:
+        self._start()
+
+    def _start(self) -> None:
+        self.clear()
+        self.update((word, (_WORD, gains)) for word, gains in self.model.words.items())
+        self.remembered = 0
+
+    def __missing__(self, word: str) -> tuple[int, Gains]:
+        found = self._back_off(_marked(word))
+        if len(word) <= REMEMBERED_LENGTH:
+            if self.remembered >= REMEMBERED:
+                self._start()
+            self.remembered += 1 + len(found[1])
+            self[word] = found
+        return found
+
+    def _back_off(self, word: str) -> tuple[int, Gains]:
         for size in range(min(LONGEST, len(word)), 0, -1):
             pieces = (word[i : i + size] for i in range(len(word) - size + 1))
             known = Counter(p for p in pieces if p in self.model.grams)
             if known:
-                scores = [[score * n for score in self.model.grams[p]] for p, n in known.items()]
-                return tuple(sum(column) / known.total() for column in zip(*scores))
-        return self.none
+                sums: dict[int, float] = {}
+                for piece, n in known.items():
+                    for at, gain in self.model.grams[piece]:
+                        sums[at] = sums.get(at, 0.0) + gain * n
+                return _GRAM, tuple((at, total / known.total()) for at, total in sums.items())
+        return _NEITHER, ()
+
+    def _sums(self, found: Counter) -> np.ndarray:
+        counts = [0, 0, 0]
+        gained = [0.0] * len(self.model.languages)
+        for word, n in found.items():
+            base, gains = self[word]
+            counts[base] += n
+            for at, gain in gains:
+                gained[at] += gain * n
+        bases = counts[_WORD] * np.array(self.model.word_base) + counts[_GRAM] * np.array(self.model.gram_base)
+        return bases + gained
+
+    def scores(self, word: str) -> tuple[float, ...]:
+        """The log frequency of one word in each language, 0 where nothing of it was learned."""
+        return tuple(self._sums(Counter([word])).tolist())
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.model.languages:
@@ -182,10 +229,9 @@ class Predictor(dict):
         found = Counter(_WORDS.findall(text.lower()))
         if not any(any(map(str.isalpha, word)) for word in found):
             return UNKNOWN, 0.0
-        counts = np.fromiter(found.values(), float, len(found))
-        sums = counts @ np.array([self[word] for word in found])
+        sums = self._sums(found)
         best = int(np.argmax(sums))
-        total = counts.sum()
+        total = found.total()
         odds = np.exp((sums - sums[best]) * (min(total, EVIDENCE) / total))
         return self.model.languages[best], float(1 / odds.sum())
 
