@@ -1,13 +1,13 @@
 """Benchmark passages in training texts, found by spaced seeds and tolerant of substituted words.
 
-Two texts overlap where ``WINDOW`` words in a row of both, side by side, are equal but for at most
-``SUBSTITUTIONS`` of them. A mask picks some words of a run and ignores the others; the picked words are
-hashed. The fixed ``MASKS`` are such that every overlap holds a run whose picked words are all equal
-(``lossless`` checks this), so joining the hashes of test and training texts finds every overlap. Each
-hit gives a document, an item and their alignment; the aligned words are then compared themselves.
-
-An item of ``LEAST`` to ``WINDOW - 1`` words must occur whole, without substitutions. A shorter one
-is too short to tell a leak from chance and is not looked for.
+Two texts overlap where ``WINDOW`` words in a row of both, side by side, are equal but for at most two
+of them. An item of fewer words must occur from end to end: one of 8 to 12 words with one substitution
+at most, a shorter one word for word (``least_words`` leaves items out that are too short to tell a leak
+from chance; by default none is). A mask picks some words of a run and ignores the others; the picked
+words are hashed. The fixed ``MASKS`` of each size of item are such that every overlap holds a run whose
+picked words are all equal (``lossless`` checks this), so joining the hashes of test and training texts
+finds every overlap. Each hit gives a document, an item and their alignment; the aligned words are then
+compared themselves. Documents are hashed with the masks of the sizes that the benchmark has, no others.
 
 Words are runs of letters and digits, in lower case. Documents and items are cut into pieces of
 ``PIECE`` words that overlap by a mask, so that a long text is hashed in bounded memory.
@@ -19,6 +19,8 @@ benchmark leaves every document clean; an empty table gives no rows; further col
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -28,20 +30,32 @@ from layerwright.llm import common
 from layerwright.session import cut_lineage
 
 WINDOW = 13
-SUBSTITUTIONS = 2
-LEAST = 8
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 4, 6, 9, 10))
+#: Words from which a run may have one substitution, and two.
+ONE, TWO = 8, WINDOW
+LONG = ((0, 1, 2, 3, 4, 5), (0, 1, 4, 6, 9, 10))
+SHORT = ((0, 1, 2, 3, 4), (0, 1, 2, 5, 6, 7))
+#: The masks by the size of an item, or ``WINDOW`` for all longer ones.
+MASKS = {
+    **{size: (tuple(range(size)),) for size in range(1, ONE)},
+    **{size: SHORT for size in range(ONE, 11)},
+    **{size: LONG for size in range(11, WINDOW + 1)},
+}
 PIECE = 4096
 #: Seeds of a benchmark up to which they are sent to every task: 24 bytes each, 24 MB in all.
 BROADCAST = 1_000_000
 
 
-def lossless(masks: tuple = MASKS, window: int = WINDOW, substitutions: int = SUBSTITUTIONS) -> bool:
+def substitutions(window: int) -> int:
+    """How many words of a run of that length may differ."""
+    return (window >= ONE) + (window >= TWO)
+
+
+def lossless(masks: tuple, window: int) -> bool:
     """Whether every overlap holds a run in which no picked word is substituted."""
     runs = [{at + o for o in mask} for mask in masks for at in range(window - max(mask))]
     return all(
         any(run.isdisjoint(places) for run in runs)
-        for places in combinations(range(window), substitutions)
+        for places in combinations(range(window), substitutions(window))
     )
 
 
@@ -49,7 +63,7 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), "")
 
 
-def seeds(rows: DataFrame, keys: list[str], masks: tuple = MASKS) -> DataFrame:
+def seeds(rows: DataFrame, keys: list[str], masks: Sequence[tuple[int, ...]]) -> DataFrame:
     """Per mask and place in ``words`` the hash of the picked words: the keys, at (from 0) and seed."""
     reach = max(max(mask) for mask in masks) + 1
     offsets = sorted({o for mask in masks for o in mask})
@@ -70,15 +84,17 @@ def seeds(rows: DataFrame, keys: list[str], masks: tuple = MASKS) -> DataFrame:
     hashes = [
         F.when(
             F.col(named[max(mask)]).isNotNull() & F.col("at").isNotNull(),
-            F.xxhash64(F.lit(number), *[named[o] for o in mask]),
+            F.xxhash64(F.lit(",".join(map(str, mask))), *[named[o] for o in mask]),
         )
-        for number, mask in enumerate(masks)
+        for mask in masks
     ]
     return placed.select(*keys, "at", F.explode(F.array(*hashes)).alias("seed")).where("seed IS NOT NULL")
 
 
-def items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """The items long enough to be looked for, with a number each, their words and their length."""
+def items(
+    benchmark: DataFrame, item_id: str = "item_id", text: str = "text", least_words: int = 1
+) -> DataFrame:
+    """The items to be looked for, with a number each, their words and their length."""
     return cut_lineage(
         benchmark.select(
             F.monotonically_increasing_id().alias("item"),
@@ -86,20 +102,38 @@ def items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") ->
             words(F.col(text).cast("string")).alias("item_words"),
         )
         .withColumn("item_size", F.size("item_words"))
-        .where(F.col("item_size") >= LEAST)
+        .where(F.col("item_size") >= max(1, least_words))
     )
 
 
 def hits(documents: DataFrame, known: DataFrame) -> DataFrame:
     """Alignments (row_key, item, shift) of documents and items that share a seed."""
+    size = F.least("item_size", F.lit(WINDOW))
+    sizes = [row[0] for row in known.select(size.alias("size")).distinct().collect()]  # 13 at most
+    used = sorted({MASKS[n] for n in sizes} or {LONG})
     of_items = cut_lineage(
-        seeds(known.select("item", F.col("item_words").alias("words")), ["item"])
-        .withColumnRenamed("at", "item_at")
+        reduce(
+            DataFrame.unionByName,
+            [
+                seeds(
+                    known.where(size.isin([n for n in MASKS if MASKS[n] == masks])).select(
+                        "item", F.col("item_words").alias("words")
+                    ),
+                    ["item"],
+                    masks,
+                )
+                for masks in used
+            ],
+        ).withColumnRenamed("at", "item_at")
     )
     if of_items.count() <= BROADCAST:
         of_items = F.broadcast(of_items)
     return (
-        seeds(documents.select("row_key", words(F.col("content")).alias("words")), ["row_key"])
+        seeds(
+            documents.select("row_key", words(F.col("content")).alias("words")),
+            ["row_key"],
+            [mask for masks in used for mask in masks],
+        )
         .join(of_items, "seed")
         .select("row_key", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
@@ -143,7 +177,7 @@ def overlaps(documents: DataFrame, known: DataFrame) -> DataFrame:
         )
     )
     window = F.least(F.lit(WINDOW), "item_size")
-    allowed = F.when(F.col("item_size") >= WINDOW, SUBSTITUTIONS).otherwise(0)
+    allowed = (window >= ONE).cast("int") + (window >= TWO).cast("int")
     return (
         aligned.where(F.size("equal") >= window)
         .where(_best(window) >= window - allowed)
@@ -167,9 +201,10 @@ def leaks(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    least_words: int = 1,
 ) -> DataFrame:
     """Per document with an overlap: row_key, n_items, item_ids (sorted as text) and the best share."""
-    known = items(benchmark, item_id, item_text)
+    known = items(benchmark, item_id, item_text, least_words)
     return cut_lineage(
         overlaps(_documents(docs, doc_id, text), known)
         .groupBy("row_key", "item_id")

@@ -94,7 +94,8 @@ def op7_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.report(table(spark, folder, "documents"))
 
 
-#: Overlaps from every alignment with four equal words in a row, which each of them has.
+#: Overlaps from every alignment with four equal words in a row, which each of them has, or with a whole
+#: item of fewer words.
 LEAKS_SQL = """
     WITH d AS (
         SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'),
@@ -104,13 +105,15 @@ LEAKS_SQL = """
         SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'),
                                     lambda x: x <> '') AS w
         FROM benchmark),
-    items AS (SELECT item_id, w, least(13, len(w)) AS size FROM b WHERE len(w) >= 8),
+    items AS (SELECT item_id, w, least(13, len(w)) AS size FROM b WHERE len(w) >= 1),
+    sizes AS (SELECT DISTINCT least(4, len(w)) AS n FROM items),
     doc_runs AS (
-        SELECT doc_id, i AS at, array_to_string(w[i:i + 3], ' ') AS run
-        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
+        SELECT doc_id, i AS at, array_to_string(w[i:i + n - 1], ' ') AS run
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes)),
     item_runs AS (
-        SELECT item_id, i AS at, array_to_string(w[i:i + 3], ' ') AS run
-        FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS i FROM items)),
+        SELECT item_id, i AS at, array_to_string(w[i:i + n - 1], ' ') AS run
+        FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+              FROM (SELECT *, least(4, len(w)) AS n FROM items))),
     shifts AS (
         SELECT DISTINCT doc_id, item_id, doc_runs.at - item_runs.at AS shift
         FROM doc_runs JOIN item_runs USING (run)),
@@ -124,7 +127,7 @@ LEAKS_SQL = """
         FROM aligned
         WHERE len(e) >= size
           AND list_max([list_sum(e[s:s + size - 1]) FOR s IN range(1, len(e) - size + 2)])
-              >= size - CASE WHEN size = 13 THEN 2 ELSE 0 END
+              >= size - CASE WHEN size = 13 THEN 2 WHEN size >= 8 THEN 1 ELSE 0 END
         GROUP BY doc_id, item_id),
     found AS (
         SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS item_ids,
