@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -16,7 +17,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from layerwright.llm import bpe, decontaminate, langid, licenses, quality, secrets, warc
+from layerwright.llm import bpe, decontaminate, langid, licenses, quality, queries, secrets, warc
 
 # Secrets ----------------------------------------------------------------------------------------
 
@@ -181,12 +182,80 @@ def test_language_learns_from_nothing_held_out(make_docs):
 
 
 def test_back_off():
-    log = {"ab": (0.0, -1.0), "^a": (-3.0, -1.0), "q": (-9.0, -9.0)}
-    predictor = langid.Predictor(langid.Model(("a", "b"), {"word": (-1.0, -2.0)}, log))
-    assert predictor["word"] == (-1.0, -2.0)
-    assert predictor["ab"] == (-1.5, -1.0)  # the mean of ^a and ab; no longer n-gram is known
-    assert predictor["q"] == (-9.0, -9.0)
-    assert predictor["z"] == (0.0, 0.0)
+    grams = {"ab": ((0, 9.0), (1, 8.0)), "^a": ((0, 6.0), (1, 8.0)), "q": ()}
+    words = {"word": ((0, 4.0), (1, 3.0))}
+    predictor = langid.Predictor(langid.Model(("a", "b"), words, grams, (-5.0, -5.0), (-9.0, -9.0)))
+    assert predictor.scores("word") == (-1.0, -2.0)
+    assert predictor.scores("ab") == (-1.5, -1.0)  # the mean of ^a and ab; no longer n-gram is known
+    assert predictor.scores("q") == (-9.0, -9.0)
+    assert predictor.scores("z") == (0.0, 0.0)
+
+
+def brute_model(rows):
+    """Dense log frequencies from (lang, text), by the definition and with no bound on the entries."""
+    def logs(counts, entries):
+        totals = {lang: sum(c.values()) for lang, c in counts.items()}
+        keys = set().union(*counts.values())
+        return {
+            key: {
+                lang: np.log(counts[lang][key] + 0.5) - np.log(totals[lang] + 0.5 * (entries + 1)) for lang in counts
+            }
+            for key in keys
+        }
+
+    words, grams = {}, {}
+    for lang, text in rows:
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            words.setdefault(lang, Counter())[word] += 1
+            marked = f"^{word}$"
+            grams.setdefault(lang, Counter()).update(
+                marked[i : i + n] for n in range(1, 5) for i in range(len(marked) - n + 1)
+            )
+    return logs(words, langid.WORDS), logs(grams, langid.GRAMS)
+
+
+def brute_language(words, grams, text):
+    sums = Counter()
+    found = re.findall(r"[^\W\d_]+", text.lower())
+    for word in found:
+        if word in words:
+            sums.update(words[word])
+            continue
+        for n in range(min(4, len(word) + 2), 0, -1):
+            marked = f"^{word}$"
+            known = [marked[i : i + n] for i in range(len(marked) - n + 1) if marked[i : i + n] in grams]
+            if known:
+                for piece in known:
+                    sums.update({lang: score / len(known) for lang, score in grams[piece].items()})
+                break
+    best = max(sums.values())
+    scale = min(len(found), langid.EVIDENCE) / len(found)
+    lang = min(lang for lang, score in sums.items() if score == best)
+    return lang, 1 / sum(np.exp((score - best) * scale) for score in sums.values())
+
+
+def test_predictions_against_brute_force(make_docs):
+    """200 languages, a third of the rows in one of them; every one is learned and every score recomputed."""
+    rng = random.Random(11)
+    own = {f"l{k:03}": ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 7))) for _ in range(12)] for k in range(200)}
+    rows = []
+    for k in range(900):
+        lang = "l000" if k % 3 == 0 else f"l{rng.randrange(200):03}"
+        rows.append((k, " ".join(rng.choices(own[lang], k=rng.randrange(4, 60))), lang))
+    docs = make_docs(rows)
+    model = langid.train(docs)
+    taught = [(lang, text) for i, text, lang in rows if _remainder(i) != 2]
+    assert model.languages == tuple(sorted({lang for lang, _ in taught})) and len(model.languages) > 128
+    words, grams = brute_model(taught)
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs, model).collect()}
+    wanted = {i: brute_language(words, grams, text) for i, text, _ in rows}
+    assert {i: lang for i, (lang, _) in found.items()} == {i: lang for i, (lang, _) in wanted.items()}
+    assert all(abs(found[i][1] - wanted[i][1]) < 1e-9 for i in found)
+    unseen = make_docs([(1, "zzzz abcz fghzab", None), (2, " ".join(own["l007"][:3]) + " hgfedcba", None)])
+    for row in langid.predict(unseen, model).collect():
+        text = {1: "zzzz abcz fghzab", 2: " ".join(own["l007"][:3]) + " hgfedcba"}[row["doc_id"]]
+        lang, score = brute_language(words, grams, text)
+        assert row["lang_pred"] == lang and abs(row["score"] - score) < 1e-9
 
 
 def test_long_runs_are_learned_and_predicted_whole(make_docs):
@@ -278,8 +347,11 @@ def test_quality_odd_rows(spark, make_docs, odd_rows):
 
 
 def test_masks_are_lossless():
-    assert decontaminate.lossless()
-    assert not decontaminate.lossless(((0, 1, 2, 3, 4, 5),))
+    assert all(decontaminate.lossless(masks, size) for size, masks in decontaminate.MASKS.items())
+    assert sorted(decontaminate.MASKS) == list(range(1, decontaminate.WINDOW + 1))
+    assert [decontaminate.substitutions(n) for n in (1, 7, 8, 12, 13)] == [0, 0, 1, 1, 2]
+    assert not decontaminate.lossless(((0, 1, 2, 3, 4, 5),), 13)
+    assert not decontaminate.lossless(decontaminate.LONG, 10)
 
 
 def leak_oracle(docs, items):
@@ -292,10 +364,10 @@ def leak_oracle(docs, items):
         hit = set()
         for item_id, item in items:
             b = words(item)
-            if len(b) < 8:
+            if not b:
                 continue
             size = min(13, len(b))
-            need = size - 2 if size == 13 else size
+            need = size - 2 if size == 13 else size - 1 if size >= 8 else size
             for shift in range(-len(b), len(d)):
                 e = [d[shift + j] == b[j] for j in range(max(0, -shift), min(len(b), len(d) - shift))]
                 if any(sum(e[s : s + size]) >= need for s in range(len(e) - size + 1)):
@@ -329,6 +401,50 @@ def test_leaks_against_every_alignment(spark, make_docs):
     assert {r["doc_id"] for r in clean.collect()} == {i for i, hit in found.items() if not hit}
 
 
+def test_short_items_against_every_alignment(spark, make_docs):
+    """Items of every size below the window, cut, changed in places, and at the ends of a text."""
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(n, " ".join(rng.choices(vocabulary, k=n))) for n in range(1, 15)]
+    docs = []
+    for n, item in items:
+        for changed in range(3):
+            part = item.split()
+            for place in rng.sample(range(n), min(changed, n)):
+                part[place] = "changed"
+            words = rng.choices(vocabulary, k=30)
+            at = (0, 15, 30)[len(docs) % 3]
+            docs.append((len(docs), " ".join(words[:at] + part + words[at:])))
+        for place in range(n if 8 <= n < 13 else 0):
+            part = item.split()
+            part[place] = "changed"
+            docs.append((len(docs), " ".join(part)))
+        docs.append((len(docs), " ".join(item.split()[1:])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    given = make_docs([(i, t, "en") for i, t in docs])
+    found = {r["doc_id"]: r["item_ids"] for r in decontaminate.report(given, benchmark).collect()}
+    assert found == leak_oracle(docs, items)
+    longer = decontaminate.leaks(given, benchmark, least_words=8).collect()
+    kept = leak_oracle(docs, [item for item in items if item[0] >= 8])
+    assert sorted(r["item_ids"] for r in longer) == sorted(ids for ids in kept.values() if ids)
+
+
+def test_leak_sql_on_short_items(spark, make_docs):
+    """The registered SQL gives what the operator gives where items are short."""
+    items = [(1, "one"), (2, "two words"), (3, "three words here"), (4, "a b c d e f g h i"), (5, "q r s t u"), (6, "")]
+    docs = [(1, "One, two"), (2, "a b c d x f g h i"), (3, "a b c x y f g h i"), (4, "q r s t"), (5, "p q r s t u"), (6, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.report(make_docs([(i, t, "en") for i, t in docs]), benchmark).collect()
+    cursor = duckdb.connect()
+    cursor.execute("CREATE TEMP TABLE documents (doc_id BIGINT, text VARCHAR)")
+    cursor.execute("CREATE TEMP TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    cursor.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    cursor.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    wanted = cursor.execute(queries.ORACLES["op8_benchmark_leaks"]).fetchall()
+    assert sorted(map(tuple, found)) == sorted(wanted)
+    assert {r["doc_id"]: r["item_ids"] for r in found} == {1: "1", 2: "4", 3: "", 4: "", 5: "5", 6: ""}
+
+
 def test_leaks_odd_rows(spark, make_docs, odd_rows):
     benchmark = spark.createDataFrame([(None, "no id here at all but some words stand")], "item_id long, text string")
     found = decontaminate.report(make_docs(odd_rows), benchmark).collect()
