@@ -4,6 +4,7 @@ from layerwright.functions.columns import (
     round_scaled,
     surrogate_key,
     tier,
+    tier_sql,
     total,
     url_segment,
     url_tail,
@@ -33,6 +34,7 @@ __all__ = [
     "round_scaled",
     "surrogate_key",
     "tier",
+    "tier_sql",
     "total",
     "url_segment",
     "url_tail",

@@ -68,6 +68,12 @@ def tier(percent_rank: Column | str) -> Column:
     return ladder.otherwise(LOWEST_TIER)
 
 
+def tier_sql(percent_rank: str) -> str:
+    """The same as SQL text, for the text of a view."""
+    ladder = " ".join(f"WHEN {percent_rank} >= {bound!r}D THEN '{label}'" for label, bound in TIER_BOUNDS)
+    return f"CASE {ladder} ELSE '{LOWEST_TIER}' END"
+
+
 def as_utc_timestamp(text: Column | str) -> Column:
     """ISO text, with or without an offset, as the UTC wall-clock time."""
     moment = F.to_timestamp(_col(text))

@@ -66,21 +66,36 @@ class Ranges(NamedTuple):
     bounds: list[tuple]
 
 
+def with_hash(df: DataFrame) -> DataFrame:
+    """Rows with the hash of the whole row, which ends every order here."""
+    return df.withColumn(_HASH, F.xxhash64(*df.columns))
+
+
 def _ranged(df: DataFrame, order: Sequence[Ordered]) -> Ranges:
     """``df`` written out, each row with its hash and its range in the order."""
-    rows = cut_lineage(df).withColumn(_HASH, F.xxhash64(*df.columns))
+    rows = with_hash(cut_lineage(df))
     order = [*order, Ordered(_HASH)]
+    bounds = _bounds(rows, order)
+    return Ranges(rows.withColumn(_RANGE, range_of(order, bounds, rows.schema)), order, bounds)
+
+
+def _bounds(rows: DataFrame, order: Sequence[Ordered]) -> list[tuple]:
+    """The first row, by the columns of the order, of each range but the first, from a sample."""
     names = [part.name for part in order]
-    spark = df.sparkSession
+    spark = rows.sparkSession
     count = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     every = max(1, rows.count() // (count * SAMPLED))
     drawn = rows.select(*names).where(F.pmod(F.xxhash64(_HASH), F.lit(every)) == 0).distinct()
     sample = drawn.orderBy(*[part.sorting() for part in order]).collect()  # a few rows per range
     step = max(1, len(sample) // count)
-    bounds = [tuple(row) for row in sample[step::step]]
+    return [tuple(row) for row in sample[step::step]]
+
+
+def range_of(order: Sequence[Ordered], bounds: Sequence[tuple], kinds: T.StructType) -> Column:
+    """The range a row falls into, by binary search among the bounds."""
     if not bounds:
-        return Ranges(rows.withColumn(_RANGE, F.lit(0)), order, bounds)
-    kinds = rows.schema
+        return F.lit(0)
+    names = [part.name for part in order]
     listed = F.array(
         *[
             F.struct(*[F.lit(value).cast(kinds[name].dataType).alias(name) for name, value in zip(names, bound)])
@@ -93,8 +108,7 @@ def _ranged(df: DataFrame, order: Sequence[Ordered]) -> Ranges:
         reached = (at + step <= len(bounds)) & ~_before(order, F.get(listed, at + step - 1))
         return F.when(reached, at + step).otherwise(at)
 
-    found = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), passed)
-    return Ranges(rows.withColumn(_RANGE, found), order, bounds)
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), passed)
 
 
 def _by_range(values: dict[int, object], kind: T.DataType, ranges: int) -> Column:
@@ -103,6 +117,48 @@ def _by_range(values: dict[int, object], kind: T.DataType, ranges: int) -> Colum
     return F.get(F.array(*listed), F.col(_RANGE))
 
 
+class Count(NamedTuple):
+    """What a range holds: its rows, those with a value, and those that go on with the value of its bound."""
+
+    n: int
+    n_valued: int
+    leading: int
+
+
+def count_ranges(rows: DataFrame, measure: str, first: dict[int, object], ranges: int) -> dict[int, Count]:
+    """The counts of each range that has rows; ``first`` gives the value of the bound of a range."""
+    kind = rows.schema[measure].dataType
+    leading = F.col(measure).eqNullSafe(_by_range(first, kind, ranges)).cast("int")
+    summary = rows.groupBy(_RANGE).agg(
+        F.count(F.lit(1)).alias("n"), F.count(measure).alias("n_valued"), F.sum(leading).alias("leading")
+    )
+    return {row[_RANGE]: Count(row.n, row.n_valued, row.leading) for row in summary.collect()}
+
+
+def offsets(counts: dict[int, Count], first: dict[int, object], ranges: int) -> tuple[dict[int, int], dict[int, int]]:
+    """Per range the rows before it, and the rank of the last row of the run that goes on behind it."""
+    before, total = {}, 0
+    for at in range(ranges):
+        before[at] = total
+        total += counts[at].n if at in counts else 0
+    last: dict[int, int] = {}
+    for at in reversed(range(ranges - 1)):
+        following = at + 1
+        if following + 1 < ranges and _same(first[following + 1], first[following]):
+            last[at] = last[following]
+        else:
+            last[at] = before[following] + (counts[following].leading if following in counts else 0)
+    return before, last
+
+
+def places(order: Sequence[Ordered], part: str = _RANGE) -> tuple[Column, Column]:
+    """The place of a row in its range, and that of the last row of its value there."""
+    in_range = Window.partitionBy(part)
+    place = F.row_number().over(in_range.orderBy(*[column.sorting() for column in order]))
+    upto = F.count(F.lit(1)).over(in_range.orderBy(order[0].sorting()))
+    return place.cast("long"), upto
+
+
 def rank_table(
     df: DataFrame,
     measure: str,
@@ -120,39 +176,19 @@ def rank_table(
     ranges = len(found.bounds) + 1
     kind = df.schema[measure].dataType
     first = {at + 1: bound[0] for at, bound in enumerate(found.bounds)}
-    # rows at the start of a range whose value is that of its bound: they may go on with a run of ties
-    leading = F.col(measure).eqNullSafe(_by_range(first, kind, ranges)).cast("int")
-    summary = (
-        found.rows.groupBy(_RANGE)
-        .agg(F.count(F.lit(1)).alias("n"), F.count(measure).alias("n_valued"), F.sum(leading).alias("leading"))
-        .collect()
-    )
-    by_range = {row[_RANGE]: row for row in summary}
-    n_rows = sum(row.n for row in summary)
-    n_valued = sum(row.n_valued for row in summary)
-    before, total = {}, 0
-    for at in range(ranges):
-        before[at] = total
-        total += by_range[at].n if at in by_range else 0
-    in_range = Window.partitionBy(_RANGE)
-    place = F.row_number().over(in_range.orderBy(*[part.sorting() for part in found.order]))
+    counts = count_ranges(found.rows, measure, first, ranges)
+    n_rows = sum(count.n for count in counts.values())
+    n_valued = sum(count.n_valued for count in counts.values())
+    before, last = offsets(counts, first, ranges)
+    place, upto = places(found.order)
     offset = _by_range(before, T.LongType(), ranges)
-    result = found.rows.withColumn("__place", place.cast("long"))
+    result = found.rows.withColumn("__place", place)
     numbered = (offset + F.col("__place")).alias(rank)
     if percent_rank is None:
         return result.select(*df.columns, numbered)
-    # the rank of the last row of the run that goes on behind a range
-    last: dict[int, int] = {}
-    for at in reversed(range(ranges - 1)):
-        following = at + 1
-        if following + 1 < ranges and _same(first[following + 1], first[following]):
-            last[at] = last[following]
-        else:
-            last[at] = before[following] + (by_range[following].leading if following in by_range else 0)
     goes_on = _by_range({at - 1: value for at, value in first.items()}, kind, ranges)
     in_last = F.col(_RANGE) == ranges - 1
-    peers = F.count(F.lit(1)).over(in_range.orderBy(F.col(measure).desc_nulls_last()))
-    result = result.withColumn("__upto", peers)
+    result = result.withColumn("__upto", upto)
     run_end = F.when(
         ~in_last & F.col(measure).eqNullSafe(goes_on), _by_range(last, T.LongType(), ranges)
     ).otherwise(offset + F.col("__upto"))

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerwright.functions import tier, total
+from layerwright.functions import tier, tier_sql, total
 from layerwright.operators.incremental import high_water_mark, since
 from layerwright.operators.ordered import rank_table
 from layerwright.plans import intermediate as inter
 from layerwright.plans import staging as stg
 from layerwright.session import cut_lineage
-from layerwright.sources import tables
+from layerwright.sources import ranks, tables
 from layerwright.sources.raw import Landed
 
 TOTAL = "total_stat_points"
@@ -226,12 +227,20 @@ def mart(views: Views, name: str) -> DataFrame:
     return rows.distinct() if spec.distinct else rows
 
 
+STRONGEST = "mart_strongest_pokemons"
+RANKED_COLUMNS = ("poke_gen", "poke_id", "poke_name", *STATS, TOTAL)
+RANKING = ranks.Ranking(TOTAL, ("poke_id",), (("tier", tier_sql("pct_rank")),), percent_rank=False)
+
+
+def with_stats(mart_entities: DataFrame, mart_stats: DataFrame) -> DataFrame:
+    """The rows that are ranked."""
+    rows = mart_entities.select("poke_gen", "poke_id", "poke_name").join(mart_stats, "poke_id")
+    return rows.select(*RANKED_COLUMNS)
+
+
 def strongest(mart_entities: DataFrame, mart_stats: DataFrame) -> DataFrame:
     """Every entity ranked by its total, with a tier from the percent rank."""
-    rows = mart_entities.select("poke_gen", "poke_id", "poke_name").join(mart_stats, "poke_id")
-    ranked = rank_table(
-        rows.select("poke_gen", "poke_id", "poke_name", *STATS, TOTAL), TOTAL, ["poke_id"]
-    )
+    ranked = rank_table(with_stats(mart_entities, mart_stats), TOTAL, ["poke_id"])
     return ranked.withColumn("tier", tier("pct_rank")).drop("pct_rank")
 
 
@@ -291,22 +300,25 @@ def load_marts(
     ``buckets`` lays the marts out by key, so that a load rewrites only what its batch touches. Marks
     come from the fetch times of the raw tables, or from the catalog where the views are over ``Landed``,
     and a later load reads only raw rows at or after them. Entity payloads are parsed once for all marts.
-    The ranks over the whole marts are stored as well; the starters' cover all starters of the marts,
-    not only those of the newest batch.
+    The ranks over the whole marts are stored as well, and a later load ranks anew only the ranges that
+    its batch touches; the starters' cover all starters of the marts, not only those of the newest batch.
     """
     wanted = list(MARTS) if names is None else names
     spark = views.raw(MARTS[wanted[0]].landed_in).sparkSession
     tables.create_database(spark, database)
     whole = views.stored()
     narrowed: dict[tuple[str, Any], Views] = {}
+    batches: dict[str, DataFrame] = {}
+    before = _ranked_from(spark, database)
     for name in wanted:
         spec = MARTS[name]
 
-        def rows_since(mark: Any, spec: Mart = spec) -> DataFrame:
+        def rows_since(mark: Any, name: str = name, spec: Mart = spec) -> DataFrame:
             at = spec.landed_in, mark
             if at not in narrowed:
                 narrowed[at] = views.since(*at)
-            return narrowed[at][spec.view]
+            batches[name] = narrowed[at][spec.view]
+            return batches[name]
 
         tables.load_mart(
             lambda spec=spec: whole[spec.view],
@@ -321,11 +333,9 @@ def load_marts(
             rows_since=rows_since,
             newest_time=lambda spec=spec: views.newest(spec.landed_in),
         )
-    if {"mart_pokemons", "mart_stats"} & set(wanted) and all(
-        tables.exists(spark, f"{database}.{name}") for name in ("mart_pokemons", "mart_stats")
-    ):
-        ranked = strongest(_loaded(spark, database, "mart_pokemons"), _loaded(spark, database, "mart_stats"))
-        tables.replace_table(ranked, f"{database}.mart_strongest_pokemons")
+    loaded = set(_RANKED_FROM) & set(wanted)
+    if loaded and _ranked_from(spark, database) is not None:
+        _load_ranks(spark, database, before, [batches.get(name) for name in sorted(loaded)])
     if starters is not None:
         ranked = strongest_starters(
             _loaded(spark, database, "mart_pokemons"),
@@ -335,13 +345,42 @@ def load_marts(
         tables.replace_table(ranked, f"{database}.mart_strongest_starters")
 
 
+_RANKED_FROM = ("mart_pokemons", "mart_stats")
+
+
+def _ranked_from(spark: SparkSession, database: str) -> str | None:
+    """The versions of the marts that are ranked, None where one is missing."""
+    names = [f"{database}.{name}" for name in _RANKED_FROM]
+    if not all(tables.exists(spark, name) for name in names):
+        return None
+    return ",".join(tables.current(spark, name) for name in names)
+
+
+def _load_ranks(
+    spark: SparkSession, database: str, before: str | None, batches: list[DataFrame | None]
+) -> None:
+    """Bring the stored ranks up to date: from the keys of the batches where they held what was there before."""
+    table = f"{database}.{STRONGEST}"
+    made_from = _ranked_from(spark, database)
+    entities, stats = (_loaded(spark, database, name) for name in _RANKED_FROM)
+    known = before is not None and None not in batches
+    if not known or not ranks.fits(spark, table, before, RANKED_COLUMNS):
+        ranks.load_all(with_stats(entities, stats), table, RANKING, made_from)
+        return
+    changed = cut_lineage(
+        reduce(DataFrame.union, [batch.select("poke_id") for batch in batches]).distinct()
+    )
+    rows = with_stats(entities.join(changed, "poke_id", "left_semi"), stats.join(changed, "poke_id", "left_semi"))
+    ranks.load_changes(changed, rows, table, RANKING, made_from)
+
+
 def _loaded(spark: SparkSession, database: str, name: str) -> DataFrame:
     return spark.table(f"{database}.{name}").drop(tables.BUCKET)
 
 
 def loaded_marts(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     """The mart tables of a database by name, the stored ranks among them."""
-    names = [*MARTS, "mart_strongest_pokemons", "mart_strongest_starters"]
+    names = [*MARTS, STRONGEST, "mart_strongest_starters"]
     return {
         name: _loaded(spark, database, name)
         for name in names

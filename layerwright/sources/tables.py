@@ -28,6 +28,8 @@ from layerwright.session import shared_folder
 
 
 BUCKET = "key_bucket"
+#: The property that names a folder which the view reads besides the rows.
+INDEX = "index"
 #: Stands between the name of a table and that of a version.
 _VERSION = "__v_"
 
@@ -47,15 +49,19 @@ def replace_table(
     root: str | None = None,
     bucketed: bool = False,
     properties: dict[str, Any] | None = None,
+    shown: str = "SELECT * FROM {version}",
 ) -> None:
-    """Write ``df`` as the whole content of ``table``, its columns included."""
+    """Write ``df`` as the whole content of ``table``, its columns included.
+
+    ``shown`` is what the view selects from the version.
+    """
     spark = df.sparkSession
     folder = _write(df, table, root, bucketed)
     held = None
     if bucketed:
         written = spark.read.schema(df.schema).parquet(folder).select(BUCKET).distinct()
         held = {row[0]: folder for row in written.collect()}  # at most one row per bucket
-    _switch(df, table, folder, held, properties or {})
+    _switch(df, table, folder, held, properties or {}, shown)
 
 
 def current(spark: SparkSession, table: str) -> str:
@@ -65,7 +71,14 @@ def current(spark: SparkSession, table: str) -> str:
     return _properties(spark, table)["version"]
 
 
-def _switch(df: DataFrame, table: str, folder: str, held: dict[int, str] | None, properties: dict[str, Any]) -> None:
+def _switch(
+    df: DataFrame,
+    table: str,
+    folder: str,
+    held: dict[int, str] | None,
+    properties: dict[str, Any],
+    shown: str = "SELECT * FROM {version}",
+) -> None:
     """Enter a version of ``table`` with the columns of ``df`` and point the view at it.
 
     ``held`` gives the folder of each bucket where the version has buckets.
@@ -80,7 +93,7 @@ def _switch(df: DataFrame, table: str, folder: str, held: dict[int, str] | None,
             former = f"{table}{_VERSION}first"
             spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
     spark.sql(
-        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('version' = '{fresh}') AS SELECT * FROM {fresh}"
+        f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ('version' = '{fresh}') AS {shown.format(version=fresh)}"
     )
     _drop_versions(spark, table, {fresh, former})
 
@@ -151,7 +164,9 @@ def vacuum(spark: SparkSession, table: str, root: str | None = None) -> list[str
         return []
     newest = current(spark, table)
     _drop_versions(spark, table, {newest})
-    used = set(_held(_properties(spark, newest)).values()) or {_location(spark, newest)}
+    noted = _properties(spark, newest)
+    used = set(_held(noted).values()) or {_location(spark, newest)}
+    used |= {noted[INDEX]} if INDEX in noted else set()
     names = {place.rstrip("/").rpartition("/")[2] for place in used}
     removed = []
     if not all(system.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{name}")) for name in names):
@@ -175,21 +190,28 @@ def replace_buckets(
     buckets: Sequence[int],
     root: str | None = None,
     properties: dict[str, Any] | None = None,
+    emptied: Sequence[int] = (),
+    shown: str = "SELECT * FROM {version}",
 ) -> None:
     """Write ``df`` as the whole content of some buckets of ``table``; the files of the others stay.
 
-    All buckets change at once, with the switch to the new version.
+    All buckets change at once, with the switch to the new version. ``emptied`` have no rows any more.
     """
     spark = df.sparkSession
     held = _held(_properties(spark, current(spark, table)))
     folder = _write(df, table, root, bucketed=True)
     held |= {bucket: folder for bucket in buckets}
-    _switch(df, table, folder, held, properties or {})
+    held = {bucket: place for bucket, place in held.items() if bucket not in set(emptied)}
+    _switch(df, table, folder, held, properties or {}, shown)
+
+
+def fresh_folder(spark: SparkSession, table: str, root: str | None = None) -> str:
+    """A folder of the table that nothing has been written to."""
+    return f"{(root or shared_folder(spark)).rstrip('/')}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
 
 
 def _write(df: DataFrame, table: str, root: str | None, bucketed: bool) -> str:
-    base = (root or shared_folder(df.sparkSession)).rstrip("/")
-    folder = f"{base}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+    folder = fresh_folder(df.sparkSession, table, root)
     if bucketed:
         # few files per bucket, and a bucket with a hot key still split over several tasks
         df.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(folder)
@@ -265,7 +287,7 @@ def load_mart(
     dated = whole() if dated is None else dated
     spark = dated.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
-    stored = _properties(spark, current(spark, table)) if exists(spark, table) else {}
+    stored = properties_of(spark, table)
     have = int(stored.get("key_buckets", 0))
     want = have if buckets is None else buckets
     incremental = exists(spark, table) and not full_refresh
@@ -308,6 +330,11 @@ def load_mart(
         replace_table(batch, table, root, bucketed=bool(want), properties=properties)
 
 
+def properties_of(spark: SparkSession, table: str) -> dict[str, str]:
+    """What is noted with the newest version of a table; nothing where there is none."""
+    return _properties(spark, current(spark, table)) if exists(spark, table) else {}
+
+
 def _properties(spark: SparkSession, table: str) -> dict[str, str]:
     return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 

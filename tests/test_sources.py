@@ -225,6 +225,46 @@ def test_views(spark, standing):
     assert rows(special.select("valid_from_gen", "valid_to_gen")) == [(1, 1)]
 
 
+def entity_batch(spark, database, poke_id, hp, date):
+    later = landed(spark, (poke_id, entity("leaf", 9, ["grass"], {**FULL, "hp": hp})), date=date, batch=date)
+    good, _ = raw.prepare(later, "pokemons")
+    tables.append(good, f"{database}.pokemons")
+
+
+def test_ranks_are_kept_and_mended_after_a_lost_load(spark, filled, monkeypatch):
+    """A later load ranks its batch only; one that was lost before the ranks makes the next rank all."""
+    target = f"{filled}_marts"
+    names = ["mart_pokemons", "mart_stats"]
+    m.load_marts(views(spark, filled), target, names=names)
+    taken = []
+    for name in ("load_all", "load_changes"):
+        monkeypatch.setattr(
+            m.ranks, name, lambda *a, name=name, real=getattr(m.ranks, name), **k: taken.append(name) or real(*a, **k)
+        )
+
+    def check():
+        loaded = m.loaded_marts(spark, target)
+        assert rows(loaded[m.STRONGEST]) == rows(m.strongest(loaded["mart_pokemons"], loaded["mart_stats"]))
+        assert loaded[m.STRONGEST].columns[-2:] == ["rank", "tier"]
+
+    entity_batch(spark, filled, 1, 90, "2024-03-01T00:00:00")
+    m.load_marts(views(spark, filled), target, names=names)
+    check()
+    entity_batch(spark, filled, 77, 20, "2024-03-02T00:00:00")
+    with monkeypatch.context() as patch:
+        patch.setattr(m, "_load_ranks", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            m.load_marts(views(spark, filled), target, names=names)
+    entity_batch(spark, filled, 4, 200, "2024-03-03T00:00:00")
+    m.load_marts(views(spark, filled), target, names=names)
+    check()
+    m.load_marts(views(spark, filled), target, names=["mart_stats"])
+    check()
+    m.load_marts(views(spark, filled), target, names=names, full_refresh=True)
+    check()
+    assert taken == ["load_changes", "load_all", "load_changes", "load_all"]
+
+
 def test_newest_fetch_is_kept(spark, filled):
     later = landed(spark, (1, entity("leaf2", 8, ["grass"], FULL)), date="2024-03-01T00:00:00", batch="b2")
     good, _ = raw.prepare(later, "pokemons")

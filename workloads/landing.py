@@ -232,17 +232,23 @@ BUILDERS = {
 
 
 class RawTables:
-    """Raw tables by name, each built only when a view asks for it."""
+    """Raw tables by name, each built only when a view asks for it.
 
-    def __init__(self, spark: SparkSession, folder: str, until: str | None = None):
+    ``until`` leaves out what was fetched later, in the tables named in ``of`` or in all of them.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, until: str | None = None, of: tuple[str, ...] = tuple(BUILDERS)
+    ):
         self._source = (spark, folder)
         self._until = until
+        self._of = of
         self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             landed = BUILDERS[name](*self._source)
-            if self._until is not None:
+            if self._until is not None and name in self._of:
                 landed = landed.where(f"fetch_date <= TIMESTAMP_NTZ '{self._until}'")
             self._built[name] = landed
         return self._built[name]

@@ -919,37 +919,78 @@ def list_moves(spark: SparkSession, folder: str) -> DataFrame:
     return serving.move_list(landing.live_marts(spark, folder))
 
 
-@query(
-    sql(
-        _LIST
-        + """
-        WHERE e.poke_gen = 3 AND s.total_stat_points BETWEEN 500 AND 1000
-          AND e.poke_id IN (SELECT poke_id FROM types WHERE type IN ('ECONOMY', 'Brand#4', 'Brand#7'))
-        """
-    )
+_EXPLORED = (
+    _LIST
+    + """
+    WHERE e.poke_gen = 3 AND s.total_stat_points BETWEEN 500 AND 1000
+      AND e.poke_id IN (SELECT poke_id FROM types WHERE type IN ('ECONOMY', 'Brand#4', 'Brand#7'))
+    """
 )
+
+
+@query(sql(_EXPLORED))
 def explore_entities(spark: SparkSession, folder: str) -> DataFrame:
     return serving.explore(
         landing.live_marts(spark, folder), 3, (500, 1000), ["ECONOMY", "Brand#4", "Brand#7"]
     )
 
 
-@query(
-    sql(
-        """
-        SELECT e.poke_id, e.poke_name, g.gen_name, e.p_type AS primary_type,
-               CASE WHEN e.p_size > 25 THEN e.p_brand END AS secondary_type,
-               coalesce(CAST(r.rank AS VARCHAR), '—') AS rank, coalesce(r.tier, '—') AS tier,
-               e.p_brand = 'Brand#1' AS is_starter, e.p_brand = 'Brand#9' AS is_legendary
-        FROM entities e LEFT JOIN strongest r USING (poke_id) LEFT JOIN generations g
-          ON g.poke_gen = e.poke_gen
-        """
-    )
-)
+_CARDS = """
+    SELECT e.poke_id, e.poke_name, g.gen_name, e.p_type AS primary_type,
+           CASE WHEN e.p_size > 25 THEN e.p_brand END AS secondary_type,
+           coalesce(CAST(r.rank AS VARCHAR), '—') AS rank, coalesce(r.tier, '—') AS tier,
+           e.p_brand = 'Brand#1' AS is_starter, e.p_brand = 'Brand#9' AS is_legendary
+    FROM entities e LEFT JOIN strongest r USING (poke_id) LEFT JOIN generations g
+      ON g.poke_gen = e.poke_gen
+    """
+
+
+@query(sql(_CARDS))
 def entity_cards(spark: SparkSession, folder: str) -> DataFrame:
     return serving.cards(landing.live_marts(spark, folder, with_starters=True))
 
 
+# ---- serving from loaded marts -------------------------------------------------------------------
+
+
+def _loaded_twice(spark: SparkSession, folder: str, *names: str, with_starters: bool = False) -> serving.Marts:
+    """Marts loaded from the entities of the older landing and brought up to date, with the stored ranks.
+
+    The catalogue is whole from the start: a load takes up the entities of its batch, not other ones whose
+    generation changes in the catalogue.
+    """
+    database = _database(spark)
+    wanted = ["mart_pokemons", "mart_stats", *names]
+    seed = landing.starters(spark, folder) if with_starters else None
+    older = landing.RawTables(spark, folder, until=landing.FIRST, of=("pokemons",))
+    m.load_marts(m.Views(older), database, names=wanted)
+    m.load_marts(landing.views(spark, folder), database, seed, names=wanted)
+    return m.loaded_marts(spark, database)
+
+
+@query(sql("SELECT * FROM strongest"))
+def ranks_after_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored ranks, of which the second load ranked anew the ranges that its batch touched."""
+    return _loaded_twice(spark, folder)[m.STRONGEST]
+
+
+@query(sql(_LIST + "ORDER BY poke_id"))
+def list_loaded_entities(spark: SparkSession, folder: str) -> DataFrame:
+    return serving.entity_list(_loaded_twice(spark, folder))
+
+
+@query(sql(_EXPLORED))
+def explore_loaded_entities(spark: SparkSession, folder: str) -> DataFrame:
+    marts = _loaded_twice(spark, folder, "mart_types")
+    return serving.explore(marts, 3, (500, 1000), ["ECONOMY", "Brand#4", "Brand#7"])
+
+
+@query(sql(_CARDS))
+def loaded_entity_cards(spark: SparkSession, folder: str) -> DataFrame:
+    names = ("mart_types", "mart_generations", "mart_pokemon_species")
+    return serving.cards(_loaded_twice(spark, folder, *names, with_starters=True))
+
+
 @query(
     sql(
         "SELECT v.move_name, v.type, v.power, v.accuracy, v.pp, v.damage_class "
