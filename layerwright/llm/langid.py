@@ -172,29 +172,58 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
 
 _NEITHER, _WORD, _GRAM = range(3)
+#: Different words of a text that are looked up at once.
+_AT_ONCE = 8192
 
 
 class Predictor(dict):
-    """Words with the base they score from and their gains; unseen ones are added, up to a bound."""
+    """Words with the row that holds the base they score from and their gains.
+
+    Unseen words are added up to a bound. The gains of all rows lie in two arrays, one row behind the other,
+    so that those of all words of a text are taken and summed up at once.
+    """
 
     def __init__(self, model: Model) -> None:
         super().__init__()
         self.model = model
+        self.bases = np.zeros((3, len(model.languages)))
+        self.bases[_WORD], self.bases[_GRAM] = model.word_base, model.gram_base
         self._start()
 
     def _start(self) -> None:
+        """Only the learned words are known."""
         self.clear()
-        self.update((word, (_WORD, gains)) for word, gains in self.model.words.items())
-        self.remembered = 0
-
-    def __missing__(self, word: str) -> tuple[int, Gains]:
-        found = self._back_off(_marked(word))
+        known = self.model.words
+        self.update(zip(known, range(len(known))))
+        self.rows = len(known)
+        sizes = np.fromiter(map(len, known.values()), np.int64, self.rows)
+        self.held = int(sizes.sum())
+        self.kind = np.full(self.rows + 1, _WORD)
+        self.size = np.append(sizes, 0)
+        self.start = np.cumsum(self.size) - self.size
+        self.language = np.zeros(self.held + 1, np.int64)
+        self.gain = np.zeros(self.held + 1)
+        self.language[: self.held] = [at for gains in known.values() for at, _ in gains]
+        self.gain[: self.held] = [gain for gains in known.values() for _, gain in gains]
+        self.full = self.rows + self.held + REMEMBERED
+
+    def _add(self, kind: int, gains: Gains) -> int:
+        row, at, upto = self.rows, self.held, self.held + len(gains)
+        if row >= len(self.kind):
+            self.kind, self.size, self.start = (np.append(x, np.zeros_like(x)) for x in (self.kind, self.size, self.start))
+        while upto > len(self.gain):
+            self.language, self.gain = (np.append(x, np.zeros_like(x)) for x in (self.language, self.gain))
+        self.kind[row], self.size[row], self.start[row] = kind, len(gains), at
+        self.language[at:upto] = [language for language, _ in gains]
+        self.gain[at:upto] = [gain for _, gain in gains]
+        self.rows, self.held = row + 1, upto
+        return row
+
+    def __missing__(self, word: str) -> int:
+        row = self._add(*self._back_off(_marked(word)))
         if len(word) <= REMEMBERED_LENGTH:
-            if self.remembered >= REMEMBERED:
-                self._start()
-            self.remembered += 1 + len(found[1])
-            self[word] = found
-        return found
+            self[word] = row
+        return row
 
     def _back_off(self, word: str) -> tuple[int, Gains]:
         for size in range(min(LONGEST, len(word)), 0, -1):
@@ -209,15 +238,20 @@ class Predictor(dict):
         return _NEITHER, ()
 
     def _sums(self, found: Counter) -> np.ndarray:
-        counts = [0, 0, 0]
-        gained = [0.0] * len(self.model.languages)
-        for word, n in found.items():
-            base, gains = self[word]
-            counts[base] += n
-            for at, gain in gains:
-                gained[at] += gain * n
-        bases = counts[_WORD] * np.array(self.model.word_base) + counts[_GRAM] * np.array(self.model.gram_base)
-        return bases + gained
+        words = list(found)
+        sums = np.zeros(len(self.model.languages))
+        for first in range(0, len(words), _AT_ONCE):
+            if self.rows + self.held > self.full:
+                self._start()
+            part = words[first : first + _AT_ONCE]
+            rows = np.array([self[word] for word in part])
+            counts = np.array([found[word] for word in part], float)
+            sums += np.bincount(self.kind[rows], counts, 3) @ self.bases
+            size = self.size[rows]
+            skipped = np.cumsum(size) - size
+            taken = np.arange(size.sum()) + np.repeat(self.start[rows] - skipped, size)
+            sums += np.bincount(self.language[taken], self.gain[taken] * np.repeat(counts, size), len(sums))
+        return sums
 
     def scores(self, word: str) -> tuple[float, ...]:
         """The log frequency of one word in each language, 0 where nothing of it was learned."""
