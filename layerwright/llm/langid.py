@@ -244,8 +244,8 @@ class Predictor(dict):
             if self.rows + self.held > self.full:
                 self._start()
             part = words[first : first + _AT_ONCE]
-            rows = np.array([self[word] for word in part])
-            counts = np.array([found[word] for word in part], float)
+            rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
+            counts = np.fromiter(map(found.__getitem__, part), float, len(part))
             sums += np.bincount(self.kind[rows], counts, 3) @ self.bases
             size = self.size[rows]
             skipped = np.cumsum(size) - size
