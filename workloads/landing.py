@@ -1,12 +1,15 @@
 """Raw landing tables built from the driver tables.
 
 Every payload is made from one row of its source table, so the landing is a narrow job whatever the
-keys look like, and its size grows with the tables. Edge cases are tied to column values: empty
+keys look like, and its size grows with the tables. A payload is many times as wide as its row, so the
+rows are dealt to tasks by their number first; how they lie in files does not matter. Edge cases are tied to column values: empty
 arrays, missing stats, texts in other languages only, two or no matching genera, NULL parents.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,9 @@ FIRST = "2024-01-01 00:00:00"
 SECOND = "2024-06-01 00:00:00"
 API = "https://api.example.org/v2"
 
+#: Rows of a source table that one task turns into payloads.
+ROWS_OF_A_TASK = 1 << 15
+
 # Factor of the key for each stat, in the order of the payload.
 STAT_FACTORS = {
     "hp": 1,
@@ -56,6 +62,12 @@ def _when(condition: str, *elements: str) -> str:
     return f"IF({condition}, {full}, filter({full}, x -> false))"
 
 
+def _dealt(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A source table in as many partitions as its rows ask for."""
+    rows = table(spark, folder, name)
+    return rows.repartition(max(1, math.ceil(rows.count() / ROWS_OF_A_TASK)), key)
+
+
 def _land(rows: DataFrame, fetched: str, payload: dict[str, str], key: str | None = None) -> DataFrame:
     fields = ", ".join(f"'{name}', {value}" for name, value in payload.items())
     return rows.selectExpr(
@@ -115,7 +127,7 @@ def _entity_payload(height: str, n_moves: int) -> dict[str, str]:
 
 def entities(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as entities; those larger than 25 are fetched a second time, then taller."""
-    part = table(spark, folder, "part")
+    part = _dealt(spark, folder, "part", "p_partkey")
     n_moves = table(spark, folder, "supplier").count()
     first = _land(part, FIRST, _entity_payload("p_size", n_moves), "p_partkey + 1")
     second = _land(
@@ -126,7 +138,7 @@ def entities(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     """One document per part; size 10 lists nothing, larger ones are listed again later."""
-    part = table(spark, folder, "part")
+    part = _dealt(spark, folder, "part", "p_partkey")
 
     def listed(name: str, number: str) -> str:
         return f"named_struct('name', {name}, 'url', {_url('species', number)})"
@@ -144,7 +156,7 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def species(spark: SparkSession, folder: str) -> DataFrame:
-    part = table(spark, folder, "part")
+    part = _dealt(spark, folder, "part", "p_partkey")
     french = _said("flavor_text", "'fr ' || p_name", "fr")
     first_text = _said("flavor_text", "p_name || chr(12) || 'first'", "en")
     last_text = _said("flavor_text", "p_name || chr(12) || 'is' || chr(10) || p_type", "en")
@@ -194,7 +206,7 @@ def moves(spark: SparkSession, folder: str) -> DataFrame:
         "damage_class": _named("elt(s_nationkey % 3 + 1, 'physical', 'special', 'status')"),
         "generation": f"named_struct('url', {_url('generation', 's_nationkey % 9 + 1')})",
     }
-    return _land(table(spark, folder, "supplier"), FIRST, payload, "s_suppkey + 1")
+    return _land(_dealt(spark, folder, "supplier", "s_suppkey"), FIRST, payload, "s_suppkey + 1")
 
 
 def generations(spark: SparkSession, folder: str) -> DataFrame:
