@@ -20,7 +20,10 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles of similarity 0.8 or more."""
+    """One document of each group linked by five-word shingles of similarity 0.8 or more.
+
+    Candidates come from the fingerprints of ``op6`` and from bands; all are verified on whole sets.
+    """
     return minhash.first_rows(docs)
 
 

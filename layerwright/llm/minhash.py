@@ -1,11 +1,14 @@
-"""Near copies by the Jaccard similarity of word shingles: candidates by MinHash bands, verified exactly.
+"""Near copies by the Jaccard similarity of word shingles: candidates by SimHash and MinHash, verified exactly.
 
 Two texts link when the sets of their runs of ``WORDS`` words have a similarity of ``SIMILARITY`` or more.
-A signature of ``BANDS`` times ``ROWS`` minima makes candidates: texts that agree in all rows of a band
+Candidates come from two searches. The first is that of ``simhash``: texts of one fingerprint, and of
+fingerprints at most ``simhash.DISTANCE`` bits apart, found through its groups of bits. Similar texts may
+lie further apart than that, so the second is by bands: a signature of ``BANDS`` times ``ROWS`` minima makes candidates: texts that agree in all rows of a band
 share a bucket. A pair of similarity 0.8 shares none with a chance of (1 - 0.8 ** 5) ** 30, or 7 in a
 million. Every candidate is verified on the whole sets before it links.
 
-Only what decides components is compared. First each text meets one centre, the one among those of its
+Only what decides components is compared. First each text meets the smallest one of its fingerprint, and
+these meet along the links between fingerprints. Then each text meets one centre, the one among those of its
 buckets that shares most buckets with others. Then the first member of each component in a bucket meets
 that bucket's centre. Buckets whose members are one component by then need nothing more. In all others
 every pair from different components is compared, so no link is lost: as rows in buckets of up to
@@ -28,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerwright.llm import common
+from layerwright.llm import common, simhash
 from layerwright.llm.components import connected
 from layerwright.session import cut_lineage
 
@@ -102,19 +105,19 @@ def _given(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document doc_id, row_key, node (equal for equal words), size and buckets, written out."""
+    """Per document doc_id, row_key, node (equal for equal words), size, fingerprint and buckets, written out."""
 
     def start() -> Callable:
         def one(content: str) -> tuple:
             words = _words(content)
             found = shingles(words)
-            return _signed(xxhash.xxh64_intdigest(b" ".join(words), SEED)), len(found), buckets(found)
+            node = _signed(xxhash.xxh64_intdigest(b" ".join(words), SEED))
+            return node, len(found), simhash.fingerprint(content), buckets(found)
 
         return one
 
-    return cut_lineage(
-        common.map_rows(_given(docs, doc_id, text), "node long, size long, buckets array<long>", start, passed=2)
-    )
+    added = "node long, size long, fingerprint long, buckets array<long>"
+    return cut_lineage(common.map_rows(_given(docs, doc_id, text), added, start, passed=2))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -223,15 +226,46 @@ def _by_pieces(crowd: DataFrame, sets: DataFrame) -> DataFrame:
     return cut_lineage(met.mapInArrow(join, "a long, b long"))
 
 
+def fingerprint_pairs(points: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes with one fingerprint or linked ones that may be similar, written out.
+
+    All nodes of a fingerprint meet its smallest one, and these meet along the links of ``simhash``, so there
+    are no more pairs than nodes and links.
+    """
+    least = points.groupBy("fingerprint").agg(F.min(F.struct("node", "size")).alias("least"))
+    firsts = cut_lineage(
+        least.select("fingerprint", F.col("least.node").alias("a"), F.col("least.size").alias("a_size"))
+    )
+    pairs = (
+        points.join(firsts, "fingerprint")
+        .where("node <> a")
+        .select("a", "a_size", F.col("node").alias("b"), F.col("size").alias("b_size"))
+    )
+    plan = simhash.make_plan(firsts)
+    if plan is not None:
+        pairs = pairs.unionByName(
+            simhash.links(firsts, plan)
+            .toDF("fingerprint", "other")
+            .join(firsts, "fingerprint")
+            .select("a", "a_size", F.col("other").alias("fingerprint"))
+            .join(firsts.toDF("fingerprint", "b", "b_size"), "fingerprint")
+            .select("a", "a_size", "b", "b_size")
+        )
+    alike = F.least("a_size", "b_size") >= F.lit(SIMILARITY) * F.greatest("a_size", "b_size")
+    return cut_lineage(pairs.where(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def links(points: DataFrame, given: DataFrame) -> DataFrame | None:
-    """Verified links (a, b) between nodes, enough for their components; nothing where no bucket is shared."""
+    """Verified links (a, b) between nodes, enough for their components; nothing where no search finds candidates."""
+    near = fingerprint_pairs(points)
     entries = points.select(F.explode("buckets").alias("bucket"), "node", "size")
     counts = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = cut_lineage(entries.join(counts, "bucket"))
-    if shared.isEmpty():
+    if shared.isEmpty() and near.isEmpty():
         return None
     known = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    keys = points.join(known, "node").select(F.col("first.key").alias("row_key"), "node")
+    asked = known.select("node").union(near.select("a")).union(near.select("b")).distinct()
+    keys = points.join(asked, "node").select(F.col("first.key").alias("row_key"), "node")
 
     def start() -> Callable:
         return lambda content: (shingles(_words(content)).tobytes(),)
@@ -257,7 +291,8 @@ def links(points: DataFrame, given: DataFrame) -> DataFrame | None:
         )
 
     place = F.struct("met", "node", "size")
-    members = shared.withColumn("root", F.col("node"))
+    linked = _verified(near, sets)
+    members = joined(shared.withColumn("root", F.col("node")), linked)
     centre = members.groupBy("bucket").agg(F.max(place).alias("centre"))
     chosen = (
         members.join(centre, "bucket")
@@ -269,7 +304,7 @@ def links(points: DataFrame, given: DataFrame) -> DataFrame | None:
         .distinct()
     )
     found = _verified(chosen, sets)
-    members = joined(members, found)
+    members, found = joined(members, found), found.unionByName(linked)
     firsts = cut_lineage(members.groupBy("bucket", "root").agg(F.max(place).alias("at")))
     best = firsts.groupBy("bucket").agg(F.max(F.struct("at", "root")).alias("best"))
     more = _verified(
@@ -298,7 +333,8 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     )
     points = cut_lineage(
         rows.groupBy("node").agg(
-            F.min(place).alias("first"), F.first("size").alias("size"), F.first("buckets").alias("buckets")
+            F.min(place).alias("first"),
+            *[F.first(name).alias(name) for name in ("size", "fingerprint", "buckets")],
         )
     )
     linked = links(points, _given(docs, doc_id, text).toDF("doc_id", "row_key", "text"))
